@@ -18,6 +18,8 @@ documents are reported once for each id; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +39,18 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
+def let(make: Callable[[Column], Column], value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(make(value))`` with both steps computed once, however often ``make`` and ``body`` use them.
+
+    Both are bound as variables of a lambda: the optimizer would otherwise put their expressions in
+    place of each use, even inside the loops of other lambdas.
+    """
+    made = F.get(F.transform(F.array(value), make), 0)
+    return F.get(F.transform(F.array(made), body), 0)
+
+
 def shingles(hashes: Column) -> Column:
-    """Hashes of the windows of five, from an array column of word hashes (empty where there are fewer)."""
+    """Hashes of the windows of five, from an array of word hashes (empty where there are fewer)."""
     last = F.size(hashes) - SHINGLE
     each = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(SHINGLE)]))
     return F.when(last >= 0, each).otherwise(F.array().cast("array<bigint>"))
@@ -59,6 +71,10 @@ def shingle_map(items: DataFrame) -> np.ndarray:
     return out
 
 
+def _places(cut: Column) -> Column:
+    return F.when(F.size(cut) > 0, F.sequence(F.lit(0), F.size(cut) - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def _may_be_known(h: Column, bits: Column) -> Column:
     tests = [F.getbit(F.get(bits, F.shiftright(p, 6)), p.bitwiseAND(F.lit(63))) == 1 for p in _positions(h)]
     return tests[0] & tests[1]
@@ -96,17 +112,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     """
     kind = docs.schema[id].dataType.simpleString()
     items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).alias("item"), word_hashes(F.col(item_text).cast("string")).alias("words"))
-    items = materialize(items.select("item", F.size("words").alias("n"), F.posexplode(shingles(F.col("words"))).alias("q", "h")), "leak-items")
+    items = materialize(materialize(items, "leak-words").select("item", F.size("words").alias("n"), F.posexplode(shingles(F.col("words"))).alias("q", "h")), "leak-items")
     n_items = items.select(F.count_distinct("item")).first()[0]
     weights = items.groupBy("h").agg(F.log1p(F.lit(float(n_items)) / F.count_distinct("item")).alias("weight"))
     item_features = items.groupBy("item", "h").agg(F.count(F.lit(1)).alias("tf")).join(weights, "h")
 
     bits = F.lit(shingle_map(items.select("h").distinct()))
-    hashed = docs.where(F.col(text).isNotNull()).select(F.col(id).alias("doc"), word_hashes(F.col(text).cast("string")).alias("words"))
-    cut = hashed.select("doc", shingles(F.col("words")).alias("cut"))
-    where = F.filter(F.sequence(F.lit(0), F.size("cut") - 1), lambda i: _may_be_known(F.get(F.col("cut"), i), bits))
-    known = cut.where(F.size("cut") > 0).select("doc", "cut", where.alias("hits")).where(F.size("hits") > 0)
-    known = materialize(known.withColumn("row", F.monotonically_increasing_id()), "leak-documents")
+    found = let(shingles, word_hashes(F.col(text).cast("string")), lambda cut: F.struct(cut.alias("cut"), F.filter(_places(cut), lambda i: _may_be_known(F.get(cut, i), bits)).alias("hits")))
+    # the row number is not deterministic, so the filter stays above and ``found`` is computed once
+    known = docs.where(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("doc"), found.alias("found")).where(F.size("found.hits") > 0)
+    known = materialize(known.select("row", "doc", "found.cut", "found.hits"), "leak-documents")
 
     touched = known.select("row", F.size("cut").alias("n_cut"), F.explode("hits").alias("p"), F.col("cut")).select("row", "n_cut", "p", F.get("cut", "p").alias("h"))
     length = F.least(F.col("n") - SHINGLE + 1, F.col("n_cut"))

@@ -147,15 +147,14 @@ def redact_text(text: str | None, reach: int, min_entropy: float, mark: str) ->
 def redact(docs: DataFrame, text: str = "text", reach: int = 300, min_entropy: float = 3.5, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by ``mark``; an integer ``n_chars`` follows the new text."""
     place = docs.columns.index(text)
-    counted = "n_chars" in docs.columns and docs.schema["n_chars"].dataType.typeName() in ("long", "integer")
+    counted = docs.columns.index("n_chars") if dict(docs.dtypes).get("n_chars") in ("bigint", "int") else None
 
     def run(batches):
         for batch in portions(batches, text):
             was = batch.column(place).to_pylist()
             new = [redact_text(t, reach, min_entropy, mark) for t in was]
             batch = batch.set_column(place, batch.schema.field(place), pa.array(new, batch.schema.field(place).type))
-            if counted:
-                at = docs.columns.index("n_chars")
+            if (at := counted) is not None:
                 kept = [n if a == b else len(b) for n, a, b in zip(batch.column(at).to_pylist(), was, new, strict=True)]
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(kept, batch.schema.field(at).type))
             yield batch
