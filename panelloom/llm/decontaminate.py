@@ -81,7 +81,11 @@ def _may_be_known(h: Column, bits: Column) -> Column:
 
 
 def fingerprints(features: DataFrame, key: str) -> DataFrame:
-    """(key, fp) from rows (key, h, weight): the sign of each bit's weighted votes."""
+    """(key, fp) from rows (key, h, weight): the sign of each bit's weighted votes.
+
+    Weights are counted in 4096ths, so that sums do not depend on the order of rows, even where votes tie.
+    """
+    features = features.withColumn("weight", F.round(F.col("weight") * 4096).cast("long"))
     votes = [F.sum(F.when(F.getbit("h", F.lit(b)) == 1, F.col("weight")).otherwise(-F.col("weight"))).alias(f"v{b}") for b in range(64)]
     summed = features.groupBy(key).agg(*votes)
     fp = F.lit(0).cast("long")
