@@ -30,7 +30,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, portions, scratch_dir
+from .common import portions, scratch_dir
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 _LIMIT32, _LIMIT16 = 0xFFFFFFFF, 0xFFFF
@@ -269,7 +269,8 @@ def write_packages(pages: DataFrame, id: str = "page_id", url: str = "url", payl
             package.close()
         yield pa.RecordBatch.from_pydict({"uri": [uri], "n_records": [len(index)]})
 
-    return materialize(marked.mapInArrow(write, "uri string, n_records long"), "warc-manifest")
+    # one row for each package: the attempt that Spark counts is the one whose name is told
+    return spark.createDataFrame(marked.mapInArrow(write, "uri string, n_records long").collect(), "uri string, n_records long")
 
 
 def read_packages(manifest: DataFrame, id: str = "page_id") -> DataFrame:
@@ -306,5 +307,5 @@ def read_packages(manifest: DataFrame, id: str = "page_id") -> DataFrame:
                 if block:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*block, strict=True), schema.types, strict=True)], schema=schema)
 
-    n = max(1, manifest.count())
+    n = max(1, min(manifest.count(), 4 * manifest.sparkSession.sparkContext.defaultParallelism))
     return manifest.select("uri").repartition(n).mapInArrow(run, f"`{id}` long, payload_bytes long, payload_digest string, record_type string, refers_to long")
