@@ -15,7 +15,7 @@ A task writes its shard under a name of its own and hands its name on only when
 attempts that were lost are named nowhere and never read.
 
 Defined cases: a null or empty text has the end id alone; rows with a null id come first; rows with equal
-ids stand side by side, by text; an empty table gives no shard; columns other than id and text are not read.
+ids stand side by side, by length and bytes; an empty table gives no shard; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from __future__ import annotations
 import bisect
 import hashlib
 import json
-import re
 import uuid
 import zlib
 
@@ -38,8 +37,10 @@ from .common import ids_of_words, materialize, portions, scratch_dir
 
 MAGIC = b"PLTOKEN1"
 #: Documents whose ids train the dictionary, bytes of it, words that a Python worker remembers.
-SAMPLE_DOCUMENTS, DICTIONARY_BYTES, CACHE_WORDS = 1_000, 65_536, 600_000
-_ODD_SPACE = re.compile(r"[^\S\x20\t\n\r\x0b\x0c]|[\x1c-\x1f\u200b\ufeff]")
+SAMPLE_DOCUMENTS, DICTIONARY_BYTES, CACHE_WORDS = 1_000, 65_536, 500_000
+#: White space, or near it, that only some libraries split at.
+_ODD_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r\x0b\x0c"] + ["\u180e", "\u200b", "\u2060", "\ufeff"]
+_ODD_ASCII = [c for c in _ODD_SPACES if c.isascii()]
 
 
 def default_tokenizer() -> str:
@@ -52,45 +53,87 @@ class WordTokenizer:
     """Ids of whole texts by the ``tokenizers`` library, which is asked once for each distinct word.
 
     A tokenizer whose normalizer turns white space into spaces and whose pre-tokenizer drops it never
-    joins what white space parts, so a text's ids are its words' ids in a row. Other tokenizers, and
-    texts with white space that Python and the library may see differently, are encoded in one go.
+    joins what white space parts, so a text's ids are its words' ids in a row. Words of Latin letters
+    alone, which normalizing only makes lower case and which are one pre-token, go to the library's
+    model directly. Other tokenizers, and texts with white space that Python and the library may see
+    differently, are encoded in one go.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             raw = json.load(f)
-        split = [p for p in (raw.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        parts = (raw.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        split = [p for p in parts if p["type"] == "Split"]
         self.by_word = bool(split) and split[0]["behavior"] == "Removed" and split[0]["invert"] and r"\s" in split[0]["pattern"].get("Regex", "") and '"\\\\s+"' in json.dumps(raw.get("normalizer"))
+        steps = [n["type"] for n in (raw.get("normalizer") or {}).get("normalizers", [])]
+        self.plain = self.by_word and steps == ["NFC", "Replace", "Lowercase"] and r"[\p{L}]+" in split[0]["pattern"]["Regex"] and [p["type"] for p in parts] == ["Split", "ByteLevel"] and not parts[1]["add_prefix_space"]
+        self.width = width or (2 if self.tokenizer.get_vocab_size() <= 65_536 else 4)
+        self.packed = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.cache: dict[str, bytes] = {}
+        # byte-level models write each byte as a printable character; those that print stand for themselves
+        printing = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [b for b in range(256) if b not in printing]
+        self.letters = {b: chr(b) for b in printing} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return b"".join([i.to_bytes(self.width, "little") for i in ids])
+
+    def _known(self, word: str) -> bytes | None:
+        """Ids of a plain word, from the cache where its lower case is there already."""
+        if word.isalpha() and word.isascii() and self.plain:
+            low = word.lower()
+            ids = self.cache.get(low)
+            if ids is None:
+                packed = self.packed
+                ids = self.cache[low] = b"".join([packed[t.id] for t in self.tokenizer.model.tokenize(low)])
+            return ids
+        return self._word(word)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        whole = {i for i, t in enumerate(texts) if t and (not self.by_word or _ODD_SPACE.search(t))}
+        """Ids of each text as little-endian numbers of ``width`` bytes."""
+        whole = {i for i, t in enumerate(texts) if t and (not self.by_word or any(c in t for c in (_ODD_ASCII if t.isascii() else _ODD_SPACES)))}
         words = [t.split() if t and i not in whole else [] for i, t in enumerate(texts)]
         out = ids_of_words(words, self.cache, self._learn, CACHE_WORDS)
         for i in whole:
-            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+            out[i] = self._pack(self.tokenizer.encode(texts[i], add_special_tokens=False).ids)
         return out
 
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters below U+0250; NULL for others."""
+        if not (self.plain and word.isalpha() and max(word) < "\u0250" and "\u0130" not in word):
+            return None
+        low = word.lower()
+        if not low.isascii():
+            low = "".join([self.letters[b] for b in low.encode()])
+        return self._pack([t.id for t in self.tokenizer.model.tokenize(low)])
+
     def _learn(self, new: set[str]) -> None:
-        stems: dict[str, None] = {}
+        hard: dict[str, None] = {}
         rest: list[tuple[str, str, str]] = []
         for w in new:
+            if (ids := self._known(w)) is not None:
+                self.cache[w] = ids
             # a comma or full stop behind an ASCII letter is a token of its own in any context
-            if len(w) > 1 and w[-1] in ",." and "a" <= w[-2].lower() <= "z" and w[-2].isascii():
+            elif len(w) > 1 and w[-1] in ",." and w[-2].isascii() and w[-2].isalpha():
                 rest.append((w, w[:-1], w[-1]))
-                stems[w[:-1]] = stems[w[-1]] = None
+                for part in (w[:-1], w[-1]):
+                    if part not in self.cache:
+                        ids = self._known(part)
+                        if ids is None:
+                            hard[part] = None
+                        else:
+                            self.cache[part] = ids
             else:
-                stems[w] = None
-        ask = [s for s in stems if s not in self.cache]
+                hard[w] = None
+        ask = [s for s in hard if s not in self.cache]
         for k in range(0, len(ask), 5000):
             part = ask[k : k + 5000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[w] = b"".join([i.to_bytes(4, "little") for i in e.ids])
+                self.cache[w] = self._pack(e.ids)
         for w, stem, end in rest:
             self.cache[w] = self.cache[stem] + self.cache[end]
 
@@ -179,7 +222,7 @@ def _write_shard(uri: str, dictionary: bytes, id_bytes: int, rows) -> tuple[int,
     return len(ids), sum(counts)
 
 
-def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", end_id: int = 1, shards: int | None = None, level: int = 3) -> DataFrame:
+def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", end_id: int = 1, shards: int | None = None, level: int = 2) -> DataFrame:
     """Encode, append ``end_id`` and write shards; one row per shard: shard, uri, n_docs, n_tokens, start.
 
     ``start`` counts the ids of all shards before. The rows are as many as shards, so the driver adds
@@ -188,11 +231,11 @@ def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", t
     spark = docs.sparkSession
     path = path or default_tokenizer()
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    bounded = narrow.where(F.length("text") <= 200_000).orderBy(F.xxhash64("id", "text")).limit(SAMPLE_DOCUMENTS)
+    share = min(1.0, 1.5 * SAMPLE_DOCUMENTS / max(1, docs.count()))
+    bounded = narrow.sample(share, 7).where(F.length("text") <= 100_000).limit(2 * SAMPLE_DOCUMENTS)
     tokenizer = tokenizer_of(path)
-    id_bytes = 2 if max(tokenizer.tokenizer.get_vocab_size(), end_id + 1) <= 65_536 else 4
-    dtype = f"<u{id_bytes}"
-    arrays = [np.frombuffer(x, "<u4").astype(dtype).tobytes() for x in tokenizer.encode([r["text"] for r in bounded.collect()])]
+    id_bytes, end = tokenizer.width, tokenizer._pack([end_id])
+    arrays = tokenizer.encode([r["text"] for r in bounded.collect()])
     dictionary = train_dictionary([a for a in arrays if a])
     tokenizer.cache.clear()
     shared = spark.sparkContext.broadcast(dictionary)
@@ -200,19 +243,17 @@ def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", t
     def compress(batches):
         codec = _codec(shared.value, zstandard.ZstdCompressor, level=level)
         own = tokenizer_of(path)
-        end = np.array([end_id], dtype)
         for batch in portions(batches, "text", 4_000_000):
-            found = [np.concatenate([np.frombuffer(x, "<u4").astype(dtype), end]) for x in own.encode(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array([codec.compress(f.tobytes()) for f in found], pa.binary())], names=["id", "n_tokens", "frame"])
+            found = own.encode(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) // id_bytes + 1 for f in found], pa.int64()), pa.array([codec.compress(f + end) for f in found], pa.binary())], names=["id", "n_tokens", "frame"])
 
     frames = materialize(narrow.mapInArrow(compress, "id long, n_tokens long, frame binary"), "token-frames")
     n_shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = frames.select(F.percentile_approx("id", [(i + 1) / n_shards for i in range(n_shards - 1)], 20_000)).first()[0] if n_shards > 1 else []
     place = F.lit(0)
-    if bounds:
+    if bounds:  # how many bounds lie under the id: equal ids share a shard, ids in order have shards in order
         cuts = F.lit(np.array(sorted(set(bounds)), np.int64))
-        # how many bounds lie under the id, by bisection: equal ids share a shard, ids in order have shards in order
-        place = F.coalesce(sum((F.when(F.col("id") > c, 1).otherwise(0) for c in sorted(set(bounds))), F.lit(0)) if len(bounds) <= 64 else F.size(F.filter(cuts, lambda c: c < F.col("id"))), F.lit(0))
+        place = F.coalesce(F.size(F.filter(cuts, lambda c: c < F.col("id"))), F.lit(0))
     target = scratch_dir(spark, "token-shards")
 
     def write(batches):
@@ -234,8 +275,8 @@ def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", t
         yield pa.RecordBatch.from_pydict({"shard": [shard], "uri": [uri], "n_docs": [n_docs], "n_tokens": [n_tokens]}, schema=pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
     dealt = frames.select(place.cast("int").alias("shard"), "id", "n_tokens", "frame").repartitionById(n_shards, F.col("shard"))
-    written = materialize(dealt.sortWithinPartitions(F.col("id").asc_nulls_first(), "n_tokens", "frame").mapInArrow(write, "shard int, uri string, n_docs long, n_tokens long"), "token-manifest")
-    manifest = sorted(written.collect(), key=lambda r: r["shard"])
+    written = dealt.sortWithinPartitions(F.col("id").asc_nulls_first(), "n_tokens", "frame").mapInArrow(write, "shard int, uri string, n_docs long, n_tokens long")
+    manifest = sorted(written.collect(), key=lambda r: r["shard"])  # a row for each shard
     start, rows = 0, []
     for r in manifest:
         rows.append((r["shard"], r["uri"], r["n_docs"], r["n_tokens"], start))
@@ -265,7 +306,7 @@ def read_shards(manifest: DataFrame, id: str = "doc_id", block: int = 4_000_000)
                     yield pa.RecordBatch.from_arrays([ids, pa.array(starts), pa.array(n), pa.array(crc, pa.int64())], names=[id, "start", "n_tokens", "ids_crc32"])
                     begin = end
 
-    n = max(1, manifest.count())
+    n = max(1, min(manifest.count(), 8 * manifest.sparkSession.sparkContext.defaultParallelism))
     return manifest.select("uri", "start", "shard").repartitionById(n, (F.col("shard") % n).cast("int")).select("uri", "start").mapInArrow(run, f"`{id}` long, start long, n_tokens long, ids_crc32 long")
 
 
