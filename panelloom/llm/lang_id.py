@@ -7,8 +7,8 @@ text gets the language with the lowest cross-entropy per character; its score is
 probability of that language, and a text whose cross-entropy is over what held-back training texts
 show is marked as rejected.
 
-The training sample is bounded: ``per_language`` documents of each language, those whose hash of text is
-smallest. Every text is then read whole.
+The training sample is bounded: some ``per_language`` documents of each language, drawn by a fixed
+seed. Every text is then read whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; null languages are no
 training rows; without any training row every text is ``und``; repeated rows are judged one by one.
@@ -219,7 +219,7 @@ class KneserNey:
                 at = self._find(self.order + n - 1, self.context_keys[n - 1], context)
                 back[missed[at >= 0]] += self.gamma[n - 1][at[at >= 0]]
             open_ = np.concatenate([open_[~fits], missed]) if n > 1 else missed
-        total[open_] = self.floor + back[open_]
+        total[open_] = self.floor + back[open_] + self.gamma[0][0]  # the weight that the characters seen leave over
         return -np.add.reduceat(total, ends - sizes, axis=0).astype(np.float64) / sizes[:, None]
 
     def calibrate(self, texts: dict[str, list[str]], quantile: float = 0.999, slack: float = 1.15) -> None:
@@ -253,17 +253,19 @@ class KneserNey:
 
 
 def sample(labelled: DataFrame, text: str, lang: str, per_language: int) -> dict[str, list[str]]:
-    """A bounded sample for the driver: of each language the texts with the smallest hashes.
+    """A bounded sample for the driver: of each language some ``per_language`` texts, drawn by a fixed seed.
 
-    At most ``MAX_LANGUAGES`` languages, those first in the alphabet of all that have a row.
+    At most ``MAX_LANGUAGES`` languages, those with most rows. The counts of rows are taken over all rows.
     """
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= MAX_SAMPLE_CHARS // 8)).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    top = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= per_language)
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return {}
+    drawn = rows.sampleBy("lang", {r["lang"]: min(1.0, 1.3 * per_language / r["n"]) for r in counts}, 11)
+    drawn = drawn.where(F.length("text") <= MAX_SAMPLE_CHARS // 8).withColumn("h", F.xxhash64("text"))
+    top = drawn.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= per_language)
     out: dict[str, list[str]] = {}
-    for r in top.orderBy("lang", "n").toLocalIterator():
-        if r["lang"] not in out and len(out) >= MAX_LANGUAGES:
-            break
+    for r in sorted(top.collect(), key=lambda r: (r["lang"], r["n"])):
         own = out.setdefault(r["lang"], [])
         if sum(map(len, own)) < MAX_SAMPLE_CHARS:
             own.append(r["text"])
