@@ -1,0 +1,232 @@
+"""Operators that work row by row: quality, pieces, URLs, secrets, languages, HTML."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from panelloom.llm import html_extract, lang_id, pieces, quality, secret_scan, url_filter
+from tests.llm.conftest import prose
+
+JUNK = " ".join(w + s for w, s in zip(prose(5, 200, False).split(), ["***", "%%%", "&&&", "###"] * 50, strict=True))
+ODD = [(1, None), (2, ""), (3, " \n\t "), (4, prose(1, 120)), (4, prose(1, 120)), (None, prose(2, 90)), (6, "x " * 60_000), (7, JUNK), (8, "a b c a b c\nq\nq\n\n\nq")]
+
+
+def brute_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    repeated = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(i, i + 3)} if len(grams) < 3000 else None
+    lines, seen, dup = (text or "").split("\n"), set(), 0
+    for line in lines:
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, None if repeated is None else len(repeated)
+
+
+def test_quality_base_and_verdicts(spark, docs_of):
+    good = [(100 + i, prose(100 + i, 150)) for i in range(30)]
+    rows = ODD + good
+    got = quality.quality_rules(docs_of(rows, extra=True)).collect()
+    assert len(got) == len(rows)
+    by_text = {}
+    for r, (i, t) in zip(sorted(got, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.n_words)), sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, brute_base(r[1])[0])), strict=True):
+        n, chars, symbols, dup, rep = brute_base(t)
+        assert (r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines) == (i, n, chars, symbols, dup)
+        if rep is not None:
+            assert r.n_repeat_words == rep
+        assert r.base_failed == (n < 50 or 100 * r.n_repeat_words > 50 * n)
+        by_text[i] = r
+    assert all(by_text[i].kept for i, _ in good)
+    assert not by_text[7].base_failed and not by_text[7].kept
+    assert by_text[6].base_failed and not by_text[1].kept
+    assert quality.quality_rules(docs_of([])).count() == 0
+
+
+def test_quality_repeats_at_odd_spaces():
+    text = "a\u00a0b c\u2003d a\u00a0b c\u2003d a\u00a0b c\u2003d"
+    m = quality.measure(text)
+    assert (m["n_words"], m["n_repeat_words"]) == (6, brute_base(text)[4])
+
+
+def test_keep_good_keeps_columns(docs_of):
+    df = docs_of(ODD + [(200 + i, prose(200 + i, 150)) for i in range(20)], extra=True)
+    out = quality.keep_good(df)
+    assert out.columns == df.columns
+    ids = {r.doc_id for r in out.select("doc_id").collect()}
+    assert ids >= set(range(200, 220)) and not ids & {1, 2, 3, 6, 7}
+
+
+def test_js_distance():
+    p, q = np.array([1.0, 0.0]), np.array([0.0, 2.0])
+    assert quality.js_distance(p, q) == pytest.approx(1.0) and quality.js_distance(p, p) == 0.0
+
+
+def test_pieces_equal_the_library(spark, docs_of):
+    import sentencepiece
+
+    path = pieces.default_model()
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    r = random.Random(3)
+    rows = [(i, "".join(r.choice("abcdetinsrh  \n.,éñ▁日\x00\x01") for _ in range(r.randint(0, 70)))) for i in range(400)]
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(ODD)]
+    got = {x.doc_id: x for x in pieces.encode(docs_of(rows, extra=True)).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert list(got[i].ids) == library.encode(t or ""), repr(t)[:80]
+        assert got[i].round_trip and got[i].n_tokens == len(got[i].ids)
+    back = {x.doc_id: x.text for x in pieces.decode(pieces.encode(docs_of(rows))).collect()}
+    assert all(back[i] == (t or "").replace("▁", " ") for i, t in rows)
+
+
+def test_pieces_survive_a_small_cache(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 50)
+    monkeypatch.setattr(pieces, "CACHE_PAIRS", 40)
+    model = pieces.PieceModel(pieces.default_model())
+    texts = [prose(i, 80) for i in range(12)]
+    assert [model.decode(i) for t in texts for i in model.encode([t])] == texts
+
+
+def test_unigram_scores_by_the_same_walk():
+    model = pieces.PieceModel(pieces.default_model())
+    model.bpe = False
+    word = "▁heating"
+
+    def best(text):
+        table = [(0.0, [])]
+        for end in range(1, len(text) + 1):
+            options = [(table[b][0] + model.score[text[b:end]], table[b][1] + [model.ids[text[b:end]]]) for b in range(end) if text[b:end] in model.ids]
+            table.append(max(options, key=lambda o: o[0]))
+        return table[-1][1]
+
+    assert np.frombuffer(model.encode_sorted([word])[0], "<u4").tolist() == best(word)
+
+
+def test_urls():
+    rules = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+    trie = url_filter.UrlTrie(rules)
+
+    def brute(host, path):
+        fits = [(h.count(".") + 1, len("/" + p), f"{h}/{p}", v) for (h, _, p), v in (((r.partition("/")), v) for r, v in rules) if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        return max(fits)[2:] if fits else None
+
+    r = random.Random(1)
+    for _ in range(3000):
+        host = ".".join(r.choice(["a", "example", "xample", "com", "net", "org"]) for _ in range(r.randint(0, 4)))
+        path = "".join(r.choice(["/", "en", "de", "es", "7", "8", "/en/", "/de/8", "/en/7"]) for _ in range(r.randint(0, 4)))
+        assert trie.match(host, path) == brute(host, path), (host, path)
+    assert url_filter.split_url("HTTP://A.ExÄmple.com/P?q#f") == ("a.exÄmple.com", "/P")
+    assert url_filter.split_url("no scheme/x") == ("", "") == url_filter.split_url(None)
+    assert url_filter.split_url("a://h?x://y/z") == ("h", "")
+    with pytest.raises(ValueError):
+        url_filter.UrlTrie([("a/b", "allow"), ("a/b", "block")])
+
+
+def test_url_query_on_odd_rows(spark):
+    pages = spark.createDataFrame([(1, None), (None, "http://x.com/en/1"), (2, ""), (2, ""), (3, "https://m.example.com/en/73?x")], "page_id long, url string").withColumn("host", F.lit(0)).withColumn("rule", F.lit(0))
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.filter_urls(pages, [("com/en/", "block"), ("example.com/en/7", "allow")]).collect()}
+    assert got == {(1, "", "", None, "allow"), (None, "x.com", "/en/1", "com/en/", "block"), (2, "", "", None, "allow"), (3, "m.example.com", "/en/73", "example.com/en/7", "allow")}
+
+
+def brute_secrets(text):
+    text = text or ""
+    out = [(m.start(), 0, "assign", m.end()) for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII) if len(m[2]) >= 8]
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(out))
+
+
+def test_secrets(docs_of):
+    hexa, access = "0123456789abcdef" * 3, "AKIA" + "Q7" * 8
+    rows = ODD + [
+        (10, f'é token = "{hexa}" x'), (11, f"{access} and Password:hunter2hunter2\napi_key='short'"), (12, f"wJalrXUtnFEMI7K7MDENGbPxRfiCYEXAMPLEKEY9 alone"),
+        (13, f"{access}\nwJalrXUtnFEMI7K7MDENGbPxRfiCYEXAMPLEKEY9"), (14, f"{access}\n\nwJalrXUtnFEMI7K7MDENGbPxRfiCYEXAMPLEKEY9"), (15, "AKIAshort ſecret: abcdefghij SECRET : abcdefghij"),
+    ]
+    got = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan(docs_of(rows, extra=True))).collect()}
+    for i, t in rows:
+        base = brute_secrets(t)
+        assert got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert [got[i].n_assign, got[i].n_access, got[i].n_hex] == [base.count(f"{k}:") for k in ("assign", "access", "hex")]
+        assert set(filter(None, base.split(","))) <= set(got[i].spans.split(","))
+    assert got[12].spans == "" and "weak_secret" in got[13].spans and "weak_secret" not in got[14].spans  # only with its complement, in one scope
+    df = docs_of(rows, extra=True)
+    red = secret_scan.redact(df)
+    assert red.columns == df.columns
+    after = {r.doc_id: r for r in red.collect()}
+    assert hexa not in after[10].text and "[SECRET]" in after[10].text and after[10].n_chars == len(after[10].text)
+    assert after[4].text == prose(1, 120) and after[1].text is None
+
+
+def test_language_models(spark):
+    texts = {
+        "en": ["the river and the stone are in the house with the light " + prose(i, 40) for i in range(60)],
+        "xx": ["zu der von ein wir unser klang strasse haus lichter wasser " * 3 + " ".join(random.Random(i).choices("haus wasser klang lichter strasse baum feld".split(), k=30)) for i in range(60)],
+    }
+    rows = [(i, t, lang) for lang in texts for i, t in enumerate(texts[lang])] + [(900, None, "en"), (901, "123 !!", "en"), (902, "the light in the house", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(df.where("doc_id < 40"), per_language=40)
+    got = lang_id.identify(df.withColumn("score", F.lit(0)), model).collect()
+    assert len(got) == len(rows)
+    truth = {t: lang for lang in texts for t in texts[lang]}
+    right = [r for r in got if r.doc_id >= 40 and r.doc_id < 900]
+    lookup = {(i, t): lang for i, t, lang in rows}
+    answers = {(i, t): p for (i, t, _), p in zip(rows, model.predict([t for _, t, _ in rows]), strict=True)}
+    assert right and all(answers[k][0] == lang for k, lang in lookup.items() if k[1] in truth)
+    assert all(0 <= r.score <= 1 for r in got)
+    assert {r.doc_id: (r.lang_pred, r.score) for r in got if r.doc_id in (900, 901)} == {900: ("und", 0.0), 901: ("und", 0.0)}
+    assert lang_id.identify(df, lang_id.fit(df.where("lang is null"))).where("lang_pred <> 'und'").count() == 0
+    # the same letters in random order are rejected, the language itself is not
+    noise = "".join(random.Random(1).choices("qxzjkvwpbg ", k=400))
+    assert model.predict([noise])[0][3] and not model.predict([texts["en"][50]])[0][3]
+
+
+def test_kneser_ney_is_a_distribution():
+    """Over all characters, the probabilities after any context sum to one."""
+    model = lang_id.KneserNey({"a": ["abracadabra abba cab dad"], "b": ["xyz abc zzz"]})
+    alphabet = np.unique(np.concatenate([lang_id.fold("abracadabra abba cab dad"), lang_id.fold("xyz abc zzz")]))
+    for context in ("ab", "zz", "c d", "qqq"):
+        fixed = lang_id.fold(context)[1:-1]
+        total = np.zeros(2)
+        for c in alphabet:
+            both = np.concatenate([fixed, [c]]).astype(np.uint32)
+            total += 2.0 ** -(model.entropies([both])[0] * len(both) - model.entropies([fixed])[0] * len(fixed))
+        unseen = 2.0 ** -(model.entropies([np.concatenate([fixed, [0x4E00]]).astype(np.uint32)])[0] * (len(fixed) + 1) - model.entropies([fixed])[0] * len(fixed))
+        assert total + unseen == pytest.approx([1, 1], abs=1e-3)
+
+
+def test_fold():
+    assert "".join(map(chr, lang_id.fold("Ab, É9\n日x"))) == " ab é 日x "
+
+
+PAGE = """<html><head><title>No</title><style>p{}</style></head><body><nav><ul><li><a href="/a">Menu one</a></li></ul></nav>
+<div class="cookie-notice">We use cookies</div><div class="ad">Buy now</div>{open}<h1>Head &amp; line</h1><p><b>First   part.<br>goes on</b><p>Second &lt;b&gt; part, which is long enough to be a text of its own in any window.</p>
+<script>var x = "</p>";</script><aside>Side bar</aside><p>Ma.</p><div class="comments"><p>Reader says this</p></div>{close}<form><input value="x"><button>Go</button></form><footer>Foot &copy;</footer>"""
+TEXT = "Head & line\n\nFirst part. goes on\n\nSecond <b> part, which is long enough to be a text of its own in any window.\n\nMa."
+
+
+def test_html(spark):
+    for o, c in (("<article>", "</article>"), ("<main>", "</main>"), ('<div class="article-body">', "</div>")):
+        assert html_extract.extract_text(PAGE.replace("{open}", o).replace("{close}", c)) == TEXT
+    plain = PAGE.replace("{open}", "<div>").replace("{close}", "</div>")
+    assert html_extract.extract_text(plain).startswith("Head & line\n\nFirst part. goes on")
+    assert html_extract.extract_text(None) == html_extract.extract_text("") == ""
+    assert html_extract.extract_text("just text") == "just text"
+    assert html_extract.extract_text("<article><p>unclosed <b>bold") == "unclosed bold"
+    assert html_extract.extract_text("<article>" + "<p>word</p>" * 20_000 + "</article>").count("word") == 20_000
+    pages = spark.createDataFrame([(1, None, None), (None, "u", PAGE), (2, "u", "<p>a</p>"), (2, "u", "<p>a</p>")], "page_id long, url string, html string").withColumn("text", F.lit(1))
+    got = html_extract.extract(pages).collect()
+    assert len(got) == 4 and all(r.n_chars == len(r.text) for r in got)
+
+
+def test_line_blocks():
+    assert html_extract.between_surge_and_dive([5, 0, 60, 70, 2, 0, 3], 3, 80) == [False, False, True, True, True, False, False]
+
+
+def test_crc_rule_of_the_split(spark):
+    ids = list(range(50))
+    got = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("h")).collect()
+    assert {r.doc_id: r.h for r in got} == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in ids}
