@@ -72,7 +72,7 @@ def eigen_centrality(edges: DataFrame, rounds: int = 10) -> DataFrame:
     """
     if not 0 < rounds <= 50:
         raise ValueError("between 1 and 50 rounds")
-    w = edges.select("i", "j", F.abs("corr").alias("w"))
+    w = edges.select("i", "j", F.abs("corr").alias("w")).persist()  # read once for each round
     scores = w.select(F.col("i").alias("code")).union(w.select("j")).distinct().withColumn("score", F.lit(1.0))
     for _ in range(rounds):
         scores = w.join(scores.withColumnRenamed("code", "j"), "j").groupBy(F.col("i").alias("code")).agg(F.sum(F.col("w") * F.col("score")).alias("score"))

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from .functions import cross, scalar
 from .functions.windows import Series, run_length
 from .operators import bars, bitemporal, evaluation, grid, histogram, market, network, recursive, sets
+from .plans import registry
 from .sources import tables
+from .sources.tables import scratch
+from .streaming import increments
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -407,7 +410,7 @@ query("t07_realizable_top", f"{EVAL}, r AS (SELECT *, row_number() OVER (PARTITI
 query("b10_wpcc", f"{EVAL}, k AS (SELECT *, pow(0.5, (row_number() OVER (PARTITION BY day ORDER BY ret DESC, code) - 1) / (count(*) OVER (PARTITION BY day) - 1)) AS k FROM e), m AS (SELECT day, sum(k * score) / sum(k) AS ma, sum(k * ret) / sum(k) AS mb, sum(k * score * ret) / sum(k) AS ab, sum(k * score * score) / sum(k) AS aa, sum(k * ret * ret) / sum(k) AS bb FROM k GROUP BY day) SELECT day, round((ab - ma * mb) / sqrt((aa - ma * ma) * (bb - mb * mb)), 5) + 0.0 AS wpcc FROM m")(lambda spark, d: evaluation.wpcc(scored(spark, d), "score", "ret").select("day", F.round("wpcc", 5).alias("wpcc")))
 query("b15_drawdown", f"{GRID}, v AS (SELECT code, day, exp(sum(ln(1 + coalesce(x / 1000, 0) - 0.008)) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING)) AS v FROM grid) SELECT code, day, round(v, 6) + 0.0 AS value, round(v / greatest(1, max(v) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING)) - 1, 6) + 0.0 AS drawdown FROM v")(lambda spark, d: evaluation.drawdown(panel(spark, d).select("code", "day", (F.coalesce(X / 1000, F.lit(0.0)) - 0.008).alias("r")), "r", ["code"]).select("code", "day", r6("value").alias("value"), r6("drawdown").alias("drawdown")))
 query("b06_walk_forward", "WITH s AS (SELECT day, row_number() OVER (ORDER BY day) AS n, count(*) OVER () AS t FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)), f AS (SELECT *, UNNEST([1, 2, 3, 4]) AS fold FROM s), p AS (SELECT *, t - (4 - fold + 1) * 100 + 1 AS b FROM f) SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN n BETWEEN b AND b + 99 THEN 'test' ELSE 'train' END AS part, day FROM p WHERE n BETWEEN b AND b + 99 OR n BETWEEN b - 10 - 500 AND b - 11")(lambda spark, d: evaluation.walk_forward(table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("day")), 4, 500, 10, 100))
-query("b14_fees", "SELECT o_orderkey, round(greatest(o_totalprice * 0.00025, 5) + o_totalprice * 1e-5 + CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 5e-4 ELSE 0 END, 6) + 0.0 AS fee FROM orders")(lambda spark, d: table(spark, d, "orders").select("o_orderkey", r6(scalar.trade_fee("o_totalprice", F.col("o_orderstatus") == "F")).alias("fee")))
+query("b14_fees", "SELECT o_orderkey, round(greatest(o_totalprice * 0.00025, 5) + o_totalprice * 1e-5 + CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 5e-4 ELSE 0 END, 9) + 0.0 AS fee FROM orders")(lambda spark, d: table(spark, d, "orders").select("o_orderkey", F.round(scalar.trade_fee("o_totalprice", F.col("o_orderstatus") == "F"), 9).alias("fee")))
 query("b20_extreme_strength", f"{GRID} SELECT code, day, round(greatest(coalesce(x, 0) - 8, 0) + greatest(coalesce(y, 0) - 8, 0), 6) + 0.0 AS value FROM grid")(lambda spark, d: panel(spark, d).select("code", "day", r6(evaluation.extreme_strength(["x", "y"], 8.0)).alias("value")))
 query("b03_coverage", f"{GRID} SELECT code, 'x' AS name, round(avg(CASE WHEN x IS NULL THEN 0.0 ELSE 1.0 END), 6) + 0.0 AS coverage FROM grid GROUP BY code")(lambda spark, d: evaluation.covered(panel(spark, d), ["x"], ["code"]).select("code", "name", r6("coverage").alias("coverage")))
 query("a25_correlation_matrix", f"{GRID}, c AS (SELECT day, corr(x, y) AS c FROM grid GROUP BY day) SELECT 'x' AS a, 'y' AS b, round(avg(c), 6) + 0.0 AS corr FROM c")(lambda spark, d: evaluation.correlation_matrix(panel(spark, d), ["x", "y"]).select("a", "b", r6("corr").alias("corr")))
@@ -425,6 +428,49 @@ query("w25_seasonal_innovation")(lambda spark, d: recursive.seasonal_innovation(
 query("b17_hysteresis")(lambda spark, d: recursive.hysteresis(panel(spark, d).select("code", "day", "x"), "x", "budget", 9.5, 8.5).select("code", "day", "budget"))
 
 
+# --- increments --------------------------------------------------------------------------------
+
+query("st10_tumbling", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")(lambda spark, d: table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "event_type", "n"))
+query("st11_sliding", "SELECT CAST(d AS DATE) AS start, count(*) AS n FROM events e JOIN (SELECT UNNEST(generate_series(DATE '2023-12-30', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) ON ts >= d AND ts < d + INTERVAL 3 DAY GROUP BY ALL")(lambda spark, d: table(spark, d, "events").groupBy(F.window("ts", "3 days", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("w.start").alias("start"), "n"))
+query("st12_sessions", "WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k")(lambda spark, d: table(spark, d, "events").groupBy("user_id", F.session_window("ts", "6 hours").alias("w")).agg(F.count(F.lit(1)).alias("n")).select("user_id", F.col("w.start").alias("start"), "n"))
+query("st09_calendar_gaps", f"{GRID} SELECT g.code, g.day FROM grid g JOIN (SELECT code, min(day) AS a, max(day) AS b FROM facts GROUP BY code) s ON s.code = g.code AND g.day BETWEEN s.a AND s.b WHERE g.vol IS NULL")(lambda spark, d: (lambda f: increments.calendar_gaps(f, f.select("day").distinct(), ["code"]))(facts(spark, d)))
+query("st08_ledger_changes", "SELECT CAST(ts AS DATE) AS day, 'rewritten' AS change FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-09' GROUP BY 1")(lambda spark, d: (lambda e: sets.compare_fingerprints(sets.fingerprint(e, ["day"]), sets.fingerprint(e.withColumn("v", F.when(F.col("day") == F.lit("2024-01-09").cast("date"), -1).otherwise(F.col("v"))), ["day"]), ["day"]))(table(spark, d, "events").select(F.to_date("ts").alias("day"), "event_id", F.lit(1).alias("v"))))
+query("st02_usual_delay", "WITH a AS (SELECT event_type AS t, CAST(ts AS DATE) AS day, CAST(count(*) % 3 AS INTEGER) AS delay FROM events GROUP BY 1, 2), r AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY t ORDER BY day DESC) <= 10), c AS (SELECT t, delay, count(*) AS n FROM r GROUP BY 1, 2) SELECT t AS \"table\", least(delay, 2) AS delay FROM c QUALIFY row_number() OVER (PARTITION BY t ORDER BY n DESC, delay DESC) = 1")(lambda spark, d: increments.usual_delay(table(spark, d, "events").groupBy(F.col("event_type").alias("table"), F.to_date("ts").alias("day")).agg((F.count(F.lit(1)) % 3).cast("int").alias("delay")).withColumn("declared", F.lit(0))))
+
+
+def _stream_upsert(spark, d):
+    """Events as a stream of files, merged by (user, type), the newest event staying."""
+    root = scratch(spark, "upsert")
+    stream = increments.file_stream(spark, f"{d}/events.parquet", table(spark, d, "events").schema)
+    target = increments.UpsertTable(spark, f"{root}/table", ["user_id", "event_type"], ["event_id"], "event_type")
+    target.sink(stream, f"{root}/checkpoint").awaitTermination()
+    return target.read().select("user_id", "event_type", "event_id", "value")
+
+
+query("st05_stream_upsert", "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1")(_stream_upsert)
+
+
+# --- registry ----------------------------------------------------------------------------------
+
+
+def _registry(spark, d):
+    """Two metrics, one built on the other, through the registry: stored form and rank."""
+    dense = panel(spark, d)
+    reg = registry.Registry(tables.Catalog(spark, d))
+    reg.add(registry.Metric("move", lambda ctx: ctx.grid.select("day", "code", S.diff(X, 1).alias("value"))))
+    reg.add(registry.Metric("calm", lambda ctx: ctx.parent("move").select("day", "code", (-F.abs("value")).alias("value")), parents=("move",), warmup=1))
+    done, failed = registry.run(reg, ["calm"], dense, least=20)
+    if failed:
+        raise RuntimeError(failed)
+    return done["calm"].select("day", "code", F.round(F.col("value").cast("double"), 3).alias("value"))
+
+
+query("u05_registry_metric", f"{GRID} SELECT day, code, round(CAST(CAST(-abs(x - lag(x) OVER {ORDER}) AS FLOAT) AS DOUBLE), 3) + 0.0 AS value FROM grid")(_registry)
+query("s13_plan_days", f"WITH {FACTS}, c AS (SELECT day, row_number() OVER (ORDER BY day) AS n, count(*) OVER () AS t FROM (SELECT DISTINCT day FROM facts)) SELECT day FROM c WHERE n > t - 3 OR day NOT IN (SELECT day FROM facts WHERE day NOT IN (DATE '2024-01-04', DATE '2024-01-11'))")(lambda spark, d: (lambda f: registry.plan_days(f.select("day"), f.where("day not in ('2024-01-04', '2024-01-11')"), tail=3))(facts(spark, d)))
+query("b02_wide_snapshot", f"""{GRID}, c AS (SELECT code, day, x, y, CASE WHEN quantile_cont(x, 0.01) OVER (PARTITION BY day) < quantile_cont(x, 0.99) OVER (PARTITION BY day) AND x IS NOT NULL THEN least(greatest(x, quantile_cont(x, 0.01) OVER (PARTITION BY day)), quantile_cont(x, 0.99) OVER (PARTITION BY day)) ELSE x END AS v FROM grid)
+SELECT code, day, round(CASE WHEN v IS NOT NULL AND stddev_pop(v) OVER (PARTITION BY day) > 1e-12 THEN least(greatest((v - avg(v) OVER (PARTITION BY day)) / stddev_pop(v) OVER (PARTITION BY day), -10), 10) END, 6) + 0.0 AS fx FROM c""")(lambda spark, d: (lambda p: registry.wide_snapshot({"fx": p.select("day", "code", X.alias("value")), "fy": p.select("day", "code", Y.alias("value"))}, least=1).select("code", "day", r6("fx").alias("fx")))(panel(spark, d)))
+
+
 # --- flagship ----------------------------------------------------------------------------------
 
 query("q01_momentum_rank", f"""{GRID}, m AS (SELECT code, day, CASE WHEN n >= 6 THEN x - lag(x, 5) OVER {ORDER} END AS v FROM grid),

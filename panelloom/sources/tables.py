@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -208,3 +212,20 @@ def magnitude_jumps(df: DataFrame, x: str, factor: float = 5.0) -> DataFrame:
     w = Window.orderBy("day")
     ratio = F.col("median") / F.lag("median").over(w)
     return daily.withColumn("ratio", ratio).where((F.col("ratio") >= factor) | (F.col("ratio") <= 1 / factor))
+
+
+_local: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``; local sessions without that setting get one of their own."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="panelloom-")
+            atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
+        base = f"file://{_local[app]}"
+    return f"{base.rstrip('/')}/panelloom/{name}-{uuid.uuid4().hex[:12]}"

@@ -15,8 +15,12 @@ from ..sources.tables import upsert
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, per_trigger: int = 100) -> DataFrame:
-    """New Parquet files of a folder, a bounded number for each micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+    """New Parquet files of a folder, or one named file, a bounded number for each micro-batch."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger)
+    if name.endswith(".parquet"):
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
 
 
 def tumbling(stream: DataFrame, time: str, width: str, keys: list[str], aggregates: list[Column], late: str) -> DataFrame:
