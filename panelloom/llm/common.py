@@ -34,9 +34,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/panelloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: lineage ends there."""
+def files_for(spark: SparkSession, rows: int, per_file: int = 100_000) -> int:
+    """Files for a table of at most ``rows`` rows: two for each core, more as it grows."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // per_file))
+
+
+def materialize(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: lineage ends there.
+
+    With ``files``, the write has no more tasks than that, each with several shuffle partitions.
+    """
     path = scratch_dir(df.sparkSession, name)
+    if files is not None:
+        df = df.coalesce(files)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

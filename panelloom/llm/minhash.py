@@ -6,10 +6,11 @@ number of darts in each dyadic cell of rank, and every dart falls on one of ``K`
 dart of a coordinate is the signature there, so only about ``K ln K`` darts of a document are ever looked
 at. Two documents agree on a coordinate as often as their weighted Jaccard similarity says.
 
-Signatures are cut into bands. Equal bands link a document to the smallest document of the bucket, and
-each such pair is checked exactly. As long as a bucket holds rows that no checked link has joined, the
-next smallest takes the lead there; so no link between different texts in a bucket is lost, and no
-bucket's pairs are listed when its rows are one class already. With 32 bands of 5, a pair at similarity
+Signatures are cut into bands. In each bucket of equal bands one document takes the lead, the one that
+shares most buckets with others, and is checked exactly against the bucket's other documents. It then
+leaves; while the rest has two classes or more, the next one leads. So no link between different texts
+in a bucket is lost, and no bucket's pairs are listed whose rows are one class already. What is left
+after ``lead_rounds`` rounds is checked pair by pair, but for pairs of one class. With 32 bands of 5, a pair at similarity
 0.8 shares no bucket with a probability below 4e-6. The classes are the connected components.
 
 Equal texts are one document until the end; they are joined by their hash and never compared.
@@ -30,12 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, portions
+from .common import files_for, materialize, portions
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 5
 K = BANDS * ROWS
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -155,7 +156,7 @@ def _throw(e, w, cell, low, width, limit, keep_rank, out, todo, k):
 
 def band_hashes(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """One signed 64-bit hash for each band of each signature."""
-    parts = sig.reshape(len(sig), bands, -1)
+    parts = sig.reshape(len(sig), bands, sig.shape[1] // bands)
     h = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sig), bands)) * _C1
     with np.errstate(over="ignore"):
         for r in range(parts.shape[2]):
@@ -171,7 +172,7 @@ def bands_of(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, key, bands) of each row: key is a hash of the text; bands is null for a text without a word."""
 
     def run(batches):
-        for batch in portions(batches, "text", 2_000_000, 2_000):
+        for batch in portions(batches, "text", 1_000_000, 2_000):
             texts = batch.column(2).to_pylist()
             element, count = elements(texts)
             bands = band_hashes(signatures(element, count))
@@ -189,7 +190,7 @@ def elements_of(docs: DataFrame) -> DataFrame:
     """(id, elements) of (id, text) rows; elements are ascending."""
 
     def run(batches):
-        for batch in portions(batches, "text", 2_000_000, 2_000):
+        for batch in portions(batches, "text", 1_000_000, 2_000):
             element, count = elements(batch.column(1).to_pylist())
             owner = np.repeat(np.arange(len(count)), count)
             signed = element.astype(np.int64)
@@ -199,23 +200,21 @@ def elements_of(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, elements array<long>")
 
 
-def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
-    """(id, label) of ``nodes``: the smallest id of each node's component by the (a, b) ``edges``.
+def components(labels: DataFrame, edges: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """(id, label): the smallest id of each node's component by the (a, b) ``edges``, from labels so far.
 
-    Labels move along edges and then jump to their label's label, so a chain of n edges takes about
-    log n rounds. Each round is written to the shared folder; nothing but a count reaches the driver.
+    Labels move along edges, and what a label's own node or another node with that label has found,
+    all take over that have it; so a chain of n edges takes about log n rounds. Each round is written
+    to the shared folder; nothing but a flag reaches the driver.
     """
-    both = materialize(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))), f"{name}-edges")
-    labels = nodes.select("id", F.col("id").alias("label"))
+    both = materialize(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))), f"{name}-edges", files)
     while True:
         near = both.join(labels.select(F.col("id").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        moved = materialize(labels.join(near.withColumnRenamed("u", "id"), "id", "left").select("id", "label", F.least("label", F.coalesce("near", "label")).alias("new")), f"{name}-moved")
-        # what a label's own node and the nodes that had the label have found out, all that have it take over
-        told = moved.select(F.col("label").alias("label"), "new").unionByName(moved.select(F.col("id").alias("label"), "new")).groupBy("label").agg(F.min("new").alias("told"))
-        labels = materialize(moved.join(told, "label").select("id", F.col("label").alias("was"), F.least("new", "told").alias("label")), f"{name}-labels")
-        if labels.where("label < was").isEmpty():
-            return labels.select("id", "label")
-        labels = labels.select("id", "label")
+        moved = materialize(labels.join(near.withColumnRenamed("u", "id"), "id", "left").select("id", "label", F.least("label", F.coalesce("near", "label")).alias("new")), f"{name}-moved", files)
+        if moved.where("new < label").isEmpty():
+            return labels
+        told = moved.select("label", "new").unionByName(moved.select(F.col("id").alias("label"), "new")).groupBy("label").agg(F.min("new").alias("told"))
+        labels = materialize(moved.join(told, "label").select("id", F.least("new", "told").alias("label")), f"{name}-labels", files)
 
 
 def similar_pairs(pairs: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
@@ -228,42 +227,46 @@ def similar_pairs(pairs: DataFrame, own: DataFrame, similarity: float) -> DataFr
     return both.where((F.least(F.size("ea"), F.size("eb")) >= similarity * F.greatest(F.size("ea"), F.size("eb"))) & (shared >= similarity * (lengths - shared))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, lead_rounds: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, lead_rounds: int = 8) -> DataFrame:
     """(id, class_id) of each row of ``docs``: class_id is the smallest id of its near-duplicates' class."""
+    spark = docs.sparkSession
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    signed = materialize(bands_of(narrow, "id", "text"), "minhash-bands")
+    total = docs.count()
+    files = files_for(spark, total)
+    signed = materialize(bands_of(narrow, "id", "text"), "minhash-bands", files_for(spark, total, 8_000))
     known = signed.where(F.col("id").isNotNull() & F.col("bands").isNotNull())
     # one document stands for equal texts; their bands are equal, too
-    copies = materialize(known.groupBy("key").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands")), "minhash-reps")
+    copies = materialize(known.groupBy("key").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands")), "minhash-reps", files_for(spark, total, 8_000))
     buckets = copies.select("rep", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("most")).where("lead < most").select("bucket", "lead")
-    rows = materialize(buckets.join(shared, "bucket").select("bucket", "rep", "lead"), "minhash-buckets")
-    nodes = materialize(rows.select(F.col("rep").alias("id")).distinct(), "minhash-nodes")
-    own = materialize(elements_of(narrow.join(nodes, "id", "left_semi")), "minhash-elements")
-    edges, labels, turn = None, None, 0
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = materialize(buckets.join(shared, "bucket").select("bucket", "rep", "n"), "minhash-buckets", files)
+    # the copy that the others were made from shares more and larger buckets than they do with each other
+    scores = materialize(met.groupBy("rep").agg(F.sum("n").alias("score")), "minhash-nodes", files)
+    nodes = scores.select(F.col("rep").alias("id"))
+    own = materialize(elements_of(narrow.join(nodes, "id", "left_semi")), "minhash-elements", files_for(spark, total, 8_000))
+    labels, edges, turn = nodes.select("id", F.col("id").alias("label")), None, 0
+    rows = met.join(scores, "rep").select("bucket", "rep", "score", F.col("rep").alias("label"))
     while True:
-        candidates = rows.where("rep > lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-        if turn:
-            candidates = rows.where("rep > lead and label <> lead_label").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-        found = materialize(similar_pairs(candidates, own, similarity), "minhash-links")
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(nodes, edges, "minhash")
         turn += 1
-        # leads have met their whole bucket; what is left of it matters while it has two classes or more
-        left = rows.where("rep > lead").select("bucket", "rep").join(labels.withColumnRenamed("id", "rep"), "rep")
-        open_ = left.groupBy("bucket").agg(F.min(F.struct("rep", "label")).alias("first"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket", F.col("first.rep").alias("lead"), F.col("first.label").alias("lead_label"))
-        rows = materialize(left.join(open_, "bucket").select("bucket", "rep", "label", "lead", "lead_label"), "minhash-open")
+        first = rows.groupBy("bucket").agg(F.max(F.struct("score", (-F.col("rep")).alias("rep"), "label")).alias("first"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        rows = materialize(rows.join(first.select("bucket", (-F.col("first.rep")).alias("lead"), F.col("first.label").alias("lead_label")), "bucket"), "minhash-open", files)
         if rows.isEmpty():
             break
-        if turn >= lead_rounds:  # what no lead resolves: the pairs of different classes, each once
+        if turn <= lead_rounds:
+            pairs = rows.where("label <> lead_label").select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
+        else:  # what no lead resolves: the pairs of different classes, each once
             other = rows.select("bucket", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-            rest = rows.select("bucket", F.col("rep").alias("a"), "label").join(other, "bucket").where("a < b and label <> label_b").select("a", "b").distinct()
-            edges = edges.unionByName(materialize(similar_pairs(rest, own, similarity), "minhash-links"))
-            labels = components(nodes, edges, "minhash")
+            pairs = rows.select("bucket", F.col("rep").alias("a"), "label").join(other, "bucket").where("a < b and label <> label_b").select("a", "b")
+        found = materialize(similar_pairs(pairs.distinct(), own, similarity), "minhash-links", files)
+        edges = found if edges is None else edges.unionByName(found)
+        labels = components(labels, edges, "minhash", files)
+        if turn > lead_rounds:
             break
+        # leads have met their whole bucket and leave it; the rest matters while it has two classes or more
+        rows = rows.where("rep <> lead").select("bucket", "rep", "score").join(labels.withColumnRenamed("id", "rep"), "rep")
     of_rep = copies.select("key", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("label", "rep").alias("class_id"))
-    classed = signed.select("id", "bands", "key").join(of_rep, "key", "left")
-    return classed.select(F.col("id").alias(id), F.when(F.col("bands").isNotNull() & F.col("id").isNotNull(), F.col("class_id")).otherwise(F.col("id")).alias("class_id"))
+    classed = signed.select("id", "key", (F.col("bands").isNotNull() & F.col("id").isNotNull()).alias("has")).join(of_rep, "key", "left")
+    return classed.select(F.col("id").alias(id), F.when(F.col("has"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")).coalesce(files)
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
