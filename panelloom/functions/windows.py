@@ -19,7 +19,10 @@ class Series:
 
     def __init__(self, code: str = "code", day: str = "day"):
         self.code, self.day = code, day
-        self.all = Window.partitionBy(code).orderBy(day)
+
+    @property
+    def all(self) -> WindowSpec:
+        return Window.partitionBy(self.code).orderBy(self.day)
 
     def last(self, n: int) -> WindowSpec:
         return self.all.rowsBetween(-(n - 1), 0)

@@ -79,63 +79,62 @@ def series(name: str, column: Callable[[], Column], expr: str) -> None:
     query(name, f"{GRID} SELECT code, day, round({expr}, 6) + 0.0 AS value FROM grid")(run)
 
 
-X, Y = F.col("x"), F.col("y")
 ORDER = "(PARTITION BY code ORDER BY day)"
 PAIR = "CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN x END"
-series("w01_shift", lambda: S.shift(X, 3), f"lag(x, 3) OVER {ORDER}")
-series("w02_pct_change", lambda: S.pct_change(X, 2), f"(x - lag(x, 2) OVER {ORDER}) / nullif(abs(lag(x, 2) OVER {ORDER}), 0)")
-series("w03_ffill", lambda: S.ffill(X), "last_value(x IGNORE NULLS) OVER (PARTITION BY code ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-series("w04_roll_sum", lambda: S.sum(X, 5), full_sql(f"sum(x) OVER {w(5)}", 5, 5))
-series("w04_roll_mean_relaxed", lambda: S.mean(X, 7, 3), full_sql(f"avg(x) OVER {w(7)}", 7, 3))
-series("w04_roll_count", lambda: S.count(X, 6).cast("double"), f"CASE WHEN n >= 6 THEN CAST(count(x) OVER {w(6)} AS DOUBLE) END")
-series("w05_roll_var", lambda: S.var(X, 6, 4, ddof=1), full_sql(f"var_samp(x) OVER {w(6)}", 6, 4))
-series("w05_roll_std", lambda: S.std(X, 10, 5), full_sql(f"stddev_pop(x) OVER {w(10)}", 10, 5))
-series("w06_roll_cov", lambda: S.cov(X, Y, 8, 5), full_sql(f"covar_pop(x, y) OVER {w(8)}", 8, 5, PAIR))
-series("w06_roll_corr", lambda: S.corr(X, Y, 10, 6), full_sql(f"CASE WHEN var_pop({PAIR}) OVER {w(10)} > 0 AND var_pop(CASE WHEN x IS NOT NULL THEN y END) OVER {w(10)} > 0 THEN corr(x, y) OVER {w(10)} END", 10, 6, PAIR))
-series("w07_roll_skew", lambda: S.skew(X, 12, 6), full_sql(f"CASE WHEN count(x) OVER {w(12)} >= 3 THEN skewness(x) OVER {w(12)} END", 12, 6))
-series("w07_roll_kurt", lambda: S.kurt(X, 12, 6), full_sql(f"CASE WHEN count(x) OVER {w(12)} >= 4 THEN kurtosis(x) OVER {w(12)} END", 12, 6))
-series("w08_roll_max", lambda: S.max(X, 5, 2), full_sql(f"max(x) OVER {w(5)}", 5, 2))
-series("w08_roll_min", lambda: S.min(X, 5, 2), full_sql(f"min(x) OVER {w(5)}", 5, 2))
-series("w12_roll_quantile", lambda: S.quantile(X, 10, 0.25, 5), full_sql(f"quantile_cont(x, 0.25) OVER {w(10)}", 10, 5))
-series("w13_roll_product", lambda: S.product(X, 4, 2), full_sql(f"product(coalesce(x, 1)) OVER {w(4)}", 4, 2))
-series("w15_decay_linear", lambda: S.decay_linear(X, 5), full_sql("(" + " + ".join(f"{5 - k} * lag(x, {k}) OVER {ORDER}" for k in range(5)) + ") / 15", 5, 5))
+series("w01_shift", lambda: S.shift(F.col("x"), 3), f"lag(x, 3) OVER {ORDER}")
+series("w02_pct_change", lambda: S.pct_change(F.col("x"), 2), f"(x - lag(x, 2) OVER {ORDER}) / nullif(abs(lag(x, 2) OVER {ORDER}), 0)")
+series("w03_ffill", lambda: S.ffill(F.col("x")), "last_value(x IGNORE NULLS) OVER (PARTITION BY code ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+series("w04_roll_sum", lambda: S.sum(F.col("x"), 5), full_sql(f"sum(x) OVER {w(5)}", 5, 5))
+series("w04_roll_mean_relaxed", lambda: S.mean(F.col("x"), 7, 3), full_sql(f"avg(x) OVER {w(7)}", 7, 3))
+series("w04_roll_count", lambda: S.count(F.col("x"), 6).cast("double"), f"CASE WHEN n >= 6 THEN CAST(count(x) OVER {w(6)} AS DOUBLE) END")
+series("w05_roll_var", lambda: S.var(F.col("x"), 6, 4, ddof=1), full_sql(f"var_samp(x) OVER {w(6)}", 6, 4))
+series("w05_roll_std", lambda: S.std(F.col("x"), 10, 5), full_sql(f"stddev_pop(x) OVER {w(10)}", 10, 5))
+series("w06_roll_cov", lambda: S.cov(F.col("x"), F.col("y"), 8, 5), full_sql(f"covar_pop(x, y) OVER {w(8)}", 8, 5, PAIR))
+series("w06_roll_corr", lambda: S.corr(F.col("x"), F.col("y"), 10, 6), full_sql(f"CASE WHEN var_pop({PAIR}) OVER {w(10)} > 0 AND var_pop(CASE WHEN x IS NOT NULL THEN y END) OVER {w(10)} > 0 THEN corr(x, y) OVER {w(10)} END", 10, 6, PAIR))
+series("w07_roll_skew", lambda: S.skew(F.col("x"), 12, 6), full_sql(f"CASE WHEN count(x) OVER {w(12)} >= 3 THEN skewness(x) OVER {w(12)} END", 12, 6))
+series("w07_roll_kurt", lambda: S.kurt(F.col("x"), 12, 6), full_sql(f"CASE WHEN count(x) OVER {w(12)} >= 4 THEN kurtosis(x) OVER {w(12)} END", 12, 6))
+series("w08_roll_max", lambda: S.max(F.col("x"), 5, 2), full_sql(f"max(x) OVER {w(5)}", 5, 2))
+series("w08_roll_min", lambda: S.min(F.col("x"), 5, 2), full_sql(f"min(x) OVER {w(5)}", 5, 2))
+series("w12_roll_quantile", lambda: S.quantile(F.col("x"), 10, 0.25, 5), full_sql(f"quantile_cont(x, 0.25) OVER {w(10)}", 10, 5))
+series("w13_roll_product", lambda: S.product(F.col("x"), 4, 2), full_sql(f"product(coalesce(x, 1)) OVER {w(4)}", 4, 2))
+series("w15_decay_linear", lambda: S.decay_linear(F.col("x"), 5), full_sql("(" + " + ".join(f"{5 - k} * lag(x, {k}) OVER {ORDER}" for k in range(5)) + ") / 15", 5, 5))
 series("w16_event_decay", lambda: S.event_decay(F.col("errors").cast("double"), 5, 3.0), " + ".join(f"coalesce(lag(errors, {k}) OVER {ORDER}, 0) * pow(0.5, {k} / 3.0)" for k in range(5)))
-series("w19_observed_mean", lambda: S.observed_mean(X, 6), f"avg(x) OVER {w(6)}")
-series("w20_fixed_window_mean", lambda: S.observed_mean(X, 8, 3), f"CASE WHEN count(x) OVER {w(8)} >= 3 THEN avg(x) OVER {w(8)} END")
-series("w21_past_mean", lambda: S.past_mean(X, 5), "CASE WHEN count(x) OVER p = 5 THEN avg(x) OVER p END".replace("OVER p", "OVER (PARTITION BY code ORDER BY day ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"))
-series("w21_past_std", lambda: S.past_std(X, 6, 4), "CASE WHEN count(x) OVER p >= 4 THEN stddev_pop(x) OVER p END".replace("OVER p", "OVER (PARTITION BY code ORDER BY day ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)"))
-series("w23_roll_zscore", lambda: S.zscore(X, 10, 5), full_sql(f"CASE WHEN stddev_pop(x) OVER {w(10)} > 1e-12 THEN (x - avg(x) OVER {w(10)}) / stddev_pop(x) OVER {w(10)} END", 10, 5))
-series("w24_roll_slope", lambda: S.slope(X, Y, 12, 6), full_sql(f"CASE WHEN var_pop(CASE WHEN x IS NOT NULL THEN y END) OVER {w(12)} > 1e-18 THEN covar_pop(x, y) OVER {w(12)} / var_pop(CASE WHEN x IS NOT NULL THEN y END) OVER {w(12)} END", 12, 6, PAIR))
-series("w24_residual_std", lambda: S.residual_std(X, Y, 8), full_sql(f"CASE WHEN var_pop(y) OVER {w(8)} > 1e-18 THEN sqrt(greatest(0, var_pop(x) OVER {w(8)} - pow(covar_pop(x, y) OVER {w(8)}, 2) / var_pop(y) OVER {w(8)})) END", 8, 8, PAIR))
+series("w19_observed_mean", lambda: S.observed_mean(F.col("x"), 6), f"avg(x) OVER {w(6)}")
+series("w20_fixed_window_mean", lambda: S.observed_mean(F.col("x"), 8, 3), f"CASE WHEN count(x) OVER {w(8)} >= 3 THEN avg(x) OVER {w(8)} END")
+series("w21_past_mean", lambda: S.past_mean(F.col("x"), 5), "CASE WHEN count(x) OVER p = 5 THEN avg(x) OVER p END".replace("OVER p", "OVER (PARTITION BY code ORDER BY day ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"))
+series("w21_past_std", lambda: S.past_std(F.col("x"), 6, 4), "CASE WHEN count(x) OVER p >= 4 THEN stddev_pop(x) OVER p END".replace("OVER p", "OVER (PARTITION BY code ORDER BY day ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)"))
+series("w23_roll_zscore", lambda: S.zscore(F.col("x"), 10, 5), full_sql(f"CASE WHEN stddev_pop(x) OVER {w(10)} > 1e-12 THEN (x - avg(x) OVER {w(10)}) / stddev_pop(x) OVER {w(10)} END", 10, 5))
+series("w24_roll_slope", lambda: S.slope(F.col("x"), F.col("y"), 12, 6), full_sql(f"CASE WHEN var_pop(CASE WHEN x IS NOT NULL THEN y END) OVER {w(12)} > 1e-18 THEN covar_pop(x, y) OVER {w(12)} / var_pop(CASE WHEN x IS NOT NULL THEN y END) OVER {w(12)} END", 12, 6, PAIR))
+series("w24_residual_std", lambda: S.residual_std(F.col("x"), F.col("y"), 8), full_sql(f"CASE WHEN var_pop(y) OVER {w(8)} > 1e-18 THEN sqrt(greatest(0, var_pop(x) OVER {w(8)} - pow(covar_pop(x, y) OVER {w(8)}, 2) / var_pop(y) OVER {w(8)})) END", 8, 8, PAIR))
 
 
 def _numbered(spark, sf_dir):
     return panel(spark, sf_dir).withColumn("n", S.row())
 
 
-query("w09_since_max", f"{GRID} SELECT code, day, CASE WHEN n >= 6 AND count(x) OVER {w(6)} = 6 THEN CAST(6 - list_position(list(x) OVER {w(6)}, max(x) OVER {w(6)}) AS BIGINT) END AS value FROM grid")(lambda spark, d: _numbered(spark, d).select("code", "day", S.since_max(X, 6, F.col("n")).cast("long").alias("value")))
-query("w09_since_min", f"{GRID} SELECT code, day, CASE WHEN n >= 6 AND count(x) OVER {w(6)} = 6 THEN CAST(6 - list_position(list(x) OVER {w(6)}, min(x) OVER {w(6)}) AS BIGINT) END AS value FROM grid")(lambda spark, d: _numbered(spark, d).select("code", "day", S.since_min(X, 6, F.col("n")).cast("long").alias("value")))
+query("w09_since_max", f"{GRID} SELECT code, day, CASE WHEN n >= 6 AND count(x) OVER {w(6)} = 6 THEN CAST(6 - list_position(list(x) OVER {w(6)}, max(x) OVER {w(6)}) AS BIGINT) END AS value FROM grid")(lambda spark, d: _numbered(spark, d).select("code", "day", S.since_max(F.col("x"), 6, F.col("n")).cast("long").alias("value")))
+query("w09_since_min", f"{GRID} SELECT code, day, CASE WHEN n >= 6 AND count(x) OVER {w(6)} = 6 THEN CAST(6 - list_position(list(x) OVER {w(6)}, min(x) OVER {w(6)}) AS BIGINT) END AS value FROM grid")(lambda spark, d: _numbered(spark, d).select("code", "day", S.since_min(F.col("x"), 6, F.col("n")).cast("long").alias("value")))
 
 _SELF = "(SELECT count(*) FROM grid b WHERE b.code = a.code AND b.n BETWEEN a.n - 9 AND a.n AND b.x {op} a.x)"
-query("w10_ts_rank", f"{GRID}, g AS (SELECT *, count(x) OVER {w(10)} AS k FROM grid) SELECT code, day, round(CASE WHEN n >= 10 AND k >= 5 AND x IS NOT NULL THEN {_SELF.format(op='<')} / (k - 1) END, 6) + 0.0 AS value FROM g a")(lambda spark, d: panel(spark, d).select("code", "day", r6(S.rank(X, 10, 5)).alias("value")))
-query("w11_ts_rank_average", f"{GRID}, g AS (SELECT *, count(x) OVER {w(10)} AS k FROM grid) SELECT code, day, round(CASE WHEN n >= 10 AND k = 10 THEN ({_SELF.format(op='<')} + ({_SELF.format(op='=')} + 1) / 2.0) / k END, 6) + 0.0 AS value FROM g a")(lambda spark, d: panel(spark, d).select("code", "day", r6(S.rank_average(X, 10)).alias("value")))
+query("w10_ts_rank", f"{GRID}, g AS (SELECT *, count(x) OVER {w(10)} AS k FROM grid) SELECT code, day, round(CASE WHEN n >= 10 AND k >= 5 AND x IS NOT NULL THEN {_SELF.format(op='<')} / (k - 1) END, 6) + 0.0 AS value FROM g a")(lambda spark, d: panel(spark, d).select("code", "day", r6(S.rank(F.col("x"), 10, 5)).alias("value")))
+query("w11_ts_rank_average", f"{GRID}, g AS (SELECT *, count(x) OVER {w(10)} AS k FROM grid) SELECT code, day, round(CASE WHEN n >= 10 AND k = 10 THEN ({_SELF.format(op='<')} + ({_SELF.format(op='=')} + 1) / 2.0) / k END, 6) + 0.0 AS value FROM g a")(lambda spark, d: panel(spark, d).select("code", "day", r6(S.rank_average(F.col("x"), 10)).alias("value")))
 _EWM = f"""{GRID.replace('WITH', 'WITH RECURSIVE', 1)}, e AS (
   SELECT code, day, n, x AS s, CASE WHEN x IS NULL THEN 0 ELSE 1 END AS seen FROM grid WHERE n = 1
   UNION ALL
   SELECT g.code, g.day, g.n, CASE WHEN g.x IS NULL THEN e.s WHEN e.s IS NULL THEN g.x ELSE e.s + 0.2 * (g.x - e.s) END, e.seen + CASE WHEN g.x IS NULL THEN 0 ELSE 1 END
   FROM e JOIN grid g ON g.code = e.code AND g.n = e.n + 1)
 SELECT code, day, round(CASE WHEN seen >= 3 THEN s END, 6) + 0.0 AS value FROM e"""
-query("w14_ewm", _EWM)(lambda spark, d: panel(spark, d).select("code", "day", r6(S.ewm(X, 0.2, 3)).alias("value")))
+query("w14_ewm", _EWM)(lambda spark, d: panel(spark, d).select("code", "day", r6(S.ewm(F.col("x"), 0.2, 3)).alias("value")))
 query("w14_ewm_streamed", _EWM)(lambda spark, d: recursive.ewm(panel(spark, d).select("code", "day", "x"), "x", "value", 0.2, 3).select("code", "day", r6("value").alias("value")))
 query("w17_run_length", f"""{GRID}, c AS (SELECT *, sum(CASE WHEN coalesce(x > 8, FALSE) THEN 0 ELSE 1 END) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING) AS seg FROM grid)
-SELECT code, day, CAST(sum(CASE WHEN coalesce(x > 8, FALSE) THEN 1 ELSE 0 END) OVER (PARTITION BY code, seg ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value FROM c""")(lambda spark, d: run_length(panel(spark, d).withColumn("c", X > 8), "c", "value").select("code", "day", F.col("value").cast("long").alias("value")))
+SELECT code, day, CAST(sum(CASE WHEN coalesce(x > 8, FALSE) THEN 1 ELSE 0 END) OVER (PARTITION BY code, seg ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value FROM c""")(lambda spark, d: run_length(panel(spark, d).withColumn("c", F.col("x") > 8), "c", "value").select("code", "day", F.col("value").cast("long").alias("value")))
 query("w18_since_event", f"{GRID} SELECT code, day, CAST(n - max(CASE WHEN errors > 0 THEN n END) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value FROM grid")(lambda spark, d: _numbered(spark, d).select("code", "day", S.since_event(F.col("errors") > 0, F.col("n")).cast("long").alias("value")))
 query("w26_autocorr", f"""{GRID}, l AS (SELECT *, lag(x) OVER {ORDER} AS x1 FROM grid), p AS (SELECT code, day, n, CASE WHEN x1 IS NOT NULL THEN x END AS a, CASE WHEN x IS NOT NULL THEN x1 END AS b FROM l)
-SELECT code, day, round(CASE WHEN n >= 12 AND count(a) OVER {w(12)} >= 6 AND var_pop(a) OVER {w(12)} > 0 AND var_pop(b) OVER {w(12)} > 0 THEN corr(a, b) OVER {w(12)} END, 6) + 0.0 AS value FROM p""")(lambda spark, d: panel(spark, d).withColumn("x1", S.shift(X)).select("code", "day", r6(S.corr(X, F.col("x1"), 12, 6)).alias("value")))
+SELECT code, day, round(CASE WHEN n >= 12 AND count(a) OVER {w(12)} >= 6 AND var_pop(a) OVER {w(12)} > 0 AND var_pop(b) OVER {w(12)} > 0 THEN corr(a, b) OVER {w(12)} END, 6) + 0.0 AS value FROM p""")(lambda spark, d: panel(spark, d).withColumn("x1", S.shift(F.col("x"))).select("code", "day", r6(S.corr(F.col("x"), F.col("x1"), 12, 6)).alias("value")))
 query("w24_two_slopes", f"""{GRID}, t AS (SELECT code, day, n, x AS a, y AS b, lag(x) OVER {ORDER} AS c FROM grid),
 p AS (SELECT code, day, n, CASE WHEN b IS NOT NULL AND c IS NOT NULL THEN a END AS a, CASE WHEN a IS NOT NULL AND c IS NOT NULL THEN b END AS b, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN c END AS c FROM t),
 m AS (SELECT code, day, n, count(a) OVER {w(10)} AS k, var_pop(b) OVER {w(10)} AS s11, var_pop(c) OVER {w(10)} AS s22, covar_pop(b, c) OVER {w(10)} AS s12, covar_pop(b, a) OVER {w(10)} AS s1y, covar_pop(c, a) OVER {w(10)} AS s2y FROM p)
-SELECT code, day, round(CASE WHEN n >= 10 AND k = 10 AND s11 * s22 - s12 * s12 > 1e-12 * s11 * s22 THEN (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) END, 5) + 0.0 AS b1 FROM m""")(lambda spark, d: panel(spark, d).withColumn("x1", S.shift(X)).select("code", "day", F.round(S.slopes2(X, Y, F.col("x1"), 10)[0], 5).alias("b1")))
+SELECT code, day, round(CASE WHEN n >= 10 AND k = 10 AND s11 * s22 - s12 * s12 > 1e-12 * s11 * s22 THEN (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) END, 5) + 0.0 AS b1 FROM m""")(lambda spark, d: panel(spark, d).withColumn("x1", S.shift(F.col("x"))).select("code", "day", F.round(S.slopes2(F.col("x"), F.col("y"), F.col("x1"), 10)[0], 5).alias("b1")))
 query("w27_same_month", """WITH m AS (SELECT o_custkey % 50 AS code, year(o_orderdate) AS yr, month(o_orderdate) AS mo, sum(CAST(floor(o_totalprice) AS BIGINT)) AS v FROM orders GROUP BY ALL)
 SELECT code, yr, mo, round(ln(1 + v) - avg(ln(1 + v)) OVER (PARTITION BY code, mo ORDER BY yr ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 6) + 0.0 AS value FROM m""")(
     lambda spark, d: table(spark, d, "orders").groupBy((F.col("o_custkey") % 50).alias("code"), F.year("o_orderdate").cast("long").alias("yr"), F.month("o_orderdate").cast("long").alias("mo")).agg(F.sum(F.floor("o_totalprice").cast("long")).alias("v"))
@@ -149,23 +148,23 @@ query("r01_cs_rank", f"""{GRID}, q AS (SELECT *, quantile_cont(x, 0.01) OVER (PA
 c AS (SELECT code, day, CASE WHEN lo < hi THEN CASE WHEN x IS NOT NULL THEN least(greatest(x, lo), hi) END ELSE x END AS v FROM q),
 k AS (SELECT code, day, v, count(v) OVER (PARTITION BY day) AS n, rank() OVER (PARTITION BY day ORDER BY v ASC NULLS LAST) AS lo, rank() OVER (PARTITION BY day ORDER BY v DESC NULLS LAST) AS hi FROM c)
 SELECT code, day, round(CASE WHEN n >= 20 AND v IS NOT NULL THEN (lo + n - hi + 1) / 2.0 / n END, 6) + 0.0 AS value FROM k""")(lambda spark, d: cross.cs_rank(panel(spark, d), "x", "value", 20).select("code", "day", r6("value").alias("value")))
-query("r02_cs_zscore", f"{GRID} SELECT code, day, round(CASE WHEN stddev_pop(x) OVER (PARTITION BY day) > 1e-12 AND x IS NOT NULL THEN least(greatest((x - avg(x) OVER (PARTITION BY day)) / stddev_pop(x) OVER (PARTITION BY day), -2), 2) END, 6) + 0.0 AS z, round(x - avg(x) OVER (PARTITION BY day), 6) + 0.0 AS demeaned FROM grid")(lambda spark, d: panel(spark, d).select("code", "day", r6(cross.zscore(X, clip=2.0)).alias("z"), r6(cross.demean(X)).alias("demeaned")))
+query("r02_cs_zscore", f"{GRID} SELECT code, day, round(CASE WHEN stddev_pop(x) OVER (PARTITION BY day) > 1e-12 AND x IS NOT NULL THEN least(greatest((x - avg(x) OVER (PARTITION BY day)) / stddev_pop(x) OVER (PARTITION BY day), -2), 2) END, 6) + 0.0 AS z, round(x - avg(x) OVER (PARTITION BY day), 6) + 0.0 AS demeaned FROM grid")(lambda spark, d: panel(spark, d).select("code", "day", r6(cross.zscore(F.col("x"), clip=2.0)).alias("z"), r6(cross.demean(F.col("x"))).alias("demeaned")))
 query("r03_standardize", f"""{GRID}, q AS (SELECT *, quantile_cont(x, 0.01) OVER (PARTITION BY day) AS lo, quantile_cont(x, 0.99) OVER (PARTITION BY day) AS hi FROM grid),
 c AS (SELECT code, day, CASE WHEN lo < hi THEN CASE WHEN x IS NOT NULL THEN least(greatest(x, lo), hi) END ELSE x END AS v FROM q)
 SELECT code, day, round(CASE WHEN count(v) OVER (PARTITION BY day) >= 20 AND v IS NOT NULL AND stddev_pop(v) OVER (PARTITION BY day) > 1e-12 THEN least(greatest((v - avg(v) OVER (PARTITION BY day)) / stddev_pop(v) OVER (PARTITION BY day), -10), 10) END, 6) + 0.0 AS value FROM c""")(lambda spark, d: cross.standardize(panel(spark, d), "x", "value", 20).select("code", "day", r6("value").alias("value")))
 query("r04_pct_rank", f"{GRID}, k AS (SELECT code, day, vol, count(vol) OVER (PARTITION BY day) AS n, rank() OVER (PARTITION BY day ORDER BY vol ASC NULLS LAST) AS lo, rank() OVER (PARTITION BY day ORDER BY vol DESC NULLS LAST) AS hi FROM grid) SELECT code, day, round(CASE WHEN vol IS NOT NULL THEN (lo + n - hi + 1) / 2.0 / n END, 6) + 0.0 AS value FROM k")(lambda spark, d: panel(spark, d).select("code", "day", r6(cross.pct_rank(F.col("vol"))).alias("value")))
 query("r05_dense_pct_rank", f"{GRID}, k AS (SELECT code, day, vol, dense_rank() OVER (PARTITION BY day ORDER BY vol) AS r FROM grid WHERE vol IS NOT NULL) SELECT code, day, round(r / max(r) OVER (PARTITION BY day), 6) + 0.0 AS value FROM k")(lambda spark, d: panel(spark, d).where("vol is not null").select("code", "day", r6(cross.dense_pct_rank(F.col("vol"))).alias("value")))
 query("r06_residual", f"""{GRID}, b AS (SELECT * FROM grid WHERE x IS NOT NULL AND y IS NOT NULL)
-SELECT code, day, round(x - avg(x) OVER (PARTITION BY day) - covar_pop(x, y) OVER (PARTITION BY day) / var_pop(y) OVER (PARTITION BY day) * (y - avg(y) OVER (PARTITION BY day)), 6) + 0.0 AS value FROM b""")(lambda spark, d: panel(spark, d).where("x is not null").select("code", "day", r6(cross.residual(X, Y)).alias("value")))
+SELECT code, day, round(x - avg(x) OVER (PARTITION BY day) - covar_pop(x, y) OVER (PARTITION BY day) / var_pop(y) OVER (PARTITION BY day) * (y - avg(y) OVER (PARTITION BY day)), 6) + 0.0 AS value FROM b""")(lambda spark, d: panel(spark, d).where("x is not null").select("code", "day", r6(cross.residual(F.col("x"), F.col("y"))).alias("value")))
 query("r06_residual2", f"""{GRID}, b AS (SELECT *, sin(CAST(code AS DOUBLE)) AS z FROM grid WHERE x IS NOT NULL),
 m AS (SELECT day, avg(x) mx, avg(y) my, avg(z) mz, var_pop(y) a, var_pop(z) b, covar_pop(y, z) c, covar_pop(y, x) d, covar_pop(z, x) e FROM b GROUP BY day)
-SELECT b.code, b.day, round(x - mx - (m.b * d - c * e) / (a * m.b - c * c) * (y - my) - (a * e - c * d) / (a * m.b - c * c) * (z - mz), 5) + 0.0 AS value FROM b JOIN m ON b.day = m.day""")(lambda spark, d: panel(spark, d).where("x is not null").withColumn("z", F.sin(F.col("code").cast("double"))).select("code", "day", F.round(cross.residual2(X, Y, F.col("z")), 5).alias("value")))
+SELECT b.code, b.day, round(x - mx - (m.b * d - c * e) / (a * m.b - c * c) * (y - my) - (a * e - c * d) / (a * m.b - c * c) * (z - mz), 5) + 0.0 AS value FROM b JOIN m ON b.day = m.day""")(lambda spark, d: panel(spark, d).where("x is not null").withColumn("z", F.sin(F.col("code").cast("double"))).select("code", "day", F.round(cross.residual2(F.col("x"), F.col("y"), F.col("z")), 5).alias("value")))
 query("r07_others", f"""{GRID}, b AS (SELECT * FROM grid WHERE x IS NOT NULL AND code % 7 = 0)
-SELECT a.code, a.day, round((SELECT avg(x) FROM b WHERE b.day = a.day AND b.code <> a.code), 6) + 0.0 AS mean_others, round((SELECT median(x) FROM b WHERE b.day = a.day AND b.code <> a.code), 6) + 0.0 AS median_others FROM b a""")(lambda spark, d: cross.median_of_others(panel(spark, d).where("x is not null and code % 7 = 0"), "x", "m").select("code", "day", r6(cross.mean_of_others(X)).alias("mean_others"), r6("m").alias("median_others")))
+SELECT a.code, a.day, round((SELECT avg(x) FROM b WHERE b.day = a.day AND b.code <> a.code), 6) + 0.0 AS mean_others, round((SELECT median(x) FROM b WHERE b.day = a.day AND b.code <> a.code), 6) + 0.0 AS median_others FROM b a""")(lambda spark, d: cross.median_of_others(panel(spark, d).where("x is not null and code % 7 = 0"), "x", "m").select("code", "day", r6(cross.mean_of_others(F.col("x"))).alias("mean_others"), r6("m").alias("median_others")))
 query("r08_gaussian_rank", f"""{GRID}, k AS (SELECT code, day, x, count(x) OVER (PARTITION BY day) AS n, rank() OVER (PARTITION BY day ORDER BY x) AS r FROM grid WHERE x IS NOT NULL),
 p AS (SELECT code, day, (r - 0.5) / n AS p FROM k), t AS (SELECT *, sqrt(-2 * ln(least(p, 1 - p))) AS t FROM p), s AS (SELECT *, t - (2.515517 + t * (0.802853 + t * 0.010328)) / (1 + t * (1.432788 + t * (0.189269 + t * 0.001308))) AS s FROM t)
 SELECT code, day, round(CASE WHEN p < 0.5 THEN -s ELSE s END, 6) + 0.0 AS value FROM s""")(lambda spark, d: panel(spark, d).where("x is not null").select("code", "day", F.rank().over(Window.partitionBy("day").orderBy("x")).alias("r"), F.count("x").over(Window.partitionBy("day")).alias("n")).select("code", "day", r6(scalar.gaussian_rank(F.col("r"), F.col("n"))).alias("value")))
-query("r09_pool_relative", f"{GRID} SELECT code, day, round(x - avg(CASE WHEN code % 3 = 0 THEN x END) OVER (PARTITION BY day), 6) + 0.0 AS value FROM grid")(lambda spark, d: panel(spark, d).select("code", "day", r6(cross.pool_relative(X, F.col("code") % 3 == 0)).alias("value")))
+query("r09_pool_relative", f"{GRID} SELECT code, day, round(x - avg(CASE WHEN code % 3 = 0 THEN x END) OVER (PARTITION BY day), 6) + 0.0 AS value FROM grid")(lambda spark, d: panel(spark, d).select("code", "day", r6(cross.pool_relative(F.col("x"), F.col("code") % 3 == 0)).alias("value")))
 
 
 # --- projections and predicates ----------------------------------------------------------------
@@ -217,7 +216,7 @@ query("j01_asof", f"{GRID}, {_SRC}, a AS (SELECT g.code, g.day, ({_LAST.format(o
 query("j01_asof_strict_aged", f"{GRID}, {_SRC}, a AS (SELECT g.code, g.day, ({_LAST.format(op='<')}) AS m FROM grid g) SELECT code, day, CASE WHEN day - m.d <= 2 THEN m.v END AS v, CASE WHEN day - m.d <= 2 THEN m.d END AS source_day FROM a")(lambda spark, d: grid.asof(panel(spark, d).select("code", "day"), _source(spark, d), ["v"], ["k"], strict=True, max_age=2))
 query("j03_scatter", f"{GRID} SELECT g.code, g.day, round(coalesce((SELECT sum(CAST(floor(value) AS BIGINT)) FROM events e WHERE e.user_id = g.code AND CAST(e.ts AS DATE) = g.day AND event_type = 'purchase'), 0), 6) + 0.0 AS n FROM grid g")(lambda spark, d: grid.scatter(panel(spark, d).select("code", "day"), table(spark, d, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("code"), F.to_date("ts").alias("day"), F.floor("value").cast("double").alias("wt")), F.col("wt")))
 query("j04_scatter_covered", f"{GRID}, ev AS (SELECT user_id AS code, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'error' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'), c AS (SELECT min(day) AS a, max(day) AS b FROM ev) SELECT g.code, g.day, CASE WHEN g.day BETWEEN c.a AND c.b THEN CAST((SELECT count(*) FROM ev WHERE ev.code = g.code AND ev.day = g.day) AS DOUBLE) END AS n FROM grid g, c")(lambda spark, d: grid.scatter(panel(spark, d).select("code", "day"), table(spark, d, "events").where("event_type = 'error'").select(F.col("user_id").alias("code"), F.to_date("ts").alias("day")).where("day between '2024-01-05' and '2024-01-20'"), covered=True))
-query("j11_market_join", f"{GRID}, m AS (SELECT day, avg(x) AS mx FROM grid GROUP BY day) SELECT g.code, g.day, round(g.x - m.mx, 6) + 0.0 AS excess FROM grid g JOIN m ON g.day = m.day")(lambda spark, d: (lambda p: market.spread_to_entities(p, p.groupBy("day").agg(F.avg("x").alias("mx"))).select("code", "day", r6(X - F.col("mx")).alias("excess")))(panel(spark, d)))
+query("j11_market_join", f"{GRID}, m AS (SELECT day, avg(x) AS mx FROM grid GROUP BY day) SELECT g.code, g.day, round(g.x - m.mx, 6) + 0.0 AS excess FROM grid g JOIN m ON g.day = m.day")(lambda spark, d: (lambda p: market.spread_to_entities(p, p.groupBy("day").agg(F.avg("x").alias("mx"))).select("code", "day", r6(F.col("x") - F.col("mx")).alias("excess")))(panel(spark, d)))
 query("j16_crosswalk", "SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")(lambda spark, d: table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "n_name", "r_name"))
 query("j18_reconcile", """WITH a AS (SELECT s_suppkey AS k, s_nationkey AS v FROM supplier WHERE s_suppkey % 5 <> 0), b AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 7 = 0 THEN -1 ELSE s_nationkey END AS v FROM supplier WHERE s_suppkey % 3 <> 0)
 SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'only_left' WHEN a.k IS NULL THEN 'only_right' ELSE 'changed' END AS difference FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v IS DISTINCT FROM b.v""")(
@@ -322,7 +321,7 @@ query("a12_shortest_half", f"WITH {LEVELS} SELECT a.code, a.day, min(b.price - a
 # --- market aggregates -------------------------------------------------------------------------
 
 query("a14_cross_section", f"{GRID} SELECT day, count(x) AS n, round(avg(x), 6) + 0.0 AS mean, round(stddev_pop(x), 6) + 0.0 AS std, round(quantile_cont(x, 0.5), 6) + 0.0 AS median, round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 6) + 0.0 AS iqr FROM grid GROUP BY day")(lambda spark, d: market.cross_section(panel(spark, d), "x", 1).select("day", "n", *[r6(c).alias(c) for c in ("mean", "std", "median", "iqr")]))
-query("a15_share", f"{GRID} SELECT day, round(CASE WHEN count(x) >= 20 THEN count(*) FILTER (WHERE x > 9) / count(x) END, 6) + 0.0 AS value FROM grid GROUP BY day")(lambda spark, d: market.share(panel(spark, d), X > 9, X.isNotNull(), "value", 20).select("day", r6("value").alias("value")))
+query("a15_share", f"{GRID} SELECT day, round(CASE WHEN count(x) >= 20 THEN count(*) FILTER (WHERE x > 9) / count(x) END, 6) + 0.0 AS value FROM grid GROUP BY day")(lambda spark, d: market.share(panel(spark, d), F.col("x") > 9, F.col("x").isNotNull(), "value", 20).select("day", r6("value").alias("value")))
 query("a16_sum_if_enough", f"{GRID} SELECT day, CAST(CASE WHEN count(vol) >= 100 THEN sum(vol) END AS BIGINT) AS value FROM grid GROUP BY day")(lambda spark, d: market.sum_if_enough(panel(spark, d), "vol", 100, "value"))
 query("a17_group_median", "SELECT l_suppkey, l_returnflag, median(l_quantity) AS med FROM lineitem GROUP BY ALL")(lambda spark, d: market.group_median(table(spark, d, "lineitem"), ["l_suppkey", "l_returnflag"], "l_quantity", "med"))
 query("a18_distinct_count", "SELECT l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY ALL")(lambda spark, d: market.distinct_count(table(spark, d, "lineitem"), ["l_suppkey"], "l_partkey", "n"))
@@ -396,7 +395,7 @@ EVAL = f"""{GRID}, ev AS (SELECT code, day, x AS score, lead(x) OVER {ORDER} - x
 
 def scored(spark, d):
     p = panel(spark, d).withColumn("n", S.row())
-    return p.select("code", "day", X.alias("score"), (S.shift(X, -1) - X).alias("ret"), (F.col("vol").cast("double") * 1000).alias("liq"), (F.col("n") % 3 > 0).alias("entry"))
+    return p.select("code", "day", F.col("x").alias("score"), (S.shift(F.col("x"), -1) - F.col("x")).alias("ret"), (F.col("vol").cast("double") * 1000).alias("liq"), (F.col("n") % 3 > 0).alias("entry"))
 
 
 query("b11_daily_ic", f"{EVAL} SELECT day, count(*) AS n, round(corr(score, ret), 6) + 0.0 AS ic FROM e GROUP BY day")(lambda spark, d: evaluation.daily_ic(scored(spark, d), "score", "ret").select("day", "n", r6("ic").alias("ic")))
@@ -408,14 +407,14 @@ query("t06_head_tail", f"{EVAL}, r AS (SELECT *, (rank() OVER (PARTITION BY day
 query("t06_capped_by_amount", f"{EVAL}, r AS (SELECT *, sum(liq) OVER (PARTITION BY day ORDER BY score DESC, code ROWS UNBOUNDED PRECEDING) AS c FROM ev WHERE score IS NOT NULL) SELECT day, round(avg(ret), 6) + 0.0 AS capped_ret, count(*) AS n_names FROM r WHERE c <= 15000 GROUP BY day")(lambda spark, d: evaluation.capped_by_amount(scored(spark, d), "score", "liq", "ret", 15000.0).select("day", r6("capped_ret").alias("capped_ret"), "n_names"))
 query("t07_realizable_top", f"{EVAL}, r AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY score DESC, code) AS k FROM ev WHERE score IS NOT NULL) SELECT day, round(avg(ret), 6) + 0.0 AS top_ret, round(avg(ret) FILTER (WHERE entry), 6) + 0.0 AS realizable_ret FROM r WHERE k <= 10 GROUP BY day")(lambda spark, d: evaluation.realizable_top(scored(spark, d), "score", "ret", "entry", 10).select("day", r6("top_ret").alias("top_ret"), r6("realizable_ret").alias("realizable_ret")))
 query("b10_wpcc", f"{EVAL}, k AS (SELECT *, pow(0.5, (row_number() OVER (PARTITION BY day ORDER BY ret DESC, code) - 1) / (count(*) OVER (PARTITION BY day) - 1)) AS k FROM e), m AS (SELECT day, sum(k * score) / sum(k) AS ma, sum(k * ret) / sum(k) AS mb, sum(k * score * ret) / sum(k) AS ab, sum(k * score * score) / sum(k) AS aa, sum(k * ret * ret) / sum(k) AS bb FROM k GROUP BY day) SELECT day, round((ab - ma * mb) / sqrt((aa - ma * ma) * (bb - mb * mb)), 5) + 0.0 AS wpcc FROM m")(lambda spark, d: evaluation.wpcc(scored(spark, d), "score", "ret").select("day", F.round("wpcc", 5).alias("wpcc")))
-query("b15_drawdown", f"{GRID}, v AS (SELECT code, day, exp(sum(ln(1 + coalesce(x / 1000, 0) - 0.008)) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING)) AS v FROM grid) SELECT code, day, round(v, 6) + 0.0 AS value, round(v / greatest(1, max(v) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING)) - 1, 6) + 0.0 AS drawdown FROM v")(lambda spark, d: evaluation.drawdown(panel(spark, d).select("code", "day", (F.coalesce(X / 1000, F.lit(0.0)) - 0.008).alias("r")), "r", ["code"]).select("code", "day", r6("value").alias("value"), r6("drawdown").alias("drawdown")))
+query("b15_drawdown", f"{GRID}, v AS (SELECT code, day, exp(sum(ln(1 + coalesce(x / 1000, 0) - 0.008)) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING)) AS v FROM grid) SELECT code, day, round(v, 6) + 0.0 AS value, round(v / greatest(1, max(v) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING)) - 1, 6) + 0.0 AS drawdown FROM v")(lambda spark, d: evaluation.drawdown(panel(spark, d).select("code", "day", (F.coalesce(F.col("x") / 1000, F.lit(0.0)) - 0.008).alias("r")), "r", ["code"]).select("code", "day", r6("value").alias("value"), r6("drawdown").alias("drawdown")))
 query("b06_walk_forward", "WITH s AS (SELECT day, row_number() OVER (ORDER BY day) AS n, count(*) OVER () AS t FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)), f AS (SELECT *, UNNEST([1, 2, 3, 4]) AS fold FROM s), p AS (SELECT *, t - (4 - fold + 1) * 100 + 1 AS b FROM f) SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN n BETWEEN b AND b + 99 THEN 'test' ELSE 'train' END AS part, day FROM p WHERE n BETWEEN b AND b + 99 OR n BETWEEN b - 10 - 500 AND b - 11")(lambda spark, d: evaluation.walk_forward(table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("day")), 4, 500, 10, 100))
 query("b14_fees", "SELECT o_orderkey, round(greatest(o_totalprice * 0.00025, 5) + o_totalprice * 1e-5 + CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 5e-4 ELSE 0 END, 9) + 0.0 AS fee FROM orders")(lambda spark, d: table(spark, d, "orders").select("o_orderkey", F.round(scalar.trade_fee("o_totalprice", F.col("o_orderstatus") == "F"), 9).alias("fee")))
 query("b20_extreme_strength", f"{GRID} SELECT code, day, round(greatest(coalesce(x, 0) - 8, 0) + greatest(coalesce(y, 0) - 8, 0), 6) + 0.0 AS value FROM grid")(lambda spark, d: panel(spark, d).select("code", "day", r6(evaluation.extreme_strength(["x", "y"], 8.0)).alias("value")))
 query("b03_coverage", f"{GRID} SELECT code, 'x' AS name, round(avg(CASE WHEN x IS NULL THEN 0.0 ELSE 1.0 END), 6) + 0.0 AS coverage FROM grid GROUP BY code")(lambda spark, d: evaluation.covered(panel(spark, d), ["x"], ["code"]).select("code", "name", r6("coverage").alias("coverage")))
 query("a25_correlation_matrix", f"{GRID}, c AS (SELECT day, corr(x, y) AS c FROM grid GROUP BY day) SELECT 'x' AS a, 'y' AS b, round(avg(c), 6) + 0.0 AS corr FROM c")(lambda spark, d: evaluation.correlation_matrix(panel(spark, d), ["x", "y"]).select("a", "b", r6("corr").alias("corr")))
 query("b13_cash_ledger")(
-    lambda spark, d: evaluation.cash_ledger(evaluation.top_rows(panel(spark, d).where("x is not null").withColumn("score", F.sin(X * 10)), "score", 30).select(F.lit("base").alias("strategy"), "day", "code", "place", (F.exp(X) / 100).alias("price"), F.lit(True).alias("can_buy"), F.lit(True).alias("can_sell"))).select("strategy", "day", F.round("value", 4).alias("value"), "n_held")
+    lambda spark, d: evaluation.cash_ledger(evaluation.top_rows(panel(spark, d).where("x is not null").withColumn("score", F.sin(F.col("x") * 10)), "score", 30).select(F.lit("base").alias("strategy"), "day", "code", "place", (F.exp(F.col("x")) / 100).alias("price"), F.lit(True).alias("can_buy"), F.lit(True).alias("can_sell"))).select("strategy", "day", F.round("value", 4).alias("value"), "n_held")
 )
 
 
@@ -423,7 +422,7 @@ query("b13_cash_ledger")(
 
 query("w24_rolling_ols")(lambda spark, d: recursive.rolling_ols(panel(spark, d).withColumn("t", F.sin(F.dayofyear("day"))).select("code", "day", "x", "y", "t"), "x", ["y", "t"], 10).select("code", "day", r6("residual").alias("residual")))
 query("w28_first_passage")(lambda spark, d: recursive.first_passage(panel(spark, d).select("code", "day", "x"), "x", "passage", 0.5, 5, 8).select("code", "day", r6("passage").alias("passage")))
-query("w29_prospect_value")(lambda spark, d: recursive.prospect_value(panel(spark, d).select("code", F.col("day").alias("month"), (X - 8.0).alias("x")), "x", "worth", 12).select("code", "month", r6("worth").alias("worth")))
+query("w29_prospect_value")(lambda spark, d: recursive.prospect_value(panel(spark, d).select("code", F.col("day").alias("month"), (F.col("x") - 8.0).alias("x")), "x", "worth", 12).select("code", "month", r6("worth").alias("worth")))
 query("w25_seasonal_innovation")(lambda spark, d: recursive.seasonal_innovation(bitemporal.first_vintage(vintages(spark, d)).select("code", "period", F.log("val").alias("x")), "x", "innovation").select("code", "period", r6("innovation").alias("innovation")))
 query("b17_hysteresis")(lambda spark, d: recursive.hysteresis(panel(spark, d).select("code", "day", "x"), "x", "budget", 9.5, 8.5).select("code", "day", "budget"))
 
@@ -457,7 +456,7 @@ def _registry(spark, d):
     """Two metrics, one built on the other, through the registry: stored form and rank."""
     dense = panel(spark, d)
     reg = registry.Registry(tables.Catalog(spark, d))
-    reg.add(registry.Metric("move", lambda ctx: ctx.grid.select("day", "code", S.diff(X, 1).alias("value"))))
+    reg.add(registry.Metric("move", lambda ctx: ctx.grid.select("day", "code", S.diff(F.col("x"), 1).alias("value"))))
     reg.add(registry.Metric("calm", lambda ctx: ctx.parent("move").select("day", "code", (-F.abs("value")).alias("value")), parents=("move",), warmup=1))
     done, failed = registry.run(reg, ["calm"], dense, least=20)
     if failed:
@@ -468,7 +467,7 @@ def _registry(spark, d):
 query("u05_registry_metric", f"{GRID} SELECT day, code, round(CAST(CAST(-abs(x - lag(x) OVER {ORDER}) AS FLOAT) AS DOUBLE), 3) + 0.0 AS value FROM grid")(_registry)
 query("s13_plan_days", f"WITH {FACTS}, c AS (SELECT day, row_number() OVER (ORDER BY day) AS n, count(*) OVER () AS t FROM (SELECT DISTINCT day FROM facts)) SELECT day FROM c WHERE n > t - 3 OR day NOT IN (SELECT day FROM facts WHERE day NOT IN (DATE '2024-01-04', DATE '2024-01-11'))")(lambda spark, d: (lambda f: registry.plan_days(f.select("day"), f.where("day not in ('2024-01-04', '2024-01-11')"), tail=3))(facts(spark, d)))
 query("b02_wide_snapshot", f"""{GRID}, c AS (SELECT code, day, x, y, CASE WHEN quantile_cont(x, 0.01) OVER (PARTITION BY day) < quantile_cont(x, 0.99) OVER (PARTITION BY day) AND x IS NOT NULL THEN least(greatest(x, quantile_cont(x, 0.01) OVER (PARTITION BY day)), quantile_cont(x, 0.99) OVER (PARTITION BY day)) ELSE x END AS v FROM grid)
-SELECT code, day, round(CASE WHEN v IS NOT NULL AND stddev_pop(v) OVER (PARTITION BY day) > 1e-12 THEN least(greatest((v - avg(v) OVER (PARTITION BY day)) / stddev_pop(v) OVER (PARTITION BY day), -10), 10) END, 6) + 0.0 AS fx FROM c""")(lambda spark, d: (lambda p: registry.wide_snapshot({"fx": p.select("day", "code", X.alias("value")), "fy": p.select("day", "code", Y.alias("value"))}, least=1).select("code", "day", r6("fx").alias("fx")))(panel(spark, d)))
+SELECT code, day, round(CASE WHEN v IS NOT NULL AND stddev_pop(v) OVER (PARTITION BY day) > 1e-12 THEN least(greatest((v - avg(v) OVER (PARTITION BY day)) / stddev_pop(v) OVER (PARTITION BY day), -10), 10) END, 6) + 0.0 AS fx FROM c""")(lambda spark, d: (lambda p: registry.wide_snapshot({"fx": p.select("day", "code", F.col("x").alias("value")), "fy": p.select("day", "code", F.col("y").alias("value"))}, least=1).select("code", "day", r6("fx").alias("fx")))(panel(spark, d)))
 
 
 # --- flagship ----------------------------------------------------------------------------------
@@ -476,5 +475,5 @@ SELECT code, day, round(CASE WHEN v IS NOT NULL AND stddev_pop(v) OVER (PARTITIO
 query("q01_momentum_rank", f"""{GRID}, m AS (SELECT code, day, CASE WHEN n >= 6 THEN x - lag(x, 5) OVER {ORDER} END AS v FROM grid),
 k AS (SELECT code, day, v, count(v) OVER (PARTITION BY day) AS c, rank() OVER (PARTITION BY day ORDER BY v ASC NULLS LAST) AS lo, rank() OVER (PARTITION BY day ORDER BY v DESC NULLS LAST) AS hi FROM m)
 SELECT code, day, round(v, 6) + 0.0 AS value, round(CASE WHEN c >= 5 AND v IS NOT NULL THEN (lo + c - hi + 1) / 2.0 / c END, 6) + 0.0 AS rank FROM k""")(
-    lambda spark, d: panel(spark, d).select("code", "day", S.diff(X, 5).alias("v")).select("code", "day", r6("v").alias("value"), r6(F.when(F.count("v").over(Window.partitionBy("day")) >= 5, cross.pct_rank(F.col("v")))).alias("rank"))
+    lambda spark, d: panel(spark, d).select("code", "day", S.diff(F.col("x"), 5).alias("v")).select("code", "day", r6("v").alias("value"), r6(F.when(F.count("v").over(Window.partitionBy("day")) >= 5, cross.pct_rank(F.col("v")))).alias("rank"))
 )
