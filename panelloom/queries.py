@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import cross, scalar
 from .functions.windows import Series, run_length
-from .operators import bars, bitemporal, evaluation, grid, histogram, market, network, recursive, sets
+from .operators import bars, bitemporal, evaluation, grid, histogram, market, network, prices, recursive, sets
 from .plans import registry
 from .sources import tables
 from .sources.tables import scratch
@@ -470,6 +470,29 @@ query("b02_wide_snapshot", f"""{GRID}, c AS (SELECT code, day, x, y, CASE WHEN q
 SELECT code, day, round(CASE WHEN v IS NOT NULL AND stddev_pop(v) OVER (PARTITION BY day) > 1e-12 THEN least(greatest((v - avg(v) OVER (PARTITION BY day)) / stddev_pop(v) OVER (PARTITION BY day), -10), 10) END, 6) + 0.0 AS fx FROM c""")(lambda spark, d: (lambda p: registry.wide_snapshot({"fx": p.select("day", "code", F.col("x").alias("value")), "fy": p.select("day", "code", F.col("y").alias("value"))}, least=1).select("code", "day", r6("fx").alias("fx")))(panel(spark, d)))
 
 
+# --- price layer -------------------------------------------------------------------------------
+
+PRICES = f"""{GRID}, ff AS (SELECT *, last_value(x IGNORE NULLS) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING) AS fx, last_value(y + 2 IGNORE NULLS) OVER (PARTITION BY code ORDER BY day ROWS UNBOUNDED PRECEDING) AS fy FROM grid),
+h AS (SELECT *, fx * fy AS adj FROM ff), d AS (SELECT *, CASE WHEN abs(adj / lag(adj) OVER {ORDER} - 1) <= 0.6 THEN adj / lag(adj) OVER {ORDER} - 1 END AS r, coalesce(vol > 0, FALSE) AS traded FROM h)"""
+
+
+def priced(spark, d):
+    p = panel(spark, d).withColumn("adj", prices.adjusted(F.col("x"), F.col("y") + 2)).withColumn("traded", prices.was_traded(F.col("vol")))
+    return p.withColumn("r", prices.daily_return(F.col("adj")))
+
+
+query("l01_adjusted", f"{PRICES} SELECT code, day, round(adj, 6) + 0.0 AS adj, round(r, 6) + 0.0 AS r FROM d")(lambda spark, d: priced(spark, d).select("code", "day", r6("adj").alias("adj"), r6("r").alias("r")))
+query("l03_period_return", f"{PRICES} SELECT code, day, round(CASE WHEN n >= 5 AND count(r) OVER {w(5)} = 5 AND count(*) FILTER (WHERE traded) OVER {w(5)} > 0 THEN exp(sum(ln(1 + r)) OVER {w(5)}) - 1 END, 6) + 0.0 AS value FROM d")(lambda spark, d: priced(spark, d).select("code", "day", r6(prices.period_return(F.col("r"), F.col("traded"), 5)).alias("value")))
+query("l04_clean_return", f"{PRICES}, c AS (SELECT *, CASE WHEN traded THEN r END AS q FROM d) SELECT code, day, round(CASE WHEN n >= 3 AND count(q) OVER {w(3)} = 3 THEN exp(sum(ln(1 + q)) OVER {w(3)}) - 1 END, 6) + 0.0 AS value FROM c")(lambda spark, d: priced(spark, d).select("code", "day", r6(prices.clean_return(F.col("r"), F.col("traded"), 3)).alias("value")))
+query("l05_turnover", f"{PRICES} SELECT code, day, round(CASE WHEN fx > 1 THEN vol / fx * 100 END, 6) + 0.0 AS value FROM d")(lambda spark, d: panel(spark, d).select("code", "day", r6(prices.turnover(F.col("vol"), F.col("x"))).alias("value")))
+query("l07_forward_label", f"{PRICES}, t AS (SELECT *, CAST(traded AS INTEGER) AS k FROM d) SELECT code, day, round(CASE WHEN lead(k, 1) OVER {ORDER} + lead(k, 4) OVER {ORDER} = 2 THEN lead(adj, 4) OVER {ORDER} / lead(adj, 1) OVER {ORDER} - 1 END, 6) + 0.0 AS value FROM t")(lambda spark, d: priced(spark, d).select("code", "day", r6(prices.forward_return(F.col("adj"), F.col("traded"), 3)).alias("value")))
+query("b07_covered_window", f"{GRID} SELECT code, day, coalesce(CASE WHEN n >= 4 THEN min(CASE WHEN x IS NULL THEN 0.0 ELSE 1.0 END) OVER {w(4)} >= 0.5 END, FALSE) AS covered FROM grid")(lambda spark, d: panel(spark, d).select("code", "day", prices.covered_window(F.col("x").isNotNull().cast("double"), 4, 0.5).alias("covered")))
+query("b08_hot_pool", f"""{GRID}, m AS (SELECT code, day, CASE WHEN n >= 5 AND count(x) OVER {w(5)} >= 1 THEN avg(x) OVER {w(5)} END AS a, CASE WHEN n >= 5 AND count(y) OVER {w(5)} >= 1 THEN avg(y) OVER {w(5)} END AS b FROM grid),
+r AS (SELECT code, day, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN ((rank() OVER (PARTITION BY day ORDER BY a) + (count(*) OVER (PARTITION BY day, a) - 1) / 2.0) / count(a) OVER (PARTITION BY day) + (rank() OVER (PARTITION BY day ORDER BY b) + (count(*) OVER (PARTITION BY day, b) - 1) / 2.0) / count(b) OVER (PARTITION BY day)) / 2 END AS s FROM m)
+SELECT code, day, coalesce(CASE WHEN s IS NOT NULL THEN (rank() OVER (PARTITION BY day ORDER BY round(s, 9)) + (count(*) OVER (PARTITION BY day, round(s, 9)) - 1) / 2.0) / count(s) OVER (PARTITION BY day) > 0.8 END, FALSE) AS hot FROM r""")(lambda spark, d: prices.hot_pool(panel(spark, d), {"a": F.col("x"), "b": F.col("y")}, 5, 0.2).select("code", "day", "hot"))
+query("f09_announced_window", f"{GRID}, c AS (SELECT day, row_number() OVER (ORDER BY day) AS k FROM cal), e AS (SELECT DISTINCT f.code, c.k FROM facts f JOIN c ON c.day = f.day WHERE f.errors > 1) SELECT g.code, g.day, EXISTS (SELECT 1 FROM e WHERE e.code = g.code AND c.k BETWEEN e.k - 3 AND e.k) AS announced FROM grid g JOIN c ON c.day = g.day")(lambda spark, d: (lambda f, p: prices.announced_window(p.select("code", "day"), f.where("errors > 1"), f.select("day"), 3).select("code", "day", "announced"))(facts(spark, d), panel(spark, d)))
+
+
 # --- flagship ----------------------------------------------------------------------------------
 
 query("q01_momentum_rank", f"""{GRID}, m AS (SELECT code, day, CASE WHEN n >= 6 THEN x - lag(x, 5) OVER {ORDER} END AS v FROM grid),

@@ -242,3 +242,27 @@ def test_scalars(spark):
     ).first()
     assert list(row)[:7] == [None, None, None, 0.75, 905, dt.date(2024, 1, 2), None]
     assert row[7] == pytest.approx(1.96, abs=1e-3) and row[8] == math.floor(10.05 * 1.1 * 100 + 0.5) / 100
+
+
+def _fetch(dataset, params, offset, limit):
+    rows = [{"code": c, "v": i} for i, c in enumerate(params["codes"] * 7)]
+    return rows[offset : offset + limit], len(rows)
+
+
+def test_paged_source(spark):
+    import json
+    import pickle
+
+    from panelloom.sources import paged
+
+    spark.dataSource.register(paged.PagedSource)
+    reader = spark.read.format("paged").schema("code string, v long").options(dataset="d", ranges=json.dumps(paged.entity_ranges(["a", "b", "c"], 2)), page="4")
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["x"]))
+    got = reader.option("fetch", cloudpickle.dumps(_fetch).hex()).load()
+    assert got.groupBy("code").count().orderBy("code").collect() == [("a", 7), ("b", 7), ("c", 7)]
+    short = lambda d, p, o, n: ([], 5)
+    with pytest.raises(OSError):
+        list(paged.read_pages(short, "d", {}, 3))
+    assert paged.date_ranges(["1", "2", "3"], 2) == [{"start": "1", "end": "2"}, {"start": "3", "end": "3"}] and pickle
