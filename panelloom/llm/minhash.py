@@ -10,7 +10,9 @@ Signatures are cut into bands. In each bucket of equal bands one document takes
 shares most buckets with others, and is checked exactly against the bucket's other documents. It then
 leaves; while the rest has two classes or more, the next one leads. So no link between different texts
 in a bucket is lost, and no bucket's pairs are listed whose rows are one class already. What is left
-after ``lead_rounds`` rounds is checked pair by pair, but for pairs of one class. With 32 bands of 5, a pair at similarity
+after ``lead_rounds`` rounds is checked pair by pair, but for pairs of one class and pairs that a bound
+excludes which loses nothing: elements that no other candidate has are shared with none, and what two
+documents share of the bucket's first lead is bounded by what each shares with it. With 32 bands of 5, a pair at similarity
 0.8 shares no bucket with a probability below 4e-6. The classes are the connected components.
 
 Equal texts are one document until the end; they are joined by their hash and never compared.
@@ -28,7 +30,7 @@ from itertools import chain, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import files_for, materialize, portions
@@ -217,17 +219,35 @@ def components(labels: DataFrame, edges: DataFrame, name: str, files: int | None
         labels = materialize(moved.join(told, "label").select("id", F.least("new", "told").alias("label")), f"{name}-labels", files)
 
 
-def similar_pairs(pairs: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
-    """The (a, b) pairs whose weighted Jaccard similarity, by all their elements, is ``similarity`` or more."""
+def overlaps(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """(a, b, shared, total): how many elements the documents of each pair share, and how many they have in all."""
     left = pairs.join(own.select(F.col("id").alias("a"), F.col("elements").alias("ea")), "a")
-    # lengths first: a pair whose sizes alone exclude the similarity needs no second array
     both = left.join(own.select(F.col("id").alias("b"), F.col("elements").alias("eb")), "b")
-    shared = F.size(F.array_intersect("ea", "eb"))
-    lengths = F.size("ea") + F.size("eb")
-    return both.where((F.least(F.size("ea"), F.size("eb")) >= similarity * F.greatest(F.size("ea"), F.size("eb"))) & (shared >= similarity * (lengths - shared))).select("a", "b")
+    return both.select("a", "b", F.size(F.array_intersect("ea", "eb")).cast("long").alias("shared"), (F.size("ea") + F.size("eb")).cast("long").alias("total"))
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, lead_rounds: int = 8) -> DataFrame:
+def extents(own: DataFrame) -> DataFrame:
+    """(id, size, common) of (id, elements) rows: all elements, and those that another row has, too."""
+    alone = own.select("id", F.explode("elements").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = own.select("id", F.size("elements").cast("long").alias("size")).distinct()
+    return sizes.join(alone, "id", "left").select("id", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
+def may_reach(similarity: float, one: str, two: str) -> Column:
+    """Whether two rows of a bucket can be similar: a bound on what they share that loses no pair.
+
+    They share no more than either has in common with any document. Where both have been met with one
+    pivot, they share no more of the pivot than the one with less of it has, and no more besides than
+    either has in common with others outside of it.
+    """
+    at = lambda t, c: F.col(f"{t}.{c}")
+    most = F.least(at(one, "common"), at(two, "common"))
+    beside = F.least(at(one, "common") - at(one, "pivot"), at(two, "common") - at(two, "pivot"))
+    most = F.least(most, F.least(at(one, "pivot"), at(two, "pivot")) + beside)
+    return most >= similarity * (at(one, "size") + at(two, "size") - most) - 1e-9
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, lead_rounds: int = 3) -> DataFrame:
     """(id, class_id) of each row of ``docs``: class_id is the smallest id of its near-duplicates' class."""
     spark = docs.sparkSession
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -245,25 +265,36 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", sim
     nodes = scores.select(F.col("rep").alias("id"))
     own = materialize(elements_of(narrow.join(nodes, "id", "left_semi")), "minhash-elements", files_for(spark, total, 8_000))
     labels, edges, turn = nodes.select("id", F.col("id").alias("label")), None, 0
-    rows = met.join(scores, "rep").select("bucket", "rep", "score", F.col("rep").alias("label"))
+    stats = materialize(extents(own).withColumnRenamed("id", "rep"), "minhash-extents", files)
+    rows = met.join(scores.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9), "rep").select("bucket", "rep", "score", "size", "common", F.col("rep").alias("label"), F.lit(None).cast("long").alias("pivot"))
+    kept = ["bucket", "rep", "score", "size", "common", "pivot"]
     while True:
         turn += 1
-        first = rows.groupBy("bucket").agg(F.max(F.struct("score", (-F.col("rep")).alias("rep"), "label")).alias("first"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        rows = materialize(rows.join(first.select("bucket", (-F.col("first.rep")).alias("lead"), F.col("first.label").alias("lead_label")), "bucket"), "minhash-open", files)
+        lead = F.max(F.struct("score", (-F.col("rep")).alias("rep"), "label", "size", "common", "pivot")).alias("lead")
+        first = rows.groupBy("bucket").agg(lead, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        rows = materialize(rows.join(first.select("bucket", "lead"), "bucket"), "minhash-open", files)
         if rows.isEmpty():
             break
-        if turn <= lead_rounds:
-            pairs = rows.where("label <> lead_label").select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
-        else:  # what no lead resolves: the pairs of different classes, each once
-            other = rows.select("bucket", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-            pairs = rows.select("bucket", F.col("rep").alias("a"), "label").join(other, "bucket").where("a < b and label <> label_b").select("a", "b")
-        found = materialize(similar_pairs(pairs.distinct(), own, similarity), "minhash-links", files)
+        to_lead = rows.where(F.col("rep") != -F.col("lead.rep")).withColumns({"a": F.least("rep", -F.col("lead.rep")), "b": F.greatest("rep", -F.col("lead.rep"))})
+        if turn == 1:  # the first lead meets its whole bucket and is its pivot from then on
+            pairs = to_lead.select("a", "b")
+        elif turn <= lead_rounds:
+            pairs = to_lead.alias("row").where((F.col("label") != F.col("lead.label")) & may_reach(similarity, "row", "row.lead")).select("a", "b")
+        else:  # what no lead resolves: the pairs of different classes that may be similar, each once
+            one, two = rows.drop("lead").alias("one"), rows.drop("lead").alias("two")
+            again = (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.rep") < F.col("two.rep")) & (F.col("one.label") != F.col("two.label"))
+            pairs = one.join(two, again & may_reach(similarity, "one", "two")).select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b"))
+        seen = materialize(overlaps(pairs.distinct(), own), "minhash-overlaps", files)
+        found = seen.where(F.col("shared") >= similarity * (F.col("total") - F.col("shared"))).select("a", "b")
         edges = found if edges is None else edges.unionByName(found)
-        labels = components(labels, edges, "minhash", files)
+        if not found.isEmpty():
+            labels = components(labels, edges, "minhash", files)
         if turn > lead_rounds:
             break
-        # leads have met their whole bucket and leave it; the rest matters while it has two classes or more
-        rows = rows.where("rep <> lead").select("bucket", "rep", "score").join(labels.withColumnRenamed("id", "rep"), "rep")
+        if turn == 1:
+            to_lead = to_lead.drop("pivot").join(seen.select("a", "b", F.col("shared").alias("pivot")), ["a", "b"])
+        # leads have met their bucket and leave it; the rest matters while it has two classes or more
+        rows = to_lead.select(*kept).join(labels.withColumnRenamed("id", "rep"), "rep")
     of_rep = copies.select("key", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("label", "rep").alias("class_id"))
     classed = signed.select("id", "key", (F.col("bands").isNotNull() & F.col("id").isNotNull()).alias("has")).join(of_rep, "key", "left")
     return classed.select(F.col("id").alias(id), F.when(F.col("has"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")).coalesce(files)
