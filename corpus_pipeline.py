@@ -9,27 +9,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelloom.llm import decontaminate, minhash, pieces, quality, secret_scan
-from panelloom.llm.common import materialize, read
+from panelloom.llm.common import files_for, materialize, read
+
+
+def in_few_files(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """``out`` in a file for some 8,000 documents of the stage's input, instead of one for each shuffle partition."""
+    return out.coalesce(files_for(docs.sparkSession, docs.count(), 8_000))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    return in_few_files(quality.keep_good(docs), docs)
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs)
+    return in_few_files(minhash.keep_one(docs), docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.remove_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return in_few_files(decontaminate.remove_leaks(docs, read(spark, sf_dir, "benchmark")), docs)
 
 
 def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secret_scan.redact(docs)
+    return in_few_files(secret_scan.redact(docs), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode(docs)
+    return in_few_files(pieces.encode(docs), docs)
 
 
 STAGES = [
