@@ -28,7 +28,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ENDPOINT = re.compile(r"(?:https?|s3|ftp|postgres|mysql|mongodb|redis)://[^\s\"'<>]+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com\b")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 IDENTIFIER = re.compile(r"\b(?:client_?id|access_?key_?id|account|username|user|login)\b[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.@=-]{3,})", re.IGNORECASE | re.ASCII)
 SCOPE = re.compile(r"\n[\x20\t\r]*\n")
 BASE_KINDS = ("assign", "access", "hex")
@@ -74,17 +74,17 @@ def link(text: str, strong: list[tuple[int, int, str]], weak: list[tuple[int, in
         return []
     bounds = [m.start() for m in SCOPE.finditer(text)]
     scope = lambda at: bisect.bisect_right(bounds, at)
-    secrets, others = [], []
+    # of each scope the starts of its parts, and the furthest end of the parts up to each
+    secrets, others = {}, {}
     for start, end, kind in sorted(strong + weak):
-        (secrets if SORTS[kind] == "secret" else others).append((start, end))
-
-    def near(start: int, end: int, among: list[tuple[int, int]]) -> bool:
-        at = bisect.bisect_left(among, (start - reach - 4096, 0))
-        while at < len(among) and among[at][0] <= end + reach:
-            if among[at][1] >= start - reach and scope(among[at][0]) == scope(start):
-                return True
-            at += 1
-        return False
+        starts, ends = (secrets if SORTS[kind] == "secret" else others).setdefault(scope(start), ([], []))
+        starts.append(start)
+        ends.append(max(end, ends[-1]) if ends else end)
+
+    def near(start: int, end: int, among: dict[int, tuple[list[int], list[int]]]) -> bool:
+        starts, ends = among.get(scope(start), ((), ()))
+        at = bisect.bisect_right(starts, end + reach)
+        return at > 0 and ends[at - 1] >= start - reach
 
     return [(a, b, kind) for a, b, kind in weak if near(a, b, others if SORTS[kind] == "secret" else secrets)]
 
