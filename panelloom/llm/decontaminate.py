@@ -12,8 +12,9 @@
    the more, the fewer items have it.
 
 Defined cases: null and empty texts and items match nothing, as do items of fewer than five words; a
-document shorter than an item is one window; a repeated item is reported under each of its ids; repeated
-documents are reported once for each id; other columns are not read.
+document shorter than an item is one window; equal items (in words) are one item until the end and are
+reported under each of their ids, a null id among them; of several texts under one id the most similar one
+is told; repeated documents are reported once for each id; other columns are not read.
 """
 
 from __future__ import annotations
@@ -115,8 +116,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     ``start`` counts words. Of several windows the one with the highest similarity, then the first, is told.
     """
     kind = docs.schema[id].dataType.simpleString()
-    items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).alias("item"), word_hashes(F.col(item_text).cast("string")).alias("words"))
-    items = materialize(materialize(items, "leak-words").select("item", F.size("words").alias("n"), F.posexplode(shingles(F.col("words"))).alias("q", "h")), "leak-items")
+    read = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).alias("id"), word_hashes(F.col(item_text).cast("string")).alias("words"))
+    read = materialize(read.withColumn("item", F.md5(F.array_join("words", ","))), "leak-words")
+    names = read.select("item", "id").distinct()
+    items = read.groupBy("item").agg(F.any_value("words").alias("words"))
+    items = materialize(items.select("item", F.size("words").alias("n"), F.posexplode(shingles(F.col("words"))).alias("q", "h")), "leak-items")
     n_items = items.select(F.count_distinct("item")).first()[0]
     weights = items.groupBy("h").agg(F.log1p(F.lit(float(n_items)) / F.count_distinct("item")).alias("weight"))
     item_features = items.groupBy("item", "h").agg(F.count(F.lit(1)).alias("tf")).join(weights, "h")
@@ -143,9 +147,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     both = candidates.join(item_features, "item").join(window_features.select("key", "h", F.col("tf").alias("own")), ["key", "h"], "left")
     shared = F.sum(F.col("weight") * F.least("tf", F.coalesce("own", F.lit(0)))) / F.sum(F.col("weight") * F.col("tf"))
     exact = both.groupBy("key", "item").agg(shared.alias("similarity"), F.min("distance").alias("distance")).where(F.col("similarity") >= similarity)
-    found = laid.select("doc", "start", "length", "key").join(exact, "key")
-    best = found.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), (-F.col("length")).alias("shorter"), "distance")).alias("best"))
-    return best.select(F.col("doc").cast(kind).alias(id), F.col("item").alias(item), F.round("best.similarity", 6).alias("similarity"), (-F.col("best.before")).cast("long").alias("start"), (SHINGLE - 1 - F.col("best.shorter")).cast("long").alias("n_words"), F.col("best.distance").cast("int").alias("distance"))
+    found = laid.select("doc", "start", "length", "key").join(exact, "key").join(names, "item")
+    best = found.groupBy("doc", "id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), (-F.col("length")).alias("shorter"), "distance")).alias("best"))
+    return best.select(F.col("doc").cast(kind).alias(id), F.col("id").alias(item), F.round("best.similarity", 6).alias("similarity"), (-F.col("best.before")).cast("long").alias("start"), (SHINGLE - 1 - F.col("best.shorter")).cast("long").alias("n_words"), F.col("best.distance").cast("int").alias("distance"))
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:

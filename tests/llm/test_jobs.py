@@ -145,6 +145,17 @@ def test_leaks_equal_every_window(spark, docs_of):
     assert clean.columns == df.columns and {x.doc_id for x in clean.collect()} == {i for i, _ in rows} - {x.doc_id for x in got}
 
 
+def test_leaks_of_repeated_items(spark, docs_of):
+    """Rows that stand twice, an id with two texts and a null id lose nothing."""
+    texts = [prose(300 + k, 30) for k in range(5)]
+    items = [(1, texts[0]), (1, texts[0]), (2, texts[1]), (2, texts[2]), (None, texts[3]), (4, texts[4]), (4, texts[4].upper())]
+    rows = [(10 + k, prose(400 + k, 40) + " " + t + " " + prose(500 + k, 40)) for k, t in enumerate(texts)] + [(20, texts[1] + " " + texts[2]), (21, prose(7, 90))]
+    df, bench = docs_of(rows), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((x.doc_id, x.item_id) for x in decontaminate.find_leaks(df, bench).collect()), key=str)
+    assert got == [(10, 1), (11, 2), (12, 2), (13, None), (14, 4), (20, 2)]
+    assert [x.doc_id for x in decontaminate.remove_leaks(df, bench).collect()] == [21]
+
+
 def test_leaks_of_nothing(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(docs_of([(1, prose(1, 60))]), none).count() == 0
