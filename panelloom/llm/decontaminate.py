@@ -8,6 +8,8 @@
 4. Fingerprints are cut into eight blocks. Two fingerprints within a Hamming distance of ``8 e + 7`` have a
    block in which they differ in ``e`` bits at most, so the items are listed under every value of each
    block that is at most ``e`` bits away, and an equi-join of blocks finds all pairs within the radius.
+   Fingerprints may lie further apart where shingles weigh little, so windows also meet the items of whose
+   heaviest shingles they hold one: a window with none of them cannot reach ``similarity``. No pair is lost.
 5. A candidate counts when the window holds ``similarity`` of the item's weighted shingles. A shingle weighs
    the more, the fewer items have it.
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -110,6 +112,15 @@ def hamming_pairs(windows: DataFrame, items: DataFrame, radius: int = RADIUS) ->
     return met.select("key", "item", distance.alias("distance")).distinct()
 
 
+def telling(features: DataFrame, similarity: float) -> DataFrame:
+    """(item, h) of (item, h, tf, weight): each item's heaviest shingles, until the others weigh less than ``similarity`` of it."""
+    mass = F.col("weight") * F.col("tf")
+    heaviest = Window.partitionBy("item").orderBy(F.col("weight").desc(), "h")
+    before = F.coalesce(F.sum(mass).over(heaviest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    total = F.sum(mass).over(Window.partitionBy("item"))
+    return features.select("item", "h", before.alias("before"), total.alias("total")).where(F.col("before") <= (1 - similarity + 1e-9) * F.col("total")).select("item", "h")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row for each document and item that it holds: id, item, similarity, start and n_words of the window.
 
@@ -142,11 +153,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     highest = float(np.log1p(n_items))
     window_features = materialize(window_features.join(weights, "h", "left").select("key", "h", "tf", F.coalesce("weight", F.lit(highest)).alias("weight")), "leak-features")
     weigh = lambda f, key: f.select(key, "h", (F.col("weight") * F.col("tf")).alias("weight"))
-    candidates = hamming_pairs(fingerprints(weigh(window_features, "key"), "key"), fingerprints(weigh(item_features, "item"), "item"), radius)
+    window_fp = materialize(fingerprints(weigh(window_features, "key"), "key"), "leak-fingerprints")
+    item_fp = fingerprints(weigh(item_features, "item"), "item")
+    near = hamming_pairs(window_fp, item_fp, radius).select("key", "item")
+    held = window_features.select("key", "h").join(telling(item_features, similarity), "h").select("key", "item")
+    candidates = near.union(held).distinct()
 
     both = candidates.join(item_features, "item").join(window_features.select("key", "h", F.col("tf").alias("own")), ["key", "h"], "left")
     shared = F.sum(F.col("weight") * F.least("tf", F.coalesce("own", F.lit(0)))) / F.sum(F.col("weight") * F.col("tf"))
-    exact = both.groupBy("key", "item").agg(shared.alias("similarity"), F.min("distance").alias("distance")).where(F.col("similarity") >= similarity)
+    exact = both.groupBy("key", "item").agg(shared.alias("similarity")).where(F.col("similarity") >= similarity)
+    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("distance")
+    exact = exact.join(window_fp, "key").join(item_fp.withColumnRenamed("fp", "item_fp"), "item").select("key", "item", "similarity", apart)
     found = laid.select("doc", "start", "length", "key").join(exact, "key").join(names, "item")
     best = found.groupBy("doc", "id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), (-F.col("length")).alias("shorter"), "distance")).alias("best"))
     return best.select(F.col("doc").cast(kind).alias(id), F.col("id").alias(item), F.round("best.similarity", 6).alias("similarity"), (-F.col("best.before")).cast("long").alias("start"), (SHINGLE - 1 - F.col("best.shorter")).cast("long").alias("n_words"), F.col("best.distance").cast("int").alias("distance"))

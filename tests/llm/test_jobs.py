@@ -156,6 +156,22 @@ def test_leaks_of_repeated_items(spark, docs_of):
     assert [x.doc_id for x in decontaminate.remove_leaks(df, bench).collect()] == [21]
 
 
+def test_leaks_of_items_with_a_template(spark, docs_of):
+    """Items that share most of their shingles: fingerprints alone would lose windows without the template."""
+    r = random.Random(17)
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    template = fresh(36)
+    own = [fresh(20) for _ in range(100)]
+    items = [(k, " ".join(template + o)) for k, o in enumerate(own)]
+    rows = [(k, " ".join(fresh(40) + template[-4:] + o + fresh(4))) for k, o in enumerate(own[:30])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_leaks(rows, items)
+    assert len(want) == 30
+    alone = decontaminate.find_leaks(docs_of(rows), bench, radius=0).collect()
+    assert {(x.doc_id, x.item_id) for x in alone} == want == {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(docs_of(rows), bench).collect()}
+    assert max(x.distance for x in alone) > decontaminate.RADIUS
+
+
 def test_leaks_of_nothing(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(docs_of([(1, prose(1, 60))]), none).count() == 0
