@@ -30,7 +30,7 @@ from itertools import chain, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import files_for, materialize, portions
@@ -247,8 +247,8 @@ def may_reach(similarity: float, one: str, two: str) -> Column:
     return most >= similarity * (at(one, "size") + at(two, "size") - most) - 1e-9
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, lead_rounds: int = 3) -> DataFrame:
-    """(id, class_id) of each row of ``docs``: class_id is the smallest id of its near-duplicates' class."""
+def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_rounds: int) -> DataFrame:
+    """(id, key, label, class_id) of each row of ``docs``: hash of the text, what its class alone has (NULL: no class), the class's smallest id."""
     spark = docs.sparkSession
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     total = docs.count()
@@ -256,14 +256,23 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", sim
     signed = materialize(bands_of(narrow, "id", "text"), "minhash-bands", files_for(spark, total, 8_000))
     known = signed.where(F.col("id").isNotNull() & F.col("bands").isNotNull())
     # one document stands for equal texts; their bands are equal, too
-    copies = materialize(known.groupBy("key").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands")), "minhash-reps", files_for(spark, total, 8_000))
+    copies = materialize(known.groupBy("key").agg(F.min("id").alias("first"), F.any_value("bands").alias("bands")), "minhash-reps", files_for(spark, total, 8_000))
+    # an id with several texts is no name for any of them; elsewhere the id stands for the text
+    again = copies.groupBy("first").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    reused = not again.isEmpty()
+    copies = copies.join(again, "first", "left").withColumn("rep", F.when(F.col("texts").isNull(), F.col("first")).otherwise(F.xxhash64("first", "key"))) if reused else copies.withColumn("rep", F.col("first"))
     buckets = copies.select("rep", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = materialize(buckets.join(shared, "bucket").select("bucket", "rep", "n"), "minhash-buckets", files)
     # the copy that the others were made from shares more and larger buckets than they do with each other
     scores = materialize(met.groupBy("rep").agg(F.sum("n").alias("score")), "minhash-nodes", files)
     nodes = scores.select(F.col("rep").alias("id"))
-    own = materialize(elements_of(narrow.join(nodes, "id", "left_semi")), "minhash-elements", files_for(spark, total, 8_000))
+    if reused:
+        named = copies.join(nodes.withColumnRenamed("id", "rep"), "rep").select(F.col("first").alias("id"), "key", "rep")
+        texts = narrow.withColumn("key", F.md5("text")).join(named, ["id", "key"]).select(F.col("rep").alias("id"), "text")
+    else:
+        texts = narrow.join(nodes, "id", "left_semi")
+    own = materialize(elements_of(texts), "minhash-elements", files_for(spark, total, 8_000))
     labels, edges, turn = nodes.select("id", F.col("id").alias("label")), None, 0
     stats = materialize(extents(own).withColumnRenamed("id", "rep"), "minhash-extents", files)
     rows = met.join(scores.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9), "rep").select("bucket", "rep", "score", "size", "common", F.col("rep").alias("label"), F.lit(None).cast("long").alias("pivot"))
@@ -295,12 +304,32 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", sim
             to_lead = to_lead.drop("pivot").join(seen.select("a", "b", F.col("shared").alias("pivot")), ["a", "b"])
         # leads have met their bucket and leave it; the rest matters while it has two classes or more
         rows = to_lead.select(*kept).join(labels.withColumnRenamed("id", "rep"), "rep")
-    of_rep = copies.select("key", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("label", "rep").alias("class_id"))
-    classed = signed.select("id", "key", (F.col("bands").isNotNull() & F.col("id").isNotNull()).alias("has")).join(of_rep, "key", "left")
-    return classed.select(F.col("id").alias(id), F.when(F.col("has"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")).coalesce(files)
+    of_rep = copies.select("key", "first", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", "first", F.coalesce("label", "rep").alias("label"))
+    if reused:
+        of_rep = of_rep.join(of_rep.groupBy("label").agg(F.min("first").alias("class_id")), "label")
+    else:
+        of_rep = of_rep.withColumn("class_id", F.col("label"))
+    has = F.col("bands").isNotNull() & F.col("id").isNotNull()
+    classed = signed.select("id", "key", has.alias("has")).join(of_rep.select("key", "label", "class_id"), "key", "left")
+    return classed.select("id", "key", F.when(F.col("has"), F.col("label")).alias("label"), F.when(F.col("has"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")).coalesce(files)
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, lead_rounds: int = 3) -> DataFrame:
+    """(id, class_id) of each row of ``docs``: class_id is the smallest id of its near-duplicates' class."""
+    return classified(docs, id, text, similarity, lead_rounds).select(F.col("id").alias(id), "class_id")
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their class; of rows with equal ids and texts, one."""
-    classes = near_duplicates(docs, id, text, similarity).where(F.col(id).isNull() | (F.col(id) == F.col("class_id"))).select(F.col(id).alias("__kept")).where("__kept is not null").distinct()
-    return docs.join(classes, docs[id].cast("long") == F.col("__kept"), "left_semi").unionByName(docs.where(F.col(id).isNull()))
+    """The rows of ``docs`` whose id is the smallest of their class; of rows with equal ids and texts, one.
+
+    Of the texts of a class under its smallest id, the one with the smallest hash stays. Rows with a null id all stay.
+    """
+    rows = classified(docs, id, text, similarity, 3).where("id is not null")
+    first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("id", "key")).alias("at")).select("at.id", "at.key")
+    kept = first.union(rows.where("label is null").select("id", "key").distinct()).select(F.col("id").alias("__id"), F.coalesce("key", F.lit("")).alias("__key"))
+    key = F.coalesce(F.md5(F.col(text).cast("string")), F.lit(""))
+    out = docs.join(kept, (docs[id].cast("long") == F.col("__id")) & (key == F.col("__key")), "left_semi")
+    if not rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        order = F.xxhash64(*[f"`{name}`" for name, kind in docs.dtypes if "map<" not in kind])
+        out = out.withColumn("__n", F.row_number().over(Window.partitionBy(F.col(id).cast("long"), key).orderBy(order))).where("__n = 1").drop("__n")
+    return out.unionByName(docs.where(F.col(id).cast("long").isNull()))

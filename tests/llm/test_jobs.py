@@ -81,6 +81,17 @@ def test_one_of_each_class_stays(docs_of):
     assert out.columns == df.columns and sorted(x.doc_id for x in out.collect()) == [1, 4, 5]
 
 
+def test_one_of_repeated_rows_and_reused_ids(docs_of):
+    a, b, c, d = (prose(20 + k, 90) for k in range(4))
+    near = edited(a, random.Random(2), 1)
+    rows = [(1, a), (1, a), (2, b), (2, b), (3, near), (3, c), (4, d), (4, None), (4, None), (5, d), (5, b), (6, c + " tail"), (None, a)]
+    got = sorted(((x.doc_id, x.text) for x in minhash.keep_one(docs_of(rows)).collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (4, d), (4, None), (None, a)], key=str)
+    # two texts that only share their smallest id are not one class
+    got = sorted((x.doc_id, x.text) for x in minhash.keep_one(docs_of([(7, a), (7, b), (8, near), (9, b)])).collect())
+    assert got == sorted([(7, a), (7, b)])
+
+
 def test_signatures_estimate_weighted_similarity():
     r = random.Random(2)
     shared = np.array([r.getrandbits(63) for _ in range(600)], np.uint64)
