@@ -5,8 +5,9 @@ learned from all documents of its language. The distance is Jensen-Shannon (squa
 divergence, base 2, from 0 to 1). A document is rejected when a distance is over its threshold; short
 documents, whose histograms say little, are guarded: each rule only speaks above a least length.
 
-Defined cases: a null or empty text has no words and fails the base rule; a document without a known
-language is held against every reference and the nearest counts; an empty table gives an empty result;
+Defined cases: a null or empty text has no words and fails the base rule; a document without a language
+is held against every reference and the nearest counts; one whose language has too few documents for a
+reference is judged by the base rule alone; an empty table gives an empty result;
 repeated rows are judged one by one; other columns of the input are never read.
 """
 
@@ -124,11 +125,11 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, sum(parts) / 2)))
 
 
-def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = 50, min_share: float = 0.001) -> dict:
+def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = 50, min_share: float = 0.001, min_documents: int = 20) -> dict:
     """Mean histograms of each language over all its documents of ``min_words`` words and more.
 
-    Each such document has the same weight, long or short. A language needs ``min_share`` of these
-    documents to get a reference, so that at most ``1 / min_share`` references reach the driver.
+    Each such document has the same weight, long or short. A language gets a reference from ``min_documents``
+    of these documents on, however small its share of the corpus, or where fewer are ``min_share`` of all.
     """
     n_bins = len(CLASSES) + len(VOCABULARY) + 1
 
@@ -150,7 +151,7 @@ def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang", mi
     partial = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).mapInArrow(histograms, "lang string, bin array<double>")
     summed = partial.groupBy("lang").agg(*[F.sum(F.get("bin", F.lit(i))).alias(f"b{i}") for i in range(n_bins + 1)])
     total = summed.select(F.sum(f"b{n_bins}")).first()[0] or 0.0
-    found = summed.where(F.col(f"b{n_bins}") >= min_share * total).collect()
+    found = summed.where(F.col(f"b{n_bins}") >= min(min_documents, min_share * total)).collect()
     out = {}
     for row in sorted(found, key=lambda r: r["lang"]):
         values = np.array(row[1:], np.float64)
@@ -171,7 +172,7 @@ class Judge:
         words = out.pop("words")
         classes = out.pop("classes")
         failed = out["n_words"] < 50 or 100 * out["n_repeat_words"] > 50 * out["n_words"]
-        against = [self.languages[lang]] if lang in self.languages else list(self.languages.values())
+        against = list(self.languages.values()) if lang is None else [self.languages[lang]] if lang in self.languages else []
         by_class = by_common = None
         if against and out["n_words"] >= min_words:
             by_class = min(js_distance(classes, ref) for ref, _ in against)

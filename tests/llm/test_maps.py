@@ -61,6 +61,20 @@ def test_keep_good_keeps_columns(docs_of):
     assert ids >= set(range(200, 220)) and not ids & {1, 2, 3, 6, 7}
 
 
+def test_quality_of_rare_languages(spark):
+    """A language's verdict does not depend on its share of the corpus, nor on other languages' references."""
+    letters = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ")
+    rare = [prose(700 + i, 150).lower().translate(letters) for i in range(25)]
+    rows = [(i, prose(600 + i, 150), "en") for i in range(40)] + [(100 + i, t, "ru") for i, t in enumerate(rare)] + [(200, rare[0], "bg")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = quality.learn_references(df, min_share=0.5)
+    assert set(found) == {"en", "ru"}
+    limits = (0.28, 0.45, 50, 100, 0.1)
+    judge, other = quality.Judge(found, *limits), quality.Judge({"en": found["en"]}, *limits)
+    assert all(judge(t, "ru")["kept"] for t in rare) and other(rare[0], "ru")["kept"] and judge(rare[0], "bg")["kept"]
+    assert judge(rare[0], "bg")["class_distance"] is None and not other(rare[0], None)["kept"] and not judge(rare[0], "en")["kept"]
+
+
 def test_js_distance():
     p, q = np.array([1.0, 0.0]), np.array([0.0, 2.0])
     assert quality.js_distance(p, q) == pytest.approx(1.0) and quality.js_distance(p, p) == 0.0
