@@ -384,10 +384,25 @@ query("n02_neighbours", f"{PAIRS} SELECT i, j, round(corr, 6) + 0.0 AS corr FROM
 query("n03_peer_stats", f"{PAIRS} SELECT e.i AS code, s.day, count(*) AS n_peers, round(sum(abs(corr) * x) / sum(abs(corr)), 6) + 0.0 AS peer_mean, round(avg(CASE WHEN x > 0 THEN 1.0 ELSE 0.0 END), 6) + 0.0 AS peer_up, round(stddev_pop(x), 6) + 0.0 AS peer_std FROM edges e JOIN s ON s.code = e.j GROUP BY ALL")(lambda spark, d: network.peer_stats(edges_of(spark, d), small(spark, d), "x").select("code", "day", "n_peers", *[r6(c).alias(c) for c in ("peer_mean", "peer_up", "peer_std")]))
 query("n04_tightness", f"{PAIRS}, p AS (SELECT a.i, a.j, b.j AS k FROM edges a JOIN edges b ON a.i = b.i AND a.j < b.j) SELECT p.i, round(avg(CASE WHEN EXISTS (SELECT 1 FROM edges e WHERE (e.i = p.j AND e.j = p.k) OR (e.i = p.k AND e.j = p.j)) THEN 1.0 ELSE 0.0 END), 6) + 0.0 AS tightness FROM p GROUP BY p.i")(lambda spark, d: network.tightness(edges_of(spark, d)).select("i", r6("tightness").alias("tightness")))
 query("n04_two_hop", f"{PAIRS}, f AS (SELECT DISTINCT a.i, b.j AS k FROM edges a JOIN edges b ON a.j = b.i WHERE a.i <> b.j) SELECT i, count(*) AS n_two_hop FROM f WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.i = f.i AND e.j = f.k) GROUP BY i")(lambda spark, d: network.two_hop(edges_of(spark, d)))
-query("n05_eigen_centrality")(lambda spark, d: network.eigen_centrality(edges_of(spark, d)).select("code", r6("score").alias("score")))
+query("n05_eigen_centrality")(lambda spark, d: network.eigen_centrality(whole_edges(spark, d)).select("code", r6("score").alias("score")))
 query("n06_donor_beta", f"{PAIRS}, p AS (SELECT e.i AS code, s.day, sum(abs(corr) * x) / sum(abs(corr)) AS m FROM edges e JOIN s ON s.code = e.j GROUP BY ALL) SELECT s.code, round(regr_slope(x, m), 5) + 0.0 AS beta FROM s JOIN p ON s.code = p.code AND s.day = p.day GROUP BY s.code")(lambda spark, d: network.donor_beta(small(spark, d), edges_of(spark, d), "x").select("code", F.round("beta", 5).alias("beta")))
 
 
+# The SQL above compares the codes under 40; these run over the whole panel, for which it would be too slow.
+
+
+def whole_edges(spark, d):
+    return network.neighbours(network.pair_correlations(panel(spark, d), "x", 10), 5)
+
+
+query("n01_pair_correlations_whole")(lambda spark, d: network.pair_correlations(panel(spark, d), "x", 10).select("i", "j", r6("corr").alias("corr"), "n"))
+query("n02_neighbours_whole")(lambda spark, d: whole_edges(spark, d).select("i", "j", r6("corr").alias("corr")))
+query("n03_peer_stats_whole")(lambda spark, d: network.peer_stats(whole_edges(spark, d), panel(spark, d), "x").select("code", "day", "n_peers", *[r6(c).alias(c) for c in ("peer_mean", "peer_up", "peer_std")]))
+query("n04_tightness_whole")(lambda spark, d: network.tightness(whole_edges(spark, d)).select("i", r6("tightness").alias("tightness")))
+query("n04_two_hop_whole")(lambda spark, d: network.two_hop(whole_edges(spark, d)))
+query("n06_donor_beta_whole")(lambda spark, d: network.donor_beta(panel(spark, d), whole_edges(spark, d), "x").select("code", F.round("beta", 5).alias("beta")))
+
+
 # --- evaluation and portfolios -----------------------------------------------------------------
 
 EVAL = f"""{GRID}, ev AS (SELECT code, day, x AS score, lead(x) OVER {ORDER} - x AS ret, CAST(vol AS DOUBLE) * 1000 AS liq, n % 3 > 0 AS entry FROM grid), e AS (SELECT * FROM ev WHERE score IS NOT NULL AND ret IS NOT NULL)"""
