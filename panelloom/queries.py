@@ -207,8 +207,8 @@ _SRC = "src AS (SELECT user_id AS code, CAST(ts AS DATE) AS day, event_id AS k,
 _LAST = "SELECT max(struct_pack(d := s.day, k := s.k, v := s.v)) FROM src s WHERE s.code = g.code AND s.day {op} g.day"
 
 
-def _source(spark, d):
-    e = table(spark, d, "events").where("event_id % 3 = 0")
+def _source(spark, d, which="event_id % 3 = 0"):
+    e = table(spark, d, "events").where(which)
     return e.select(F.col("user_id").alias("code"), F.to_date("ts").alias("day"), F.col("event_id").alias("k"), F.when(F.col("event_type") != "view", F.floor("value").cast("long")).alias("v"))
 
 
@@ -341,7 +341,11 @@ g AS (SELECT *, sum(fresh) OVER (PARTITION BY code ORDER BY from_day, to_day ROW
 
 
 def spans(spark, d):
-    return table(spark, d, "orders").where("o_orderkey % 10 = 0").select((F.col("o_custkey") % 100).alias("code"), F.to_date("o_orderdate").alias("from_day"), F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 20).cast("int")).alias("to_day"))
+    return _spans(table(spark, d, "orders").where("o_orderkey % 10 = 0"), F.col("o_custkey") % 100)
+
+
+def _spans(orders, code):
+    return orders.select(code.alias("code"), F.to_date("o_orderdate").alias("from_day"), F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 20).cast("int")).alias("to_day"))
 
 
 query("s20_merge_intervals", f"WITH {_MERGED} SELECT code, from_day, to_day FROM m")(lambda spark, d: sets.merge_intervals(spans(spark, d), ["code"]))
@@ -363,6 +367,28 @@ query("s10_unpack_dump", "SELECT CAST(user_id AS VARCHAR) AS code, CAST(event_id
 query("s17_magnitude_jumps", f"WITH {FACTS}, m AS (SELECT day, quantile_cont(CASE WHEN day = DATE '2024-01-15' THEN cents * 100 ELSE cents END, 0.5) AS median FROM facts GROUP BY day), r AS (SELECT *, median / lag(median) OVER (ORDER BY day) AS ratio FROM m) SELECT day, round(ratio, 6) + 0.0 AS ratio FROM r WHERE ratio >= 5 OR ratio <= 0.2")(lambda spark, d: tables.magnitude_jumps(facts(spark, d).withColumn("cents", F.when(F.col("day") == F.lit("2024-01-15").cast("date"), F.col("cents") * 100).otherwise(F.col("cents"))), "cents").select("day", r6("ratio").alias("ratio")))
 
 
+# The SQL of these compares a part of its rows; beside it, they run over whole tables, without SQL.
+
+
+def replaced_days(e):
+    fresh = e.where("day between '2024-01-10' and '2024-01-12'")
+    return tables.replace_days(e.withColumn("v", F.lit(0)), fresh.withColumn("v", F.lit(1)), fresh, before="2024-01-25", after="2024-01-03")
+
+
+def dumps(e):
+    return e.select(F.to_json(F.create_map(F.col("user_id").cast("string"), F.array(F.array(F.col("event_id").cast("string"), F.lit("1"), F.lit("2"), F.lit("0"), F.col("value").cast("string"), F.lit("7"), F.lit("8"))))).alias("dump"))
+
+
+query("s20_merge_intervals_whole")(lambda spark, d: sets.merge_intervals(_spans(table(spark, d, "orders"), F.col("o_custkey")), ["code"]))
+query("s20_missing_intervals_whole")(lambda spark, d: sets.missing_intervals(_spans(table(spark, d, "orders"), F.col("o_custkey")), ["code"], "1997-01-01", "1998-12-31"))
+query("s13_replace_days_whole")(lambda spark, d: replaced_days(table(spark, d, "events").select(F.to_date("ts").alias("day"), "event_id")))
+query("s10_unpack_dump_whole")(lambda spark, d: tables.unpack_dump(dumps(table(spark, d, "events"))).select("code", "time", "close"))
+query("j01_asof_whole")(lambda spark, d: grid.asof(panel(spark, d).select("code", "day"), _source(spark, d, "true"), ["v"], ["k"]))
+query("j01_asof_strict_aged_whole")(lambda spark, d: grid.asof(panel(spark, d).select("code", "day"), _source(spark, d, "true"), ["v"], ["k"], strict=True, max_age=2))
+query("r07_others_whole")(lambda spark, d: cross.median_of_others(panel(spark, d).where("x is not null"), "x", "m").select("code", "day", r6(cross.mean_of_others(F.col("x"))).alias("mean_others"), r6("m").alias("median_others")))
+query("g09_session_runs_whole")(lambda spark, d: grid.session_runs(table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("day")), table(spark, d, "lineitem").where("l_returnflag = 'A'").select(F.to_date("l_shipdate").alias("day"))))
+
+
 # --- networks ----------------------------------------------------------------------------------
 
 PAIRS = f"""{GRID}, s AS (SELECT code, day, x FROM grid WHERE code < 40 AND x IS NOT NULL),

@@ -8,6 +8,11 @@ from tests.test_queries_against_sql import SF_DIR, con, plain, pytestmark  # noq
 #: Of each query: the SQL's query and what is cut out of its text.
 NETWORK = [("code < 40 AND ", "")]
 WHOLE = {f"{n}_whole": (n, NETWORK) for n in ("n01_pair_correlations", "n02_neighbours", "n03_peer_stats", "n04_tightness", "n04_two_hop", "n06_donor_beta")}
+SPANS = [("o_custkey % 100 AS code", "o_custkey AS code"), (" WHERE o_orderkey % 10 = 0", "")]
+WHOLE |= {f"{n}_whole": (n, cuts) for n, cuts in {
+    "s20_merge_intervals": SPANS, "s20_missing_intervals": SPANS, "s13_replace_days": [("event_id % 2 = 0 AND ", "")], "s10_unpack_dump": [(" WHERE event_id % 50 = 0", "")],
+    "j01_asof": [(" WHERE event_id % 3 = 0", "")], "j01_asof_strict_aged": [(" WHERE event_id % 3 = 0", "")], "r07_others": [(" AND code % 7 = 0", "")], "g09_session_runs": [("l_suppkey % 10 = 1 AND ", "")],
+}.items()}
 
 
 @pytest.fixture(scope="module")
