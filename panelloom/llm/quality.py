@@ -35,7 +35,7 @@ COMMON_WORDS = {
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 CLASSES = ("lower", "upper", "accented", "digit", "space", "punctuation", "symbol", "letter", "odd_space", "other")
-_TABLE_SIZE = 0x3000
+_TABLE_SIZE = 0x3001  # one past the last white space there is, U+3000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 VOCABULARY = list(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words.split()))
 
