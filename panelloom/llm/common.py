@@ -14,6 +14,8 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Longer words are not remembered between batches.
+LONG_WORD = 64
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -74,7 +76,8 @@ def portions(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_
 def ids_of_words(texts: list[list[str]], cache: dict[str, bytes], learn: Callable[[set[str]], None], limit: int) -> list[bytes]:
     """Each text's words replaced by what ``cache`` holds for them, joined; ``learn`` adds what it lacks.
 
-    Over ``limit`` words the cache keeps its oldest third, in which the frequent words are.
+    Over ``limit`` words the cache keeps its oldest third, in which the frequent words are. Words over
+    ``LONG_WORD`` characters leave it after the batch, so that its bytes are bounded as well.
     """
     found = [list(map(cache.get, words)) for words in texts]
     new = {w for words, own in zip(texts, found, strict=True) if None in own for w, x in zip(words, own, strict=True) if x is None}
@@ -87,4 +90,7 @@ def ids_of_words(texts: list[list[str]], cache: dict[str, bytes], learn: Callabl
         if None in own:
             own = [cache[w] if x is None else x for w, x in zip(words, own, strict=True)]
         out.append(b"".join(own))
+    for word in new:
+        if len(word) > LONG_WORD:
+            cache.pop(word, None)
     return out

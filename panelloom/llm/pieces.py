@@ -31,7 +31,7 @@ MARK = "▁"
 _BARE = "\ud800"  # no text holds a lone surrogate
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
 #: Words whose ids a Python worker remembers between batches, and pairs of pieces.
-CACHE_WORDS, CACHE_PAIRS = 450_000, 400_000
+CACHE_WORDS, CACHE_PAIRS = 300_000, 250_000
 
 
 def default_model() -> str:
@@ -110,10 +110,14 @@ class PieceModel:
         return known
 
     def encode_sorted(self, words: list[str]) -> list[bytes]:
-        """Ids (little-endian, 32 bits each) of ascending words: the depth-first walk of their trie."""
+        """Ids (little-endian, 32 bits each) of ascending words: the depth-first walk of their trie.
+
+        A prefix keeps its last piece, where that begins and, for a unigram model, its score; a word's ids
+        are read back from its end, so memory follows the word's length.
+        """
         out: list[bytes] = []
-        last: list[str] = [""]  # by prefix length: last piece, ids of the prefix, score
-        ids: list[bytes] = [b""]
+        last: list[str] = [""]  # by prefix length: last piece, its begin, score
+        origin: list[int] = [0]
         scores: list[float] = [0.0]
         before = ""
         endings, packed, bpe, score, known, stands = self.endings, self.packed, self.bpe, self.score, self.compatible.get, self.stands
@@ -123,7 +127,7 @@ class PieceModel:
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], ids[shared + 1 :]
+            del last[shared + 1 :], origin[shared + 1 :]
             if not bpe:
                 del scores[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
@@ -148,16 +152,17 @@ class PieceModel:
                             found, at = piece, begin
                             break
                 if found is None:
-                    last.append(word[end - 1])
-                    ids.append(ids[end - 1] + self._unknown_ids(word[end - 1]))
-                    if not bpe:
-                        scores.append(scores[end - 1] + self.missing)
-                else:
-                    last.append(found)
-                    ids.append(ids[at] + packed[found])
-                    if not bpe:
-                        scores.append(found_score)
-            out.append(ids[len(word)])
+                    found, at, found_score = word[end - 1], end - 1, scores[-1] + self.missing
+                last.append(found)
+                origin.append(at)
+                if not bpe:
+                    scores.append(found_score)
+            ids, at = [], len(word)
+            while at:
+                piece = last[at]
+                ids.append(packed[piece] if piece in packed else self._unknown_ids(piece))
+                at = origin[at]
+            out.append(b"".join(reversed(ids)))
             before = word
         return out
 
