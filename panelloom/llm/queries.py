@@ -21,7 +21,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.read_shards(token_store.write_shards(read(spark, sf_dir, "documents")))
+    return token_store.read_shards(token_store.write_shards(read(spark, sf_dir, "documents"), added_tokens=True))
 
 
 def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

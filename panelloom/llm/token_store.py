@@ -15,7 +15,8 @@ A task writes its shard under a name of its own and hands its name on only when
 attempts that were lost are named nowhere and never read.
 
 Defined cases: a null or empty text has the end id alone; rows with a null id come first; rows with equal
-ids stand side by side, by length and bytes; an empty table gives no shard; columns other than id and text are not read.
+ids stand side by side, by length, hash and bytes of the frame (in one shard or in neighbouring ones); ids
+must be numbers or text of numbers: others end the job with Spark's cast error; an empty table gives no shard; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import hashlib
 import json
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ from .common import ids_of_words, materialize, portions, scratch_dir
 MAGIC = b"PLTOKEN1"
 #: Documents whose ids train the dictionary, bytes of it, words that a Python worker remembers.
 SAMPLE_DOCUMENTS, DICTIONARY_BYTES, CACHE_WORDS = 1_000, 65_536, 900_000
+#: Bytes of a shard's frames, below which there are two shards for each core; a frame's cost in the index.
+SHARD_BYTES, LEAST_BYTES, FRAME_COST = 64_000_000, 1_000_000, 21
 #: White space, or near it, that only some libraries split at.
 _ODD_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r\x0b\x0c"] + ["\u180e", "\u200b", "\u2060", "\ufeff"]
 _ODD_ASCII = [c for c in _ODD_SPACES if c.isascii()]
@@ -56,14 +60,17 @@ class WordTokenizer:
     joins what white space parts, so a text's ids are its words' ids in a row. Words of Latin letters
     alone, which normalizing only makes lower case and which are one pre-token, go to the library's
     model directly. Other tokenizers, and texts with white space that Python and the library may see
-    differently, are encoded in one go.
+    differently, are encoded in one go. With ``added_tokens`` a text that holds the content of an added
+    token, such as a mark for the end of a text, gets that token's id there, as the library does unless
+    told otherwise; without it the content is plain text.
     """
 
-    def __init__(self, path: str, width: int | None = None):
+    def __init__(self, path: str, added_tokens: bool = False, width: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path) if added_tokens else self.tokenizer
         with open(path, encoding="utf-8") as f:
             raw = json.load(f)
         parts = (raw.get("pre_tokenizer") or {}).get("pretokenizers", [])
@@ -71,6 +78,9 @@ class WordTokenizer:
         self.by_word = bool(split) and split[0]["behavior"] == "Removed" and split[0]["invert"] and r"\s" in split[0]["pattern"].get("Regex", "") and '"\\\\s+"' in json.dumps(raw.get("normalizer"))
         steps = [n["type"] for n in (raw.get("normalizer") or {}).get("normalizers", [])]
         self.plain = self.by_word and steps == ["NFC", "Replace", "Lowercase"] and r"[\p{L}]+" in split[0]["pattern"]["Regex"] and [p["type"] for p in parts] == ["Split", "ByteLevel"] and not parts[1]["add_prefix_space"]
+        added = raw.get("added_tokens") or [] if added_tokens else []
+        self.added = [t["content"] for t in added]
+        self.by_word = self.by_word and not any(t.get("normalized") for t in added)
         self.width = width or (2 if self.tokenizer.get_vocab_size() <= 65_536 else 4)
         self.packed = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.cache: dict[str, bytes] = {}
@@ -95,11 +105,11 @@ class WordTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``width`` bytes."""
-        whole = {i for i, t in enumerate(texts) if t and (not self.by_word or any(c in t for c in (_ODD_ASCII if t.isascii() else _ODD_SPACES)))}
+        whole = {i for i, t in enumerate(texts) if t and (not self.by_word or any(c in t for c in (_ODD_ASCII if t.isascii() else _ODD_SPACES)) or any(c in t for c in self.added))}
         words = [self._split(t) if t and i not in whole else [] for i, t in enumerate(texts)]
         out = ids_of_words(words, self.cache, self._learn, CACHE_WORDS)
         for i in whole:
-            out[i] = self._pack(self.tokenizer.encode(texts[i], add_special_tokens=False).ids)
+            out[i] = self._pack(self.whole.encode(texts[i], add_special_tokens=False).ids)
         return out
 
     def _split(self, text: str) -> list[str]:
@@ -144,13 +154,13 @@ class WordTokenizer:
             self.cache[w] = self.cache[stem] + self.cache[end]
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
+_tokenizers: dict[tuple[str, bool], WordTokenizer] = {}
 
 
-def tokenizer_of(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+def tokenizer_of(path: str, added_tokens: bool = False) -> WordTokenizer:
+    if (path, added_tokens) not in _tokenizers:
+        _tokenizers[path, added_tokens] = WordTokenizer(path, added_tokens)
+    return _tokenizers[path, added_tokens]
 
 
 def train_dictionary(arrays: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -212,7 +222,7 @@ def _write_shard(uri: str, dictionary: bytes, id_bytes: int, rows) -> tuple[int,
     fs, path = pafs.FileSystem.from_uri(uri)
     fs.create_dir(path.rpartition("/")[0], recursive=True)
     header = json.dumps({"dictionary_sha256": dictionary_hash(dictionary), "dictionary_bytes": len(dictionary), "id_bytes": id_bytes}).encode()
-    ids, nulls, counts, offsets = [], [], [], []
+    ids, nulls, counts, offsets = array("q"), bytearray(), array("L"), array("Q")
     with fs.open_output_stream(path) as out:
         at = out.write(MAGIC + len(header).to_bytes(4, "little") + header + dictionary)
         at = 12 + len(header) + len(dictionary)
@@ -224,22 +234,23 @@ def _write_shard(uri: str, dictionary: bytes, id_bytes: int, rows) -> tuple[int,
             out.write(frame)
             at += len(frame)
         offsets.append(at)
-        out.write(np.array(ids, "<i8").tobytes() + np.array(nulls, np.uint8).tobytes() + np.array(offsets, "<u8").tobytes() + np.array(counts, "<u4").tobytes() + len(ids).to_bytes(8, "little") + MAGIC)
+        out.write(np.array(ids, "<i8").tobytes() + bytes(nulls) + np.array(offsets, "<u8").tobytes() + np.array(counts, "<u4").tobytes() + len(ids).to_bytes(8, "little") + MAGIC)
     return len(ids), sum(counts)
 
 
-def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", end_id: int = 1, shards: int | None = None, level: int = 2) -> DataFrame:
+def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", end_id: int = 1, shards: int | None = None, level: int = 2, added_tokens: bool = False) -> DataFrame:
     """Encode, append ``end_id`` and write shards; one row per shard: shard, uri, n_docs, n_tokens, start.
 
     ``start`` counts the ids of all shards before. The rows are as many as shards, so the driver adds
-    them up. Texts are not shuffled: only the compressed frames are dealt out, by ranges of the id.
+    them up. Texts are not shuffled: only the compressed frames are dealt out, by ranges of the id and,
+    among rows of one id, of the frame. Unless ``shards`` says otherwise, a shard holds some ``SHARD_BYTES``.
     """
     spark = docs.sparkSession
     path = path or default_tokenizer()
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     share = min(1.0, 1.5 * SAMPLE_DOCUMENTS / max(1, docs.count()))
     bounded = narrow.sample(share, 7).where(F.length("text") <= 100_000).limit(2 * SAMPLE_DOCUMENTS)
-    tokenizer = tokenizer_of(path)
+    tokenizer = tokenizer_of(path, added_tokens)
     id_bytes, end = tokenizer.width, tokenizer._pack([end_id])
     arrays = tokenizer.encode([r["text"] for r in bounded.collect()])
     dictionary = train_dictionary([a for a in arrays if a])
@@ -248,18 +259,15 @@ def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", t
 
     def compress(batches):
         codec = _codec(shared.value, zstandard.ZstdCompressor, level=level)
-        own = tokenizer_of(path)
+        own = tokenizer_of(path, added_tokens)
         for batch in portions(batches, "text", 4_000_000):
             found = own.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) // id_bytes + 1 for f in found], pa.int64()), pa.array([codec.compress(f + end) for f in found], pa.binary())], names=["id", "n_tokens", "frame"])
 
     frames = materialize(narrow.mapInArrow(compress, "id long, n_tokens long, frame binary"), "token-frames")
-    n_shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = frames.select(F.percentile_approx("id", [(i + 1) / n_shards for i in range(n_shards - 1)], 20_000)).first()[0] if n_shards > 1 else []
-    place = F.lit(0)
-    if bounds:  # how many bounds lie under the id: equal ids share a shard, ids in order have shards in order
-        cuts = F.lit(np.array(sorted(set(bounds)), np.int64))
-        place = F.coalesce(F.size(F.filter(cuts, lambda c: c < F.col("id"))), F.lit(0))
+    if shards is None:
+        total = frames.agg(F.sum(F.length("frame") + F.lit(FRAME_COST))).first()[0] or 0
+        shards = max(1, -(-total // SHARD_BYTES), min(2 * spark.sparkContext.defaultParallelism, total // LEAST_BYTES))
     target = scratch_dir(spark, "token-shards")
 
     def write(batches):
@@ -280,8 +288,10 @@ def write_shards(docs: DataFrame, path: str | None = None, id: str = "doc_id", t
         n_docs, n_tokens = _write_shard(uri, shared.value, id_bytes, rows())
         yield pa.RecordBatch.from_pydict({"shard": [shard], "uri": [uri], "n_docs": [n_docs], "n_tokens": [n_tokens]}, schema=pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    dealt = frames.select(place.cast("int").alias("shard"), "id", "n_tokens", "frame").repartitionById(n_shards, F.col("shard"))
-    written = dealt.sortWithinPartitions(F.col("id").asc_nulls_first(), "n_tokens", "frame").mapInArrow(write, "shard int, uri string, n_docs long, n_tokens long")
+    # rows of one id may be many (all without one, say), so that length and hash part them further
+    order = [F.col("id").asc_nulls_first(), F.col("n_tokens"), F.xxhash64("frame")]
+    dealt = frames.repartitionByRange(int(shards), *order).sortWithinPartitions(*order, "frame")
+    written = dealt.select(F.spark_partition_id().alias("shard"), "id", "n_tokens", "frame").mapInArrow(write, "shard int, uri string, n_docs long, n_tokens long")
     manifest = sorted(written.collect(), key=lambda r: r["shard"])  # a row for each shard
     start, rows = 0, []
     for r in manifest:
