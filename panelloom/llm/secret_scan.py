@@ -27,8 +27,8 @@ from .common import portions
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
-ENDPOINT = re.compile(r"(?:https?|s3|ftp|postgres|mysql|mongodb|redis)://[^\s\"'<>]+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com\b")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+ENDPOINT = re.compile(r"(?:https?|s3|ftp|postgres|mysql|mongodb|redis)://[^\s\"'<>]+")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")
 IDENTIFIER = re.compile(r"\b(?:client_?id|access_?key_?id|account|username|user|login)\b[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.@=-]{3,})", re.IGNORECASE | re.ASCII)
 SCOPE = re.compile(r"\n[\x20\t\r]*\n")
 BASE_KINDS = ("assign", "access", "hex")
@@ -36,6 +36,8 @@ BASE_KINDS = ("assign", "access", "hex")
 SORTS = {"assign": "secret", "hex": "secret", "weak_secret": "secret", "access": "identifier", "weak_id": "identifier", "endpoint": "endpoint"}
 KINDS = (*BASE_KINDS, "weak_secret", "weak_id", "endpoint")
 _HINTS = ("://", "amazonaws")
+_BUCKET = re.compile(r"\.amazonaws\.com\b")
+_LABEL = frozenset("abcdefghijklmnopqrstuvwxyz0123456789-")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -51,6 +53,24 @@ def entropy(token: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(token).values())
 
 
+def bucket_hosts(text: str) -> list[tuple[int, int]]:
+    """Places of host names below amazonaws.com, each read back from its end, so that long runs take linear time."""
+    found = []
+    for m in _BUCKET.finditer(text):
+        end = m.start()
+        begin = end
+        while begin and (text[begin - 1] in _LABEL or text[begin - 1] == "." and begin < end and text[begin] != "."):
+            begin -= 1
+            if found and begin < found[-1][1]:
+                begin = found[-1][1]
+                break
+        while begin < end and (text[begin] == "." or begin and (text[begin - 1].isalnum() or text[begin - 1] == "_")):
+            begin += 1
+        if begin < end:
+            found.append((begin, m.end()))
+    return found
+
+
 def weak_parts(text: str, min_entropy: float) -> list[tuple[int, int, str]]:
     parts = []
     for m in CANDIDATE.finditer(text):
@@ -59,34 +79,59 @@ def weak_parts(text: str, min_entropy: float) -> list[tuple[int, int, str]]:
             parts.append((m.start(), m.end(), "weak_secret"))
     parts += [(m.start(), m.end(), "weak_id") for m in IDENTIFIER.finditer(text)]
     if any(hint in text for hint in _HINTS):
-        parts += [(m.start(), m.end(), "endpoint") for m in ENDPOINT.finditer(text)]
+        urls = [m.span() for m in ENDPOINT.finditer(text)]
+        parts += [(a, b, "endpoint") for a, b in urls]
+        if urls:
+            begins = [a for a, _ in urls]
+            inside = lambda at: (k := bisect.bisect_right(begins, at)) > 0 and urls[k - 1][1] > at
+            parts += [(a, b, "endpoint") for a, b in bucket_hosts(text) if not inside(a)]
+        else:
+            parts += [(a, b, "endpoint") for a, b in bucket_hosts(text)]
     return parts
 
 
+def merged(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that ascending spans cover."""
+    starts, ends = [], []
+    for start, end, _ in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def link(text: str, strong: list[tuple[int, int, str]], weak: list[tuple[int, int, str]], reach: int) -> list[tuple[int, int, str]]:
     """Weak parts that no strong span overlaps and that are near a complement in the same scope.
 
     An endpoint and an identifier are public, so a pair needs a secret on one side; an identifier or
-    endpoint is reported when a secret is near, a secret when an identifier or endpoint is.
+    endpoint is reported when a secret is near, a secret when an identifier or endpoint is. All parts
+    link, those under a strong span too (an endpoint whose path holds a key, say): only they are not
+    reported again. Sorting aside, time is linear in the text and its parts.
     """
-    weak = [w for w in weak if not any(s[0] < w[1] and w[0] < s[1] for s in strong)]
     if not weak:
         return []
+    starts, ends = merged(sorted(strong))
     bounds = [m.start() for m in SCOPE.finditer(text)]
     scope = lambda at: bisect.bisect_right(bounds, at)
     # of each scope the starts of its parts, and the furthest end of the parts up to each
     secrets, others = {}, {}
     for start, end, kind in sorted(strong + weak):
-        starts, ends = (secrets if SORTS[kind] == "secret" else others).setdefault(scope(start), ([], []))
-        starts.append(start)
-        ends.append(max(end, ends[-1]) if ends else end)
+        place = (secrets if SORTS[kind] == "secret" else others).setdefault(scope(start), ([], []))
+        place[0].append(start)
+        place[1].append(max(end, place[1][-1]) if place[1] else end)
 
     def near(start: int, end: int, among: dict[int, tuple[list[int], list[int]]]) -> bool:
-        starts, ends = among.get(scope(start), ((), ()))
-        at = bisect.bisect_right(starts, end + reach)
-        return at > 0 and ends[at - 1] >= start - reach
+        begins, furthest = among.get(scope(start), ((), ()))
+        at = bisect.bisect_right(begins, end + reach)
+        return at > 0 and furthest[at - 1] >= start - reach
+
+    def free(start: int, end: int) -> bool:
+        at = bisect.bisect_left(starts, end)
+        return at == 0 or ends[at - 1] <= start
 
-    return [(a, b, kind) for a, b, kind in weak if near(a, b, others if SORTS[kind] == "secret" else secrets)]
+    return [(a, b, kind) for a, b, kind in weak if free(a, b) and near(a, b, others if SORTS[kind] == "secret" else secrets)]
 
 
 def scan_text(text: str | None, reach: int = 300, min_entropy: float = 3.5) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
