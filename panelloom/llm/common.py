@@ -41,15 +41,16 @@ def files_for(spark: SparkSession, rows: int, per_file: int = 100_000) -> int:
     return max(2 * spark.sparkContext.defaultParallelism, -(-rows // per_file))
 
 
-def materialize(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, files: int | None = None, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends there.
 
-    With ``files``, the write has no more tasks than that, each with several shuffle partitions.
+    With ``files``, the write has no more tasks than that, each with several shuffle partitions. With
+    ``group_bytes``, row groups have that size, so that readers can split a file that holds much.
     """
     path = scratch_dir(df.sparkSession, name)
     if files is not None:
         df = df.coalesce(files)
-    df.write.parquet(path)
+    (df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -57,6 +58,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with marks behind it where ``df`` has a column of that name (in whatever case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def portions(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes, and at most ``rows`` rows, in each piece."""
     for batch in batches:

@@ -1,22 +1,26 @@
 """Benchmark decontamination with SimHash windows, by DataFrame functions only.
 
-1. Texts become words (letters and digits, lower case) and their shingles of five words, as hashes.
-2. A bit map of fixed size tells which shingles may be in the benchmark. Windows without a shingle of
-   the benchmark have no similarity with any item, so only where a shingle is known are windows laid:
-   as long as the item, and placed so that the shingle stands where the item has it.
-3. Each distinct window and each item gets a SimHash of 64 bits over its weighted shingles.
-4. Fingerprints are cut into eight blocks. Two fingerprints within a Hamming distance of ``8 e + 7`` have a
-   block in which they differ in ``e`` bits at most, so the items are listed under every value of each
-   block that is at most ``e`` bits away, and an equi-join of blocks finds all pairs within the radius.
-   Fingerprints may lie further apart where shingles weigh little, so windows also meet the items of whose
-   heaviest shingles they hold one: a window with none of them cannot reach ``similarity``. No pair is lost.
-5. A candidate counts when the window holds ``similarity`` of the item's weighted shingles. A shingle weighs
-   the more, the fewer items have it.
+1. Texts become words (letters and digits, lower case) and their shingles of five words, as hashes. A
+   shingle weighs the more, the fewer items have it. The *telling* shingles of an item are its heaviest:
+   a window with none of them cannot hold ``similarity`` of the item's weight.
+2. A bit map over the telling shingles finds the documents in question without a shuffle of texts; shingles
+   that many items share (licenses, templates) tell nothing and let no document through.
+3. Windows as long as the item are laid over these documents, wherever one of the item's shingles stands,
+   so that it stands where the item has it.
+4. Each distinct window and each item gets a SimHash of 64 bits over its weighted shingles.
+5. Fingerprints are cut into four blocks of 16 bits. Two fingerprints within a Hamming distance of
+   ``4 e + 3`` have a block in which they differ in ``e`` bits at most, so the items are listed under every
+   value of each block that is at most ``e`` bits away, and an equi-join of blocks finds all pairs within the
+   radius; of unrelated pairs, 4 % meet in a block. Fingerprints may lie further apart where a window
+   has lost some of the item, so windows also meet the items of whose telling shingles they hold one. No
+   pair is lost.
+6. A candidate counts when the window holds ``similarity`` of the item's weighted shingles.
 
 Defined cases: null and empty texts and items match nothing, as do items of fewer than five words; a
 document shorter than an item is one window; equal items (in words) are one item until the end and are
 reported under each of their ids, a null id among them; of several texts under one id the most similar one
-is told; repeated documents are reported once for each id; other columns are not read.
+is told; repeated documents are reported once for each id; other columns are not read. ``remove_leaks``
+goes by rows: of several texts under one id, or under none, only those that hold an item go.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, unused
 
-SHINGLE, SIMILARITY, RADIUS, BLOCKS, BLOCK_BITS = 5, 0.8, 22, 8, 8
-#: Size of the bit map, whatever the size of the benchmark: 2 ** MAP_BITS bits.
-MAP_BITS = 20
+SHINGLE, SIMILARITY, RADIUS, BLOCKS, BLOCK_BITS = 5, 0.8, 15, 4, 16
+#: The bit map has 2 ** bits bits, at least MAP_ROOM for each shingle and within these limits.
+LEAST_BITS, MOST_BITS, MAP_ROOM = 20, 25, 128
 
 
 def words_of(text: Column) -> Column:
@@ -59,28 +63,35 @@ def shingles(hashes: Column) -> Column:
     return F.when(last >= 0, each).otherwise(F.array().cast("array<bigint>"))
 
 
-def _positions(h: Column) -> tuple[Column, Column]:
-    mask = F.lit((1 << MAP_BITS) - 1)
-    return h.bitwiseAND(mask).cast("int"), F.shiftrightunsigned(h, MAP_BITS).bitwiseAND(mask).cast("int")
+def _positions(h: Column, bits: int) -> list[Column]:
+    mask = F.lit((1 << bits) - 1)
+    return [F.shiftrightunsigned(h, shift).bitwiseAND(mask).cast("int") for shift in (0, 19, 38)]
 
 
-def shingle_map(items: DataFrame) -> np.ndarray:
-    """The bit map over all shingles of ``items`` (h): two bits are set for each."""
-    at = items.select(F.explode(F.array(*_positions(F.col("h")))).alias("at"))
-    cells = at.groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)))).alias("bits"))
-    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    for row in cells.collect():  # at most 2 ** (MAP_BITS - 6) rows
-        out[row["cell"]] = row["bits"]
-    return out
+class ShingleMap:
+    """A bit map over shingles (h), with three bits for each.
 
+    Of ``MAP_ROOM`` bits a shingle, one foreign shingle in 70,000 seems known. The map is a literal of
+    the plan, 4 MB at most; a benchmark that outgrows it lets more documents pass on to the exact steps.
+    """
 
-def _places(cut: Column) -> Column:
-    return F.when(F.size(cut) > 0, F.sequence(F.lit(0), F.size(cut) - 1)).otherwise(F.array().cast("array<int>"))
+    def __init__(self, shingles: DataFrame):
+        known = shingles.select("h").distinct()
+        self.bits = min(MOST_BITS, max(LEAST_BITS, (MAP_ROOM * known.count()).bit_length()))
+        at = known.select(F.explode(F.array(*_positions(F.col("h"), self.bits))).alias("at"))
+        cells = at.groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)))).alias("bits"))
+        words = np.zeros(1 << (self.bits - 6), np.int64)
+        for row in cells.toLocalIterator():  # at most 2 ** (MOST_BITS - 6) rows, however large the benchmark
+            words[row["cell"]] = row["bits"]
+        self.words = F.lit(words)
 
+    def may_hold(self, h: Column) -> Column:
+        tests = [F.getbit(F.get(self.words, F.shiftright(p, 6)), p.bitwiseAND(F.lit(63))) == 1 for p in _positions(h, self.bits)]
+        return tests[0] & tests[1] & tests[2]
 
-def _may_be_known(h: Column, bits: Column) -> Column:
-    tests = [F.getbit(F.get(bits, F.shiftright(p, 6)), p.bitwiseAND(F.lit(63))) == 1 for p in _positions(h)]
-    return tests[0] & tests[1]
+
+def _places(cut: Column) -> Column:
+    return F.when(F.size(cut) > 0, F.sequence(F.lit(0), F.size(cut) - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def fingerprints(features: DataFrame, key: str) -> DataFrame:
@@ -98,13 +109,13 @@ def fingerprints(features: DataFrame, key: str) -> DataFrame:
 
 
 def _blocks(fp: str) -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.shiftrightunsigned(fp, b * BLOCK_BITS).bitwiseAND(F.lit(255)).cast("int").alias("value")) for b in range(BLOCKS)]))
+    return F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.shiftrightunsigned(fp, b * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int").alias("value")) for b in range(BLOCKS)]))
 
 
 def hamming_pairs(windows: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(key, item, distance) of all fingerprints of (key, fp) and (item, fp) within ``radius``."""
     wrong = radius // BLOCKS
-    masks = F.array(*[F.lit(m) for m in range(1 << BLOCK_BITS) if m.bit_count() <= wrong])
+    masks = F.lit(np.array([m for m in range(1 << BLOCK_BITS) if m.bit_count() <= wrong], np.int32))
     left = windows.select("key", "fp", _blocks("fp").alias("at")).select("key", "fp", "at.block", "at.value")
     right = items.select("item", F.col("fp").alias("item_fp"), _blocks("fp").alias("at")).select("item", "item_fp", "at.block", F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("at.value")))).alias("value"))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
@@ -121,12 +132,8 @@ def telling(features: DataFrame, similarity: float) -> DataFrame:
     return features.select("item", "h", before.alias("before"), total.alias("total")).where(F.col("before") <= (1 - similarity + 1e-9) * F.col("total")).select("item", "h")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """One row for each document and item that it holds: id, item, similarity, start and n_words of the window.
-
-    ``start`` counts words. Of several windows the one with the highest similarity, then the first, is told.
-    """
-    kind = docs.schema[id].dataType.simpleString()
+def matches(docs: DataFrame, benchmark: DataFrame, id: str, text: str, item: str, item_text: str, similarity: float, radius: int) -> DataFrame:
+    """(doc, digest, item, similarity, start, length, distance) of each window over a text with this digest that holds an item."""
     read = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).alias("id"), word_hashes(F.col(item_text).cast("string")).alias("words"))
     read = materialize(read.withColumn("item", F.md5(F.array_join("words", ","))), "leak-words")
     names = read.select("item", "id").distinct()
@@ -134,19 +141,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     items = materialize(items.select("item", F.size("words").alias("n"), F.posexplode(shingles(F.col("words"))).alias("q", "h")), "leak-items")
     n_items = items.select(F.count_distinct("item")).first()[0]
     weights = items.groupBy("h").agg(F.log1p(F.lit(float(n_items)) / F.count_distinct("item")).alias("weight"))
-    item_features = items.groupBy("item", "h").agg(F.count(F.lit(1)).alias("tf")).join(weights, "h")
+    item_features = materialize(items.groupBy("item", "h").agg(F.count(F.lit(1)).alias("tf")).join(weights, "h"), "leak-weights")
+    tell = materialize(telling(item_features, similarity), "leak-telling")
 
-    bits = F.lit(shingle_map(items.select("h").distinct()))
-    found = let(shingles, word_hashes(F.col(text).cast("string")), lambda cut: F.struct(cut.alias("cut"), F.filter(_places(cut), lambda i: _may_be_known(F.get(cut, i), bits)).alias("hits")))
+    told, known = ShingleMap(tell), ShingleMap(items)
+    found = let(shingles, word_hashes(F.col(text).cast("string")), lambda cut: F.when(F.exists(cut, told.may_hold), cut))
     # the row number is not deterministic, so the filter stays above and ``found`` is computed once
-    known = docs.where(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("doc"), found.alias("found")).where(F.size("found.hits") > 0)
-    known = materialize(known.select("row", "doc", "found.cut", "found.hits"), "leak-documents")
+    cuts = docs.where(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("doc"), F.md5(F.col(text).cast("string")).alias("digest"), found.alias("cut")).where(F.col("cut").isNotNull())
+    cuts = materialize(cuts, "leak-documents")
+    in_item = F.filter(_places(F.col("cut")), lambda i: known.may_hold(F.get("cut", i)))
+    hits = materialize(cuts.select("row", F.size("cut").alias("n_cut"), F.explode(F.transform(in_item, lambda i: F.struct(i.alias("p"), F.get("cut", i).alias("h")))).alias("at")).select("row", "n_cut", "at.p", "at.h"), "leak-hits")
 
-    touched = known.select("row", F.size("cut").alias("n_cut"), F.explode("hits").alias("p"), F.col("cut")).select("row", "n_cut", "p", F.get("cut", "p").alias("h"))
+    # only items of which a document holds a telling shingle, then all their shingles there: what many items share pairs nobody
+    pairs = hits.select("row", "h").distinct().join(tell, "h").select("row", "item").distinct()
     length = F.least(F.col("n") - SHINGLE + 1, F.col("n_cut"))
     begin = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("n_cut") - length))
-    places = touched.join(items.select("h", "q", "n"), "h").select("row", begin.alias("start"), length.alias("length")).distinct()
-    laid = places.join(known.select("row", "doc", "cut"), "row").select("doc", "start", "length", F.slice("cut", F.col("start") + 1, F.col("length")).alias("window"))
+    places = pairs.join(items, "item").join(hits, ["row", "h"]).select("row", begin.alias("start"), length.alias("length")).distinct()
+    laid = places.join(cuts, "row").select("doc", "digest", "start", "length", F.slice("cut", F.col("start") + 1, F.col("length")).alias("window"))
     laid = materialize(laid.withColumn("key", F.md5(F.array_join("window", ","))), "leak-windows")
 
     window_features = laid.groupBy("key").agg(F.any_value("window").alias("window")).select("key", F.explode("window").alias("h")).groupBy("key", "h").agg(F.count(F.lit(1)).alias("tf"))
@@ -156,7 +167,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     window_fp = materialize(fingerprints(weigh(window_features, "key"), "key"), "leak-fingerprints")
     item_fp = fingerprints(weigh(item_features, "item"), "item")
     near = hamming_pairs(window_fp, item_fp, radius).select("key", "item")
-    held = window_features.select("key", "h").join(telling(item_features, similarity), "h").select("key", "item")
+    held = window_features.select("key", "h").join(tell, "h").select("key", "item")
     candidates = near.union(held).distinct()
 
     both = candidates.join(item_features, "item").join(window_features.select("key", "h", F.col("tf").alias("own")), ["key", "h"], "left")
@@ -164,12 +175,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     exact = both.groupBy("key", "item").agg(shared.alias("similarity")).where(F.col("similarity") >= similarity)
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("distance")
     exact = exact.join(window_fp, "key").join(item_fp.withColumnRenamed("fp", "item_fp"), "item").select("key", "item", "similarity", apart)
-    found = laid.select("doc", "start", "length", "key").join(exact, "key").join(names, "item")
-    best = found.groupBy("doc", "id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), (-F.col("length")).alias("shorter"), "distance")).alias("best"))
-    return best.select(F.col("doc").cast(kind).alias(id), F.col("id").alias(item), F.round("best.similarity", 6).alias("similarity"), (-F.col("best.before")).cast("long").alias("start"), (SHINGLE - 1 - F.col("best.shorter")).cast("long").alias("n_words"), F.col("best.distance").cast("int").alias("distance"))
+    return laid.select("doc", "digest", "start", "length", "key").join(exact, "key").join(names, "item").select("doc", "digest", F.col("id").alias("item"), "similarity", "start", "length", "distance")
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """One row for each document and item that it holds: id, item, similarity, start and n_words of the window.
+
+    ``start`` counts words. Of several windows the one with the highest similarity, then the first, is told.
+    """
+    found = matches(docs, benchmark, id, text, item, item_text, similarity, radius)
+    best = found.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), (-F.col("length")).alias("shorter"), "distance")).alias("best"))
+    return best.select(F.col("doc").alias(id), F.col("item").alias(item), F.round("best.similarity", 6).alias("similarity"), (-F.col("best.before")).cast("long").alias("start"), (SHINGLE - 1 - F.col("best.shorter")).cast("long").alias("n_words"), F.col("best.distance").cast("int").alias("distance"))
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item of ``benchmark``."""
-    leaks = find_leaks(docs, benchmark, id, text, **options).select(F.col(id).alias("__leak")).distinct()
-    return docs.join(leaks, docs[id].eqNullSafe(F.col("__leak")), "left_anti")
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` whose text holds no item of ``benchmark``."""
+    leaks = matches(docs, benchmark, id, text, item, item_text, similarity, radius).select("doc", "digest").distinct()
+    doc, digest = unused(docs, "doc"), unused(docs, "digest")
+    leaks = leaks.select(F.col("doc").alias(doc), F.col("digest").alias(digest))
+    return docs.join(leaks, (F.md5(docs[text].cast("string")) == F.col(digest)) & docs[id].eqNullSafe(F.col(doc)), "left_anti")
