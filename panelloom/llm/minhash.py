@@ -9,9 +9,10 @@ at. Two documents agree on a coordinate as often as their weighted Jaccard simil
 Signatures are cut into bands. In each bucket of equal bands one document takes the lead, the one that
 shares most buckets with others, and is checked exactly against the bucket's other documents. It then
 leaves; while the rest has two classes or more, the next one leads. So no link between different texts
-in a bucket is lost, and no bucket's pairs are listed whose rows are one class already. What is left
-after ``lead_rounds`` rounds is checked pair by pair, but for pairs of one class and pairs that a bound
-excludes which loses nothing: elements that no other candidate has are shared with none, and what two
+in a bucket is lost, and no bucket's pairs are listed. What is left after ``lead_rounds`` rounds, documents
+of hot buckets that are much like each other without being similar, is met at its rarest elements instead
+(a prefix join, which loses no pair either), wherever these are. Bounds drop pairs before the exact check
+that cannot be similar: elements that no other candidate has are shared with none, and what two
 documents share of the bucket's first lead is bounded by what each shares with it. With 32 bands of 5, a pair at similarity
 0.8 shares no bucket with a probability below 4e-6. The classes are the connected components.
 
@@ -19,7 +20,8 @@ Equal texts are one document until the end; they are joined by their hash and ne
 
 Defined cases: a text of fewer than five words is one shingle; a text without a word (null, empty, white
 space) is a class of its own, though exact copies of a non-empty text are one class; repeated rows give
-repeated rows in the result; a null id is a row of its own class; an empty table gives an empty result.
+repeated rows in the result; a null id is a row of its own class; ids are numbers, or texts of numbers (others
+end the job with Spark's cast error); columns of any name may stand beside; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,12 +35,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import files_for, materialize, portions
+from .common import files_for, materialize, portions, unused
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 5
 K = BANDS * ROWS
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 CACHE_WORDS = 200_000
+#: Row groups of the tables of elements: few long texts may hold most elements, and readers split at these.
+ELEMENT_GROUP = 4_000_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -247,6 +251,25 @@ def may_reach(similarity: float, one: str, two: str) -> Column:
     return most >= similarity * (at(one, "size") + at(two, "size") - most) - 1e-9
 
 
+def prefix_pairs(rows: DataFrame, own: DataFrame, similarity: float, files: int | None = None) -> DataFrame:
+    """(a, b) of the rows (rep, size, label) of different labels that can be similar, by their rarest elements.
+
+    Two documents that share ``similarity`` of their elements share one of the rarest, whichever order all
+    elements stand in, when of each document so many are taken that the others are too few. So pairs are met
+    at rare elements and not within buckets. None is lost.
+    """
+    held = own.join(rows.select(F.col("rep").alias("id"), "size", "label").distinct(), "id").select("id", "size", "label", F.explode("elements").alias("e"))
+    held = materialize(held, "minhash-held", files, ELEMENT_GROUP)
+    rarity = held.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    ranked = held.join(rarity, "e").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("n", "e")))
+    first = ranked.where((F.col("place") <= F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1) & (F.col("n") > 1)).select("id", "size", "label", "e")
+    first = materialize(first, "minhash-prefixes", files)
+    one, two = first.alias("one"), first.alias("two")
+    fits = F.least("one.size", "two.size") >= similarity * F.greatest("one.size", "two.size") - 1e-9
+    met = one.join(two, (F.col("one.e") == F.col("two.e")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.label") != F.col("two.label")) & fits)
+    return met.select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
+
+
 def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_rounds: int) -> DataFrame:
     """(id, key, label, class_id) of each row of ``docs``: hash of the text, what its class alone has (NULL: no class), the class's smallest id."""
     spark = docs.sparkSession
@@ -272,7 +295,7 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
         texts = narrow.withColumn("key", F.md5("text")).join(named, ["id", "key"]).select(F.col("rep").alias("id"), "text")
     else:
         texts = narrow.join(nodes, "id", "left_semi")
-    own = materialize(elements_of(texts), "minhash-elements", files_for(spark, total, 8_000))
+    own = materialize(elements_of(texts), "minhash-elements", files_for(spark, total, 8_000), ELEMENT_GROUP)
     labels, edges, turn = nodes.select("id", F.col("id").alias("label")), None, 0
     stats = materialize(extents(own).withColumnRenamed("id", "rep"), "minhash-extents", files)
     rows = met.join(scores.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9), "rep").select("bucket", "rep", "score", "size", "common", F.col("rep").alias("label"), F.lit(None).cast("long").alias("pivot"))
@@ -289,10 +312,8 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
             pairs = to_lead.select("a", "b")
         elif turn <= lead_rounds:
             pairs = to_lead.alias("row").where((F.col("label") != F.col("lead.label")) & may_reach(similarity, "row", "row.lead")).select("a", "b")
-        else:  # what no lead resolves: the pairs of different classes that may be similar, each once
-            one, two = rows.drop("lead").alias("one"), rows.drop("lead").alias("two")
-            again = (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.rep") < F.col("two.rep")) & (F.col("one.label") != F.col("two.label"))
-            pairs = one.join(two, again & may_reach(similarity, "one", "two")).select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b"))
+        else:  # what no lead resolves: pairs of different classes that share a rare element
+            pairs = prefix_pairs(rows, own, similarity, files)
         seen = materialize(overlaps(pairs.distinct(), own), "minhash-overlaps", files)
         found = seen.where(F.col("shared") >= similarity * (F.col("total") - F.col("shared"))).select("a", "b")
         edges = found if edges is None else edges.unionByName(found)
@@ -326,10 +347,11 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity
     """
     rows = classified(docs, id, text, similarity, 3).where("id is not null")
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("id", "key")).alias("at")).select("at.id", "at.key")
-    kept = first.union(rows.where("label is null").select("id", "key").distinct()).select(F.col("id").alias("__id"), F.coalesce("key", F.lit("")).alias("__key"))
+    own_id, own_key, turn = (unused(docs, c) for c in ("id", "key", "turn"))
+    kept = first.union(rows.where("label is null").select("id", "key").distinct()).select(F.col("id").alias(own_id), F.coalesce("key", F.lit("")).alias(own_key))
     key = F.coalesce(F.md5(F.col(text).cast("string")), F.lit(""))
-    out = docs.join(kept, (docs[id].cast("long") == F.col("__id")) & (key == F.col("__key")), "left_semi")
+    out = docs.join(kept, (docs[id].cast("long") == F.col(own_id)) & (key == F.col(own_key)), "left_semi")
     if not rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         order = F.xxhash64(*[f"`{name}`" for name, kind in docs.dtypes if "map<" not in kind])
-        out = out.withColumn("__n", F.row_number().over(Window.partitionBy(F.col(id).cast("long"), key).orderBy(order))).where("__n = 1").drop("__n")
+        out = out.withColumn(turn, F.row_number().over(Window.partitionBy(F.col(id).cast("long"), key).orderBy(order))).where(F.col(turn) == 1).drop(turn)
     return out.unionByName(docs.where(F.col(id).cast("long").isNull()))
