@@ -36,9 +36,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/panelloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def files_for(spark: SparkSession, rows: int, per_file: int = 100_000) -> int:
-    """Files for a table of at most ``rows`` rows: two for each core, more as it grows."""
-    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // per_file))
+def files_for(spark: SparkSession, rows: int, per_file: int = 100_000, least: int | None = None) -> int:
+    """Files for a table of at most ``rows`` rows: ``least``, two for each core unless given, and more as it grows."""
+    return max(2 * spark.sparkContext.defaultParallelism if least is None else least, -(-rows // per_file))
 
 
 def materialize(df: DataFrame, name: str, files: int | None = None, group_bytes: int | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, unused
+from .common import files_for, materialize, unused
 
 SHINGLE, SIMILARITY, RADIUS, BLOCKS, BLOCK_BITS = 5, 0.8, 15, 4, 16
 #: The bit map has 2 ** bits bits, at least MAP_ROOM for each shingle and within these limits.
@@ -148,7 +148,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id: str, text: str, item: str
     found = let(shingles, word_hashes(F.col(text).cast("string")), lambda cut: F.when(F.exists(cut, told.may_hold), cut))
     # the row number is not deterministic, so the filter stays above and ``found`` is computed once
     cuts = docs.where(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("doc"), F.md5(F.col(text).cast("string")).alias("digest"), found.alias("cut")).where(F.col("cut").isNotNull())
-    cuts = materialize(cuts, "leak-documents")
+    cuts = materialize(cuts, "leak-documents", files_for(docs.sparkSession, docs.count(), 16_000))
     in_item = F.filter(_places(F.col("cut")), lambda i: known.may_hold(F.get("cut", i)))
     hits = materialize(cuts.select("row", F.size("cut").alias("n_cut"), F.explode(F.transform(in_item, lambda i: F.struct(i.alias("p"), F.get("cut", i).alias("h")))).alias("at")).select("row", "n_cut", "at.p", "at.h"), "leak-hits")
 

@@ -187,6 +187,7 @@ def bands_of(docs: DataFrame, id: str, text: str) -> DataFrame:
             lists = _lists(bands.ravel(), sizes)
             lists = pa.ListArray.from_buffers(lists.type, len(lists), [pa.array(has).buffers()[1], lists.buffers()[1]], children=[lists.values]) if not has.all() else lists
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "key", "bands"])
+        _words.clear()  # the worker may serve other operators next
 
     t = F.col(text).cast("string")
     return docs.select(F.col(id).cast("long").alias("id"), F.md5(t).alias("key"), t.alias("text")).mapInArrow(run, "id long, key string, bands array<long>")
@@ -202,6 +203,7 @@ def elements_of(docs: DataFrame) -> DataFrame:
             signed = element.astype(np.int64)
             order = np.lexsort((signed, owner))
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(signed[order], count)], names=["id", "elements"])
+        _words.clear()
 
     return docs.select("id", "text").mapInArrow(run, "id long, elements array<long>")
 
@@ -261,11 +263,14 @@ def prefix_pairs(rows: DataFrame, own: DataFrame, similarity: float, files: int
     held = own.join(rows.select(F.col("rep").alias("id"), "size", "label").distinct(), "id").select("id", "size", "label", F.explode("elements").alias("e"))
     held = materialize(held, "minhash-held", files, ELEMENT_GROUP)
     rarity = held.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
-    ranked = held.join(rarity, "e").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("n", "e")))
-    first = ranked.where((F.col("place") <= F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1) & (F.col("n") > 1)).select("id", "size", "label", "e")
-    first = materialize(first, "minhash-prefixes", files)
+    document = Window.partitionBy("id")
+    ranked = held.join(rarity.where("n > 1"), "e").withColumns({"common": F.count(F.lit(1)).over(document), "place": F.row_number().over(document.orderBy("n", "e"))})
+    # what no other row has comes first in each row's order, and is common to none
+    first = ranked.where(F.col("size") - F.col("common") + F.col("place") <= F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1)
+    first = materialize(first.select("id", "size", "common", "label", "e"), "minhash-prefixes", files)
     one, two = first.alias("one"), first.alias("two")
-    fits = F.least("one.size", "two.size") >= similarity * F.greatest("one.size", "two.size") - 1e-9
+    most = F.least("one.common", "two.common")
+    fits = most >= similarity * (F.col("one.size") + F.col("two.size") - most) - 1e-9
     met = one.join(two, (F.col("one.e") == F.col("two.e")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.label") != F.col("two.label")) & fits)
     return met.select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
 
@@ -275,11 +280,13 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
     spark = docs.sparkSession
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     total = docs.count()
-    files = files_for(spark, total)
-    signed = materialize(bands_of(narrow, "id", "text"), "minhash-bands", files_for(spark, total, 8_000))
+    cores = spark.sparkContext.defaultParallelism
+    # tables of texts and elements, of pairs to be checked, and small ones of labels and bounds
+    many, files, few = files_for(spark, total, 16_000), files_for(spark, total, 100_000, cores), files_for(spark, total, 100_000, 2)
+    signed = materialize(bands_of(narrow, "id", "text"), "minhash-bands", many)
     known = signed.where(F.col("id").isNotNull() & F.col("bands").isNotNull())
     # one document stands for equal texts; their bands are equal, too
-    copies = materialize(known.groupBy("key").agg(F.min("id").alias("first"), F.any_value("bands").alias("bands")), "minhash-reps", files_for(spark, total, 8_000))
+    copies = materialize(known.groupBy("key").agg(F.min("id").alias("first"), F.any_value("bands").alias("bands")), "minhash-reps", files)
     # an id with several texts is no name for any of them; elsewhere the id stands for the text
     again = copies.groupBy("first").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     reused = not again.isEmpty()
@@ -288,23 +295,23 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = materialize(buckets.join(shared, "bucket").select("bucket", "rep", "n"), "minhash-buckets", files)
     # the copy that the others were made from shares more and larger buckets than they do with each other
-    scores = materialize(met.groupBy("rep").agg(F.sum("n").alias("score")), "minhash-nodes", files)
+    scores = materialize(met.groupBy("rep").agg(F.sum("n").alias("score")), "minhash-nodes", few)
     nodes = scores.select(F.col("rep").alias("id"))
     if reused:
         named = copies.join(nodes.withColumnRenamed("id", "rep"), "rep").select(F.col("first").alias("id"), "key", "rep")
         texts = narrow.withColumn("key", F.md5("text")).join(named, ["id", "key"]).select(F.col("rep").alias("id"), "text")
     else:
         texts = narrow.join(nodes, "id", "left_semi")
-    own = materialize(elements_of(texts), "minhash-elements", files_for(spark, total, 8_000), ELEMENT_GROUP)
+    own = materialize(elements_of(texts), "minhash-elements", many, ELEMENT_GROUP)
     labels, edges, turn = nodes.select("id", F.col("id").alias("label")), None, 0
-    stats = materialize(extents(own).withColumnRenamed("id", "rep"), "minhash-extents", files)
+    stats = materialize(extents(own).withColumnRenamed("id", "rep"), "minhash-extents", few)
     rows = met.join(scores.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9), "rep").select("bucket", "rep", "score", "size", "common", F.col("rep").alias("label"), F.lit(None).cast("long").alias("pivot"))
     kept = ["bucket", "rep", "score", "size", "common", "pivot"]
     while True:
         turn += 1
         lead = F.max(F.struct("score", (-F.col("rep")).alias("rep"), "label", "size", "common", "pivot")).alias("lead")
         first = rows.groupBy("bucket").agg(lead, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        rows = materialize(rows.join(first.select("bucket", "lead"), "bucket"), "minhash-open", files)
+        rows = materialize(rows.join(first.select("bucket", "lead"), "bucket"), "minhash-open", few)
         if rows.isEmpty():
             break
         to_lead = rows.where(F.col("rep") != -F.col("lead.rep")).withColumns({"a": F.least("rep", -F.col("lead.rep")), "b": F.greatest("rep", -F.col("lead.rep"))})
@@ -318,7 +325,7 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
         found = seen.where(F.col("shared") >= similarity * (F.col("total") - F.col("shared"))).select("a", "b")
         edges = found if edges is None else edges.unionByName(found)
         if not found.isEmpty():
-            labels = components(labels, edges, "minhash", files)
+            labels = components(labels, edges, "minhash", few)
         if turn > lead_rounds:
             break
         if turn == 1:
@@ -332,7 +339,7 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
         of_rep = of_rep.withColumn("class_id", F.col("label"))
     has = F.col("bands").isNotNull() & F.col("id").isNotNull()
     classed = signed.select("id", "key", has.alias("has")).join(of_rep.select("key", "label", "class_id"), "key", "left")
-    return classed.select("id", "key", F.when(F.col("has"), F.col("label")).alias("label"), F.when(F.col("has"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")).coalesce(files)
+    return classed.select("id", "key", F.when(F.col("has"), F.col("label")).alias("label"), F.when(F.col("has"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")).coalesce(many)
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, lead_rounds: int = 3) -> DataFrame:
