@@ -13,8 +13,8 @@ from panelloom.llm.common import files_for, materialize, read
 
 
 def in_few_files(out: DataFrame, docs: DataFrame) -> DataFrame:
-    """``out`` in a file for some 8,000 documents of the stage's input, instead of one for each shuffle partition."""
-    return out.coalesce(files_for(docs.sparkSession, docs.count(), 8_000))
+    """``out`` in a file for some 16,000 documents of the stage's input, instead of one for each shuffle partition."""
+    return out.coalesce(files_for(docs.sparkSession, docs.count(), 16_000))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
