@@ -10,8 +10,8 @@ Signatures are cut into bands. In each bucket of equal bands one document takes
 shares most buckets with others, and is checked exactly against the bucket's other documents. It then
 leaves; while the rest has two classes or more, the next one leads. So no link between different texts
 in a bucket is lost, and no bucket's pairs are listed. What is left after ``lead_rounds`` rounds, documents
-of hot buckets that are much like each other without being similar, is met at its rarest elements instead
-(a prefix join, which loses no pair either), wherever these are. Bounds drop pairs before the exact check
+of hot buckets that are much like each other without being similar, is met at rare elements: those in which
+it differs from the bucket's first lead (a prefix join, which loses no pair either). Bounds drop pairs
 that cannot be similar: elements that no other candidate has are shared with none, and what two
 documents share of the bucket's first lead is bounded by what each shares with it. With 32 bands of 5, a pair at similarity
 0.8 shares no bucket with a probability below 4e-6. The classes are the connected components.
@@ -240,39 +240,61 @@ def extents(own: DataFrame) -> DataFrame:
 
 
 def may_reach(similarity: float, one: str, two: str) -> Column:
-    """Whether two rows of a bucket can be similar: a bound on what they share that loses no pair.
+    """Whether two rows that have met one pivot can be similar: a bound on what they share that loses no pair.
 
-    They share no more than either has in common with any document. Where both have been met with one
-    pivot, they share no more of the pivot than the one with less of it has, and no more besides than
-    either has in common with others outside of it.
+    They share no more than either has in common with any document, no more of the pivot than the one with
+    less of it has, and no more besides than either has in common with others outside of it.
     """
     at = lambda t, c: F.col(f"{t}.{c}")
     most = F.least(at(one, "common"), at(two, "common"))
     beside = F.least(at(one, "common") - at(one, "pivot"), at(two, "common") - at(two, "pivot"))
-    most = F.least(most, F.least(at(one, "pivot"), at(two, "pivot")) + beside)
+    most = F.least(most, F.least(at(one, "pivot"), at(two, "pivot")) + F.greatest(beside, F.lit(0)))
     return most >= similarity * (at(one, "size") + at(two, "size") - most) - 1e-9
 
 
-def prefix_pairs(rows: DataFrame, own: DataFrame, similarity: float, files: int | None = None) -> DataFrame:
-    """(a, b) of the rows (rep, size, label) of different labels that can be similar, by their rarest elements.
+def prefix_pairs(rows: DataFrame, own: DataFrame, labels: DataFrame, similarity: float, files: int | None = None) -> DataFrame:
+    """(a, b) of all rows with one pivot, but of different labels, that can be similar, met at rare elements. None is lost.
 
-    Two documents that share ``similarity`` of their elements share one of the rarest, whichever order all
-    elements stand in, when of each document so many are taken that the others are too few. So pairs are met
-    at rare elements and not within buckets. None is lost.
+    ``rows`` are (rep, size, common, label, pivot, pivot_id): the row shares ``pivot`` elements with the document
+    ``pivot_id``, and has that one's label where they are similar. Two sets that must share t elements share one
+    of the |set| - t + 1 that are rarest; so a pair is met there, and never because both are in a hot group.
+
+    Rows much like their pivot P are compared by what they differ in from it: what they lack of it and what
+    they have besides. Two rows share |a in P| + |b in P| - |P| elements plus the differences they share, so
+    those that are similar must share many; and at most one of the two is similar to P itself, which says how
+    many at least. By the triangle inequality of Jaccard distances the partner of a row that is unlike P
+    (under 0.5) is not very similar to it either; such pairs are compared by their own elements.
     """
-    held = own.join(rows.select(F.col("rep").alias("id"), "size", "label").distinct(), "id").select("id", "size", "label", F.explode("elements").alias("e"))
-    held = materialize(held, "minhash-held", files, ELEMENT_GROUP)
-    rarity = held.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
-    document = Window.partitionBy("id")
-    ranked = held.join(rarity.where("n > 1"), "e").withColumns({"common": F.count(F.lit(1)).over(document), "place": F.row_number().over(document.orderBy("n", "e"))})
-    # what no other row has comes first in each row's order, and is common to none
-    first = ranked.where(F.col("size") - F.col("common") + F.col("place") <= F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1)
-    first = materialize(first.select("id", "size", "common", "label", "e"), "minhash-prefixes", files)
+    part = similarity / (1 + similarity)  # of both sizes, what a similar pair shares
+    reps = rows.select("rep", "size", "common", "label", "pivot", "pivot_id").distinct()
+    heads = reps.select("pivot_id").distinct().join(own.withColumnRenamed("id", "pivot_id"), "pivot_id").join(labels.select(F.col("id").alias("pivot_id"), F.col("label").alias("head_label")), "pivot_id")
+    met = reps.join(heads.select("pivot_id", "head_label", F.col("elements").alias("head")), "pivot_id").join(own.withColumnRenamed("id", "rep"), "rep")
+    alike = F.col("pivot") / (F.col("size") + F.size("head") - F.col("pivot"))
+    outside = F.col("label") != F.col("head_label")
+    differ = F.concat(F.array_except("elements", "head"), F.transform(F.array_except("head", "elements"), lambda e: F.bitwise_not(e)))
+    # the least number of differences that a row shares with a similar row outside, or anywhere
+    with_outside = F.floor((1 - part) * F.size("head") - F.col("pivot") + part * F.col("size") - 1e-9) + 1
+    with_any = F.ceil(part * (F.col("size") + F.size("head")) - F.col("pivot") - 1e-9)
+    own_need = F.ceil(similarity * F.col("size") - 1e-9)
+    near = met.where(alike >= 0.5).select(*reps.columns, outside.alias("outside"), F.lit(False).alias("far"), F.lit(0).alias("by"), differ.alias("set"), with_outside.alias("need"), F.when(outside, with_any).otherwise(with_outside).alias("any_need"))
+    plain = met.where(alike <= 0.5 + similarity / 4 + 1e-9).select(*reps.columns, F.lit(True).alias("outside"), (alike < 0.5).alias("far"), F.lit(1).alias("by"), F.col("elements").alias("set"), own_need.alias("need"), own_need.alias("any_need"))
+    sets = near.unionByName(plain).withColumns({"n_set": F.size("set"), "need": F.greatest("need", F.lit(1)), "any_need": F.greatest("any_need", F.lit(1))})
+    held = materialize(sets.where(F.least("need", "any_need") <= F.col("n_set")).withColumn("e", F.explode("set")).drop("set"), "minhash-held", files, ELEMENT_GROUP)
+    group = ["pivot_id", "by"]
+    rarity = held.groupBy(*group, "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    row = Window.partitionBy(*group, "rep")
+    # what no other row has comes first in each row's order, and meets nobody
+    ranked = held.join(rarity, [*group, "e"]).withColumn("place", F.col("n_set") - F.count(F.lit(1)).over(row) + F.row_number().over(row.orderBy("n", "e")))
+    first = materialize(ranked.where(F.col("place") <= F.col("n_set") - F.least("need", "any_need") + 1).withColumn("early", F.col("place") <= F.col("n_set") - F.col("need") + 1).drop("n", "place", "n_set", "need", "any_need"), "minhash-prefixes", files)
     one, two = first.alias("one"), first.alias("two")
-    most = F.least("one.common", "two.common")
-    fits = most >= similarity * (F.col("one.size") + F.col("two.size") - most) - 1e-9
-    met = one.join(two, (F.col("one.e") == F.col("two.e")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.label") != F.col("two.label")) & fits)
-    return met.select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
+    at = lambda c: (F.col(f"one.{c}"), F.col(f"two.{c}"))
+    equal = (F.col("one.pivot_id") == F.col("two.pivot_id")) & (F.col("one.by") == F.col("two.by")) & (F.col("one.e") == F.col("two.e"))
+    fits = (F.col("one.rep") < F.col("two.rep")) & (F.col("one.label") != F.col("two.label")) & (F.least(*at("size")) >= similarity * F.greatest(*at("size")) - 1e-9)
+    # a row similar to the pivot looks for rows outside at its early elements, and those for it at all they have here
+    places = F.when(F.col("one.outside") & F.col("two.outside"), F.col("one.early") & F.col("two.early")).otherwise(F.when(F.col("one.outside"), F.col("two.early")).otherwise(F.col("one.early")))
+    of_scheme = (F.col("one.by") == 0) | F.col("one.far") | F.col("two.far")
+    pairs = one.join(two, equal & fits & places & of_scheme & may_reach(similarity, "one", "two"))
+    return pairs.select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b"))
 
 
 def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_rounds: int) -> DataFrame:
@@ -305,8 +327,8 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
     own = materialize(elements_of(texts), "minhash-elements", many, ELEMENT_GROUP)
     labels, edges, turn = nodes.select("id", F.col("id").alias("label")), None, 0
     stats = materialize(extents(own).withColumnRenamed("id", "rep"), "minhash-extents", few)
-    rows = met.join(scores.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9), "rep").select("bucket", "rep", "score", "size", "common", F.col("rep").alias("label"), F.lit(None).cast("long").alias("pivot"))
-    kept = ["bucket", "rep", "score", "size", "common", "pivot"]
+    rows = met.join(scores.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9), "rep").select("bucket", "rep", "score", "size", "common", F.col("rep").alias("label"), *[F.lit(None).cast("long").alias(c) for c in ("pivot", "pivot_id")])
+    kept = ["bucket", "rep", "score", "size", "common", "pivot", "pivot_id"]
     while True:
         turn += 1
         lead = F.max(F.struct("score", (-F.col("rep")).alias("rep"), "label", "size", "common", "pivot")).alias("lead")
@@ -319,8 +341,8 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
             pairs = to_lead.select("a", "b")
         elif turn <= lead_rounds:
             pairs = to_lead.alias("row").where((F.col("label") != F.col("lead.label")) & may_reach(similarity, "row", "row.lead")).select("a", "b")
-        else:  # what no lead resolves: pairs of different classes that share a rare element
-            pairs = prefix_pairs(rows, own, similarity, files)
+        else:  # what no lead resolves: pairs of one bucket's pivot and different classes that share rare differences
+            pairs = prefix_pairs(rows, own, labels, similarity, few)
         seen = materialize(overlaps(pairs.distinct(), own), "minhash-overlaps", files)
         found = seen.where(F.col("shared") >= similarity * (F.col("total") - F.col("shared"))).select("a", "b")
         edges = found if edges is None else edges.unionByName(found)
@@ -329,7 +351,7 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
         if turn > lead_rounds:
             break
         if turn == 1:
-            to_lead = to_lead.drop("pivot").join(seen.select("a", "b", F.col("shared").alias("pivot")), ["a", "b"])
+            to_lead = to_lead.drop("pivot", "pivot_id").join(seen.select("a", "b", F.col("shared").alias("pivot")), ["a", "b"]).withColumn("pivot_id", -F.col("lead.rep"))
         # leads have met their bucket and leave it; the rest matters while it has two classes or more
         rows = to_lead.select(*kept).join(labels.withColumnRenamed("id", "rep"), "rep")
     of_rep = copies.select("key", "first", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", "first", F.coalesce("label", "rep").alias("label"))

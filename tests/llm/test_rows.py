@@ -28,18 +28,35 @@ def test_hot_buckets_of_unlike_documents(docs_of):
 
 
 def test_prefix_pairs_hold_all_similar_pairs(spark):
+    """Groups around pivots, of rows near and far: all similar pairs of different labels are among those met, and few others."""
     r = random.Random(3)
-    sets = []
-    for _ in range(12):
-        base = r.sample(range(400), r.randint(3, 60))
-        for _ in range(8):
-            kept = [e for e in base if r.random() > 0.08]
-            sets.append(sorted(set(kept + r.sample(range(400, 440), r.randint(0, 3)))) or [0])
-    own = spark.createDataFrame(list(enumerate(sets)), "id long, elements array<long>")
-    rows = own.select(F.col("id").alias("rep"), F.size("elements").cast("long").alias("size"), F.col("id").alias("label"))
-    got = {(x.a, x.b) for x in minhash.prefix_pairs(rows, own, 0.8).collect()}
-    want = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))}
-    assert len(want) > 20 and want <= got and len(got) < len(sets) * (len(sets) - 1) / 2
+    sets, group, heads = [], [], []
+    for g in range(14):
+        base = r.sample(range(1000 * g, 1000 * g + 500), r.randint(10, 60))
+        heads.append(len(sets))
+        slots = r.sample(range(1000 * g + 600, 1000 * g + 640), 6)
+        for k in range(26):
+            lost = r.choice([0.02, 0.1, 0.2, 0.6])
+            kept = [e for e in base if not k or r.random() > lost]
+            if k > 1 and r.random() < 0.6:  # a copy of a copy
+                kept = [e for e in sorted(sets[-1]) if r.random() > 0.04]
+            more = r.sample(slots, r.randint(0, 2)) + [r.randrange(10**6, 10**9) for _ in range(r.randint(0, 3))] if k else []
+            sets.append(set(kept + more) or {g})
+            group.append(heads[g])
+    jaccard = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    label = [group[i] if jaccard(i, group[i]) >= 0.8 else i for i in range(len(sets))]
+    counts = {}
+    for s in sets:
+        for e in s:
+            counts[e] = counts.get(e, 0) + 1
+    own = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, elements array<long>")
+    labels = spark.createDataFrame(list(enumerate(label)), "id long, label long")
+    rows = [(i, len(s), sum(counts[e] > 1 for e in s), label[i], len(s & sets[group[i]]), group[i]) for i, s in enumerate(sets) if i not in heads]
+    rows = spark.createDataFrame(rows, "rep long, size long, common long, label long, pivot long, pivot_id long")
+    got = {(x.a, x.b) for x in minhash.prefix_pairs(rows, own, labels, 0.8).collect()}
+    every = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if group[i] == group[j] and label[i] != label[j] and not {i, j} & set(heads)}
+    want = {(i, j) for i, j in every if jaccard(i, j) >= 0.8}
+    assert len(want) > 100 and want <= got <= every and len(got) < len(every) / 2
 
 
 def test_clashing_columns(spark, docs_of):
