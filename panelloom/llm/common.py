@@ -50,7 +50,10 @@ def materialize(df: DataFrame, name: str, files: int | None = None, group_bytes:
     path = scratch_dir(df.sparkSession, name)
     if files is not None:
         df = df.coalesce(files)
-    (df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)).parquet(path)
+    to = df.write
+    if group_bytes is not None:  # few rows may hold much, so their sizes are looked at from the first on
+        to = to.option("parquet.block.size", group_bytes).option("parquet.block.size.row.check.min", 1).option("parquet.page.size.row.check.min", 1)
+    to.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -233,9 +233,9 @@ def overlaps(pairs: DataFrame, own: DataFrame) -> DataFrame:
 
 
 def extents(own: DataFrame) -> DataFrame:
-    """(id, size, common) of (id, elements) rows: all elements, and those that another row has, too."""
+    """(id, size, common) of (id, elements) rows, each id once: all elements, and those that another row has, too."""
     alone = own.select("id", F.explode("elements").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = own.select("id", F.size("elements").cast("long").alias("size")).distinct()
+    sizes = own.select("id", F.size("elements").cast("long").alias("size"))
     return sizes.join(alone, "id", "left").select("id", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
 
 
@@ -281,14 +281,16 @@ def prefix_pairs(rows: DataFrame, own: DataFrame, labels: DataFrame, similarity:
     sets = near.unionByName(plain).withColumns({"n_set": F.size("set"), "need": F.greatest("need", F.lit(1)), "any_need": F.greatest("any_need", F.lit(1))})
     held = materialize(sets.where(F.least("need", "any_need") <= F.col("n_set")).withColumn("e", F.explode("set")).drop("set"), "minhash-held", files, ELEMENT_GROUP)
     group = ["pivot_id", "by"]
-    rarity = held.groupBy(*group, "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # elements that the same rows have, those of a passage say, are as good as one: ``who`` tells by whom they are held
+    rarity = held.groupBy(*group, "e").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("who")).where("n > 1")
     row = Window.partitionBy(*group, "rep")
     # what no other row has comes first in each row's order, and meets nobody
     ranked = held.join(rarity, [*group, "e"]).withColumn("place", F.col("n_set") - F.count(F.lit(1)).over(row) + F.row_number().over(row.orderBy("n", "e")))
-    first = materialize(ranked.where(F.col("place") <= F.col("n_set") - F.least("need", "any_need") + 1).withColumn("early", F.col("place") <= F.col("n_set") - F.col("need") + 1).drop("n", "place", "n_set", "need", "any_need"), "minhash-prefixes", files)
+    first = ranked.where(F.col("place") <= F.col("n_set") - F.least("need", "any_need") + 1).withColumn("early", F.col("place") <= F.col("n_set") - F.col("need") + 1)
+    first = materialize(first.groupBy(*reps.columns, "by", "who").agg(F.any_value("outside").alias("outside"), F.any_value("far").alias("far"), F.bool_or("early").alias("early")), "minhash-prefixes", files)
     one, two = first.alias("one"), first.alias("two")
     at = lambda c: (F.col(f"one.{c}"), F.col(f"two.{c}"))
-    equal = (F.col("one.pivot_id") == F.col("two.pivot_id")) & (F.col("one.by") == F.col("two.by")) & (F.col("one.e") == F.col("two.e"))
+    equal = (F.col("one.pivot_id") == F.col("two.pivot_id")) & (F.col("one.by") == F.col("two.by")) & (F.col("one.who") == F.col("two.who"))
     fits = (F.col("one.rep") < F.col("two.rep")) & (F.col("one.label") != F.col("two.label")) & (F.least(*at("size")) >= similarity * F.greatest(*at("size")) - 1e-9)
     # a row similar to the pivot looks for rows outside at its early elements, and those for it at all they have here
     places = F.when(F.col("one.outside") & F.col("two.outside"), F.col("one.early") & F.col("two.early")).otherwise(F.when(F.col("one.outside"), F.col("two.early")).otherwise(F.col("one.early")))
@@ -324,10 +326,12 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
         texts = narrow.withColumn("key", F.md5("text")).join(named, ["id", "key"]).select(F.col("rep").alias("id"), "text")
     else:
         texts = narrow.join(nodes, "id", "left_semi")
-    own = materialize(elements_of(texts), "minhash-elements", many, ELEMENT_GROUP)
+    held = elements_of(texts)
+    if not signed.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():  # repeated rows: one stands for them
+        held = held.where(F.size("elements") > 0).dropDuplicates(["id"])
+    own = materialize(held, "minhash-elements", many, ELEMENT_GROUP)
     labels, edges, turn = nodes.select("id", F.col("id").alias("label")), None, 0
-    stats = materialize(extents(own).withColumnRenamed("id", "rep"), "minhash-extents", few)
-    rows = met.join(scores.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9), "rep").select("bucket", "rep", "score", "size", "common", F.col("rep").alias("label"), *[F.lit(None).cast("long").alias(c) for c in ("pivot", "pivot_id")])
+    rows = met.join(scores, "rep").select("bucket", "rep", "score", F.col("rep").alias("label"), *[F.lit(None).cast("long").alias(c) for c in ("size", "common", "pivot", "pivot_id")])
     kept = ["bucket", "rep", "score", "size", "common", "pivot", "pivot_id"]
     while True:
         turn += 1
@@ -350,10 +354,16 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
             labels = components(labels, edges, "minhash", few)
         if turn > lead_rounds:
             break
+        # leads have met their bucket and leave it; the rest matters while it has two classes or more
         if turn == 1:
             to_lead = to_lead.drop("pivot", "pivot_id").join(seen.select("a", "b", F.col("shared").alias("pivot")), ["a", "b"]).withColumn("pivot_id", -F.col("lead.rep"))
-        # leads have met their bucket and leave it; the rest matters while it has two classes or more
         rows = to_lead.select(*kept).join(labels.withColumnRenamed("id", "rep"), "rep")
+        if turn == 1:
+            mixed = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+            rows = materialize(rows.drop("size", "common").join(mixed, "bucket", "left_semi"), "minhash-rest", files)
+            open_ = rows.select(F.col("rep").alias("id")).unionByName(rows.select(F.col("pivot_id").alias("id"))).distinct()
+            stats = materialize(extents(own.join(open_, "id", "left_semi")).withColumnRenamed("id", "rep"), "minhash-extents", files)
+            rows = rows.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9)
     of_rep = copies.select("key", "first", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", "first", F.coalesce("label", "rep").alias("label"))
     if reused:
         of_rep = of_rep.join(of_rep.groupBy("label").agg(F.min("first").alias("class_id")), "label")
