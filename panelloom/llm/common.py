@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 import pyarrow as pa
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 _own: dict[str, str] = {}
 #: Longer words are not remembered between batches.
 LONG_WORD = 64
+#: Rows of a batch for Python in jobs that write tables.
+BATCH_ROWS = 1_000
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -41,6 +44,21 @@ def files_for(spark: SparkSession, rows: int, per_file: int = 100_000, least: in
     return max(2 * spark.sparkContext.defaultParallelism if least is None else least, -(-rows // per_file))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this context pass at most ``BATCH_ROWS`` rows to Python at once: whole texts may be long, and neighbours of their like."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, name: str, files: int | None = None, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends there.
 
@@ -50,10 +68,11 @@ def materialize(df: DataFrame, name: str, files: int | None = None, group_bytes:
     path = scratch_dir(df.sparkSession, name)
     if files is not None:
         df = df.coalesce(files)
-    to = df.write
-    if group_bytes is not None:  # few rows may hold much, so their sizes are looked at from the first on
-        to = to.option("parquet.block.size", group_bytes).option("parquet.block.size.row.check.min", 1).option("parquet.page.size.row.check.min", 1)
-    to.parquet(path)
+    with small_batches(df.sparkSession):
+        to = df.write
+        if group_bytes is not None:  # few rows may hold much, so their sizes are looked at from the first on
+            to = to.option("parquet.block.size", group_bytes).option("parquet.block.size.row.check.min", 1).option("parquet.page.size.row.check.min", 1)
+        to.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

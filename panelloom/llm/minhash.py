@@ -277,7 +277,10 @@ def prefix_pairs(rows: DataFrame, own: DataFrame, labels: DataFrame, similarity:
     with_any = F.ceil(part * (F.col("size") + F.size("head")) - F.col("pivot") - 1e-9)
     own_need = F.ceil(similarity * F.col("size") - 1e-9)
     near = met.where(alike >= 0.5).select(*reps.columns, outside.alias("outside"), F.lit(False).alias("far"), F.lit(0).alias("by"), differ.alias("set"), with_outside.alias("need"), F.when(outside, with_any).otherwise(with_outside).alias("any_need"))
-    plain = met.where(alike <= 0.5 + similarity / 4 + 1e-9).select(*reps.columns, F.lit(True).alias("outside"), (alike < 0.5).alias("far"), F.lit(1).alias("by"), F.col("elements").alias("set"), own_need.alias("need"), own_need.alias("any_need"))
+    # rows less alike only matter where some row is unlike
+    sizes = reps.join(heads.select("pivot_id", F.size("elements").alias("n_head")), "pivot_id")
+    unlike = sizes.where(F.col("pivot") < 0.5 * (F.col("size") + F.col("n_head") - F.col("pivot"))).select("pivot_id").distinct()
+    plain = met.join(unlike, "pivot_id", "left_semi").where(alike <= 0.5 + similarity / 4 + 1e-9).select(*reps.columns, F.lit(True).alias("outside"), (alike < 0.5).alias("far"), F.lit(1).alias("by"), F.col("elements").alias("set"), own_need.alias("need"), own_need.alias("any_need"))
     sets = near.unionByName(plain).withColumns({"n_set": F.size("set"), "need": F.greatest("need", F.lit(1)), "any_need": F.greatest("any_need", F.lit(1))})
     held = materialize(sets.where(F.least("need", "any_need") <= F.col("n_set")).withColumn("e", F.explode("set")).drop("set"), "minhash-held", files, ELEMENT_GROUP)
     group = ["pivot_id", "by"]
