@@ -64,6 +64,21 @@ def at_period(events: DataFrame, vintages: DataFrame, value: str, out: str, lag:
     return merged.select(*KEYS, *kept, F.col("__seen.v").alias(out))
 
 
+def at_periods(events: DataFrame, vintages: DataFrame, value: str, lags: list[int], prefix: str) -> DataFrame:
+    """``events`` with the values of several periods before, ``prefix`` + lag, each as known at pit.
+
+    Each vintage is told to the periods that it serves, so all lags come out of one sort: one shuffle of
+    as many vintage rows as there are lags, instead of a shuffle for each lag.
+    """
+    kept = [c for c in events.columns if c not in KEYS]
+    told = vintages.select("code", F.explode(F.array(*[F.struct((F.col("period") + k).alias("period"), F.lit(k).alias("__k")) for k in lags])).alias("__t"), "pit", F.struct(F.col(value).alias("v")).alias("__v"))
+    told = told.select("code", "__t.period", "pit", F.lit(0).alias("__g"), "__t.__k", "__v", *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in kept])
+    asked = events.select("code", "period", "pit", F.lit(1).alias("__g"), F.lit(None).cast("int").alias("__k"), F.lit(None).cast(told.schema["__v"].dataType).alias("__v"), *kept)
+    w = Window.partitionBy("code", "period").orderBy("pit", "__g").rowsBetween(Window.unboundedPreceding, 0)
+    seen = {f"__s{k}": F.last(F.when(F.col("__k") == k, F.col("__v")), ignorenulls=True).over(w) for k in lags}
+    return told.unionByName(asked).withColumns(seen).where("__g = 1").select(*KEYS, *kept, *[F.col(f"__s{k}.v").alias(f"{prefix}{k}") for k in lags])
+
+
 def trailing_year(events: DataFrame, vintages: DataFrame, value: str, out: str, strict: bool = False) -> DataFrame:
     """Sum of the last four quarters of a figure that is cumulative over its year.
 
@@ -72,21 +87,19 @@ def trailing_year(events: DataFrame, vintages: DataFrame, value: str, out: str,
     where one of the three is missing.
     """
     quarter = F.pmod(F.col("period"), F.lit(4))
-    work = events
-    for k in range(8):
-        work = at_period(work, vintages, value, f"__c{k}", k)
-    cum = [F.col(f"__c{k}") for k in range(8)]
+    work = at_periods(events, vintages, value, list(range(5 if strict else 8)), "__c")
+    cum = [F.col(f"__c{k}") for k in range(5 if strict else 8)]
     back = lambda k: F.element_at(F.array(*cum), F.lit(1) + k)
     three = F.when(quarter == 3, cum[0]).otherwise(cum[0] + back((quarter + 1).cast("int")) - cum[4])
     if not strict:
         single = [F.when(F.pmod(F.col("period") - k, F.lit(4)) == 0, cum[k]).otherwise(cum[k] - cum[k + 1]) for k in range(4)]
         three = F.coalesce(three, sum(single[1:], single[0]))
-    return work.withColumn(out, three).drop(*[f"__c{k}" for k in range(8)])
+    return work.withColumn(out, three).drop(*[c for c in work.columns if c.startswith("__c")])
 
 
 def single_quarter(events: DataFrame, vintages: DataFrame, value: str, out: str) -> DataFrame:
     """The quarter's own figure from a cumulative one."""
-    work = at_period(at_period(events, vintages, value, "__c0", 0), vintages, value, "__c1", 1)
+    work = at_periods(events, vintages, value, [0, 1], "__c")
     own = F.when(F.pmod(F.col("period"), F.lit(4)) == 0, F.col("__c0")).otherwise(F.col("__c0") - F.col("__c1"))
     return work.withColumn(out, own).drop("__c0", "__c1")
 

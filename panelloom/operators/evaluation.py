@@ -66,9 +66,12 @@ def top_rows(df: DataFrame, score: str, k: int) -> DataFrame:
     return df.where(F.col(score).isNotNull()).withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
-def capacity_portfolio(df: DataFrame, score: str, liquidity: str, ret: str, money: float, n: int = 500) -> DataFrame:
-    """Each day's return when money fills the ranking from the top, each name up to its liquidity."""
-    ranked = top_rows(df.where(F.col(liquidity) > 0), score, n)
+def capacity_portfolio(df: DataFrame, score: str, liquidity: str, ret: str, money: float, n: int | None = None) -> DataFrame:
+    """Each day's return when money fills the ranking from the top, each name up to its liquidity.
+
+    The walk ends where the money does; ``n`` ends it earlier, after so many names.
+    """
+    ranked = rank_order(df.where(F.col(liquidity) > 0), score).where("place is not null") if n is None else top_rows(df.where(F.col(liquidity) > 0), score, n)
     w = Window.partitionBy("day").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(liquidity).over(w), F.lit(0.0))
     held = ranked.withColumn("hold", F.greatest(F.lit(0.0), F.least(F.col(liquidity), money - before)))

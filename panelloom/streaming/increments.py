@@ -46,7 +46,10 @@ class UpsertTable:
 
     A batch rewrites the partitions it touches in a new version of them and then moves the pointer, so
     data comes before state. A batch that is given again after a failure finds its number in the
-    pointer and changes nothing.
+    pointer and changes nothing. All touched partitions are merged and written in one job.
+
+    A row without a partition value has a partition of its own. Keys that do not hold the partition column
+    may move: then a key's old row is looked for in all partitions, and those that lose one are rewritten, too.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], sort_by: list[str], partition: str):
@@ -72,25 +75,46 @@ class UpsertTable:
         rows = p.groupBy("part").agg(F.max_by("path", "batch").alias("path")).collect()
         return {r["part"]: r["path"] for r in rows}
 
+    def _load(self, paths: list[str]) -> DataFrame | None:
+        if not paths:
+            return None
+        # the folder's column is a text: partition values must not be guessed into other types
+        df = self.spark.read.option("mergeSchema", "true").option("basePath", self.root).parquet(*paths)
+        return df.drop("__part", "__batch")
+
     def read(self) -> DataFrame | None:
-        paths = sorted(set(self._current().values()))
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
+        return self._load(sorted(set(self._current().values())))
+
+    def _folder(self, column: Column) -> Column:
+        """Name of a partition's folder: letters, digits and hyphens as they are, all else in hexadecimal."""
+        text = column.cast("string")
+        safe = F.when(text.rlike("^[A-Za-z0-9-]+$"), F.concat(F.lit("v-"), text)).otherwise(F.concat(F.lit("x-"), F.hex(F.encode(text, "UTF-8"))))
+        return F.coalesce(safe, F.lit("null"))
 
     def merge(self, batch: DataFrame, number: int) -> None:
         if number <= self.last_batch():
             return
         current = self._current()
-        batch = batch.withColumn("__part", F.col(self.partition).cast("string")).persist()
+        batch = batch.persist()
         try:
-            parts = [r[0] for r in batch.select("__part").distinct().collect()]
-            rows = []
-            for part in parts:
-                old = self.spark.read.parquet(current[part]) if part in current else None
-                path = f"{self.root}/data/{part}/batch-{number:09d}"
-                upsert(old, batch.where(F.col("__part") == part).drop("__part"), self.keys, self.sort_by).sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(path)
-                rows.append((part, path, number))
-            if rows:
-                self.spark.createDataFrame(rows, "part string, path string, batch long").coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
+            parts = {r[0] for r in batch.select(self._folder(F.col(self.partition)).alias("p")).distinct().collect()}
+            if not parts:
+                return
+            if self.partition not in self.keys and current:
+                before = self._load(sorted(set(current.values())))
+                moved = before.join(batch.select(*self.keys).distinct(), self.keys, "left_semi").select(self._folder(F.col(self.partition)).alias("p")).distinct()
+                parts |= {r[0] for r in moved.collect()}
+            old = self._load([current[p] for p in sorted(parts) if p in current])
+            merged = upsert(old, batch, self.keys, self.sort_by).withColumn("__part", self._folder(F.col(self.partition)))
+            path = f"{self.root}/data/__batch={number:09d}"
+            merged.repartition("__part").sortWithinPartitions("__part", *self.keys).write.mode("overwrite").partitionBy("__part").parquet(path)
+            left = {r[0] for r in merged.select("__part").distinct().collect()}
+            # a partition that has lost all rows stands on an empty version
+            empty = f"{path}/__part=empty"
+            if parts - left:
+                merged.drop("__part").limit(0).coalesce(1).write.mode("overwrite").parquet(empty)
+            rows = [(p, f"{path}/__part={p}" if p in left else empty, number) for p in sorted(parts)]
+            self.spark.createDataFrame(rows, "part string, path string, batch long").coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
         finally:
             batch.unpersist()
 
