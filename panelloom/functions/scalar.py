@@ -137,3 +137,24 @@ def gaussian_rank(rank: Column, n: Column) -> Column:
 def trade_fee(amount: Column | str, selling: Column) -> Column:
     """Commission with a floor, transfer fee, and stamp duty on sales."""
     return F.greatest(_c(amount) * 0.00025, F.lit(5.0)) + _c(amount) * 1e-5 + F.when(selling, _c(amount) * 5e-4).otherwise(0.0)
+
+
+def any_suffix(code: Column | str, suffixes: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, (_c(code).endswith(s) for s in suffixes), F.lit(False))
+
+
+def plain_name(text: Column | str) -> Column:
+    """A name for comparison: upper case, without white space, full-width letters and digits as plain ones."""
+    wide = "".join(chr(0xFF01 + i) for i in range(94))
+    plain = "".join(chr(0x21 + i) for i in range(94))
+    return F.upper(F.regexp_replace(F.translate(_c(text), wide, plain), r"\s+", ""))
+
+
+def squash(x: Column | str, scale: float = 1.0) -> Column:
+    """Hyperbolic tangent of x in units of ``scale``."""
+    return F.tanh(_c(x) / scale)
+
+
+def soft_log(x: Column | str) -> Column:
+    """Inverse hyperbolic sine: a logarithm for both signs, and 0 for 0."""
+    return F.signum(_c(x)) * F.log(F.abs(_c(x)) + F.sqrt(_c(x) * _c(x) + 1))

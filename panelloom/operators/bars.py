@@ -83,3 +83,54 @@ def slot_arrays(numbered: DataFrame) -> DataFrame:
     r = F.col("close") / F.col("previous") - 1
     lists = numbered.groupBy("code", "day").agg(F.sort_array(F.collect_list(F.struct("slot", r.alias("r"), "amount"))).alias("__b"), F.sum("amount").alias("__a"))
     return lists.select("code", "day", F.transform("__b", lambda b: b["r"]).alias("ret"), F.transform("__b", lambda b: F.when(F.col("__a") > 0, b["amount"] / F.col("__a"))).alias("amount_share"))
+
+
+def intraday_layer(numbered: DataFrame, morning: Column, k_edge: int = 3, k_top: int = 3) -> DataFrame:
+    """All daily fields of the bars as one table, from one sort and one aggregate for each (code, day).
+
+    The running highs and lows, the bars' place by size of move and all sums share the exchange by (code, day).
+    """
+    day = Window.partitionBy("code", "day")
+    so_far = day.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    r = F.col("close") / F.col("previous") - 1
+    size = F.when(F.col("vol") > 0, F.abs(r) / F.sqrt("vol"))
+    rows = numbered.withColumns({"__r": r, "__fall": F.col("close") / F.max("close").over(so_far) - 1, "__rise": F.col("close") / F.min("close").over(so_far) - 1, "__s": size, "__am": morning})
+    rows = rows.withColumn("__top", F.row_number().over(day.orderBy(F.col("__s").desc_nulls_last(), "slot")))
+    sum_of = lambda c, x: F.coalesce(F.sum(F.when(c, x)), F.lit(0.0))
+    r, am, always = F.col("__r"), F.col("__am"), F.lit(True)
+    head, tail = F.col("slot") < k_edge, F.col("slot") >= F.col("n_slots") - k_edge
+    ret = lambda c: F.max_by(F.when(c, F.col("close")), F.when(c, F.col("slot"))) / F.min_by(F.when(c, F.col("open")), F.when(c, F.col("slot"))) - 1
+    share = lambda c: F.when(F.sum("vol") > 0, F.coalesce(F.sum(F.when(c, F.col("vol"))), F.lit(0)) / F.sum("vol"))
+    scale = F.greatest(F.max("slot"), F.lit(1))
+    vol = F.col("vol").cast("double")
+    return rows.groupBy("code", "day").agg(
+        F.min_by("open", "slot").alias("open"), F.max_by("close", "slot").alias("close"), F.max("high").alias("high"), F.min("low").alias("low"), F.sum("vol").alias("vol"), F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n_bars"),
+        sum_of(always, r).alias("sum_r"), sum_of(always, r * r).alias("sum_r2"), sum_of(always, F.abs(r)).alias("sum_abs_r"), sum_of(always, r * r * r).alias("sum_r3"), sum_of(r > 0, r * r).alias("sum_up_r2"), sum_of(r < 0, r * r).alias("sum_down_r2"),
+        F.count_if(r > 0).alias("n_up"), F.count_if(r == 0).alias("n_flat"), sum_of(always, vol * vol).alias("sum_vol2"), sum_of(r > 0, F.col("vol")).alias("up_vol"),
+        (F.min_by("slot", F.struct(-F.col("high"), F.col("slot"))) / scale).alias("high_place"), (F.min_by("slot", F.struct(F.col("low"), F.col("slot"))) / scale).alias("low_place"),
+        F.min("__fall").alias("max_drawdown"), F.max("__rise").alias("max_runup"),
+        F.sum(F.when(am, F.col("vol"))).alias("am_vol"), ret(am).alias("am_ret"), F.sum(F.when(~am, F.col("vol"))).alias("pm_vol"), ret(~am).alias("pm_ret"), share(am).alias("am_share"),
+        ret(head).alias("head_ret"), share(head).alias("head_share"), ret(tail).alias("tail_ret"), share(tail).alias("tail_share"), share((F.col("__top") <= k_top) & F.col("__s").isNotNull()).alias("top_share"),
+    )
+
+
+def opening(numbered: DataFrame, clock: str) -> DataFrame:
+    """Amount of the day's first bar and of the day, number of bars, clock time of the first."""
+    return numbered.groupBy("code", "day").agg(F.min_by("amount", "slot").alias("open_amount"), F.sum("amount").alias("day_amount"), F.count(F.lit(1)).alias("n_bars"), F.min_by(clock, "slot").alias("first_time"))
+
+
+def morning_bars(numbered: DataFrame, clock: str, until: int, wanted: int) -> DataFrame:
+    """The morning as one bar for each (code, day), and whether all its ``wanted`` clock times up to ``until`` are there."""
+    early = numbered.where(F.col(clock) <= until)
+    return early.groupBy("code", "day").agg(
+        F.min_by("open", "slot").alias("open"), F.max_by("close", "slot").alias("close"), F.max("high").alias("high"), F.min("low").alias("low"), F.sum("vol").alias("vol"),
+        F.count(F.lit(1)).alias("n_bars"), ((F.count_distinct(clock) == wanted) & (F.max(clock) == until)).alias("is_complete"),
+    )
+
+
+def slot_structure(arrays: DataFrame) -> DataFrame:
+    """Scalars of the slot arrays: bars, concentration and centre of the amount, share of the largest bar, sum of returns."""
+    a = F.col("amount_share")
+    add = lambda values: F.aggregate(values, F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0)))
+    centre = add(F.transform(a, lambda v, i: v * i)) / F.greatest(F.size(a) - 1, F.lit(1))
+    return arrays.select("code", "day", F.size(a).alias("n_slots"), add(F.transform(a, lambda v: v * v)).alias("concentration"), centre.alias("centre"), F.array_max(a).alias("largest"), add(F.col("ret")).alias("sum_ret"))

@@ -133,3 +133,26 @@ def surprise(quarters: DataFrame, value: str, out: str, n: int = 8, least: int =
     past = w.rowsBetween(-n, -1)
     spread = F.when(F.count("__d").over(past) >= least, F.stddev_samp("__d").over(past))
     return work.withColumn(out, F.when(spread > 1e-12, F.col("__d") / spread)).drop("__d")
+
+
+#: Kinds of report fields: points in time, sums over the year so far, and ratios of such sums.
+POINT, CUMULATIVE, RATIO = "point", "cumulative", "ratio"
+
+
+def require_kind(fields: dict[str, str], field: str, use: str) -> str:
+    """``field``, where its declared kind allows the use; a ratio over part of a year allows none but "as_is".
+
+    Trailing sums and single quarters need cumulative fields, balances are points.
+    """
+    allowed = {"trailing": (CUMULATIVE,), "quarter": (CUMULATIVE,), "point": (POINT, CUMULATIVE), "as_is": (POINT, CUMULATIVE, RATIO)}
+    if field not in fields:
+        raise ValueError(f"{field} is not declared")
+    if fields[field] not in allowed[use]:
+        raise ValueError(f"{field} is a {fields[field]} field and cannot be used as {use}")
+    return field
+
+
+def lagged_trailing_year(events: DataFrame, vintages: DataFrame, value: str, out: str, lag: int) -> DataFrame:
+    """Trailing year of the period ``lag`` quarters before, as known at each event's own day."""
+    moved = trailing_year(events.withColumn("period", F.col("period") - lag), vintages, value, out)
+    return moved.withColumn("period", F.col("period") + lag)

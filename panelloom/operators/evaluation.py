@@ -203,3 +203,82 @@ def cash_ledger(ranked: DataFrame, cash: float = 1_000_000.0, hold: int = 10, ba
         yield pd.DataFrame(out, columns=["strategy", "day", "cash", "value", "n_held", "turnover"])
 
     return ranked.groupBy("strategy").applyInPandas(run, "strategy string, day date, cash double, value double, n_held long, turnover double")
+
+
+def ridge_table(df: DataFrame, y: str, xs: list[str], penalty: float) -> DataFrame:
+    """(name, coefficient) of ``ridge``, the intercept as ``1``."""
+    return df.sparkSession.createDataFrame(list(zip(["1", *xs], ridge(df, y, xs, penalty), strict=True)), "name string, coefficient double")
+
+
+def merge_scores(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("a", "b"), score: str = "score") -> DataFrame:
+    """(day, code) that both have, with both scores."""
+    return a.select("day", "code", F.col(score).alias(names[0])).join(b.select("day", "code", F.col(score).alias(names[1])), ["day", "code"])
+
+
+def blend_ranks(df: DataFrame, heads: dict[str, float], out: str = "score") -> DataFrame:
+    """Weighted mean of the heads' percentiles within each day, over the heads that a row has."""
+    ranked = df.withColumns({f"__p_{h}": pct_rank(F.col(h)) for h in heads})
+    total = sum((F.coalesce(w * F.col(f"__p_{h}"), F.lit(0.0)) for h, w in heads.items()), F.lit(0.0))
+    weight = sum((F.when(F.col(f"__p_{h}").isNotNull(), F.lit(float(w))).otherwise(0.0) for h, w in heads.items()), F.lit(0.0))
+    return ranked.withColumn(out, F.when(weight > 0, total / weight)).drop(*[f"__p_{h}" for h in heads])
+
+
+def blend_ridge(df: DataFrame, heads: list[str], ret: str, penalty: float, out: str = "score") -> DataFrame:
+    """Heads weighed by a ridge fit of the returns."""
+    intercept, *weights = ridge(df, ret, heads, penalty)
+    return df.withColumn(out, sum((w * F.col(h) for h, w in zip(heads, weights, strict=True)), F.lit(intercept)))
+
+
+def fuse_common(df: DataFrame, parts: dict[str, float], out: str = "score") -> DataFrame:
+    """Scores standardised over the rows of a day that have all of them, and summed by weight; other rows leave."""
+    full = df.where(sum((fin(F.col(p)).isNotNull().cast("int") for p in parts), F.lit(0)) == len(parts))
+    w = Window.partitionBy("day")
+    z = lambda p: F.when(F.stddev_pop(p).over(w) > 1e-12, (F.col(p) - F.avg(p).over(w)) / F.stddev_pop(p).over(w)).otherwise(0.0)
+    return full.withColumn(out, sum((k * z(p) for p, k in parts.items()), F.lit(0.0)))
+
+
+def payload_hashes(scores: DataFrame, payload: list[str]) -> DataFrame:
+    """(day, n_rows, sha256) of the rows' payload, whatever their order: each row is hashed, and the sorted hashes are.
+
+    A day's hashes are as many as entities.
+    """
+    row = F.sha2(F.concat_ws("|", "code", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in payload]), 256)
+    return scores.groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"), F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(row))), 256).alias("sha256"))
+
+
+def archive_scores(scores: DataFrame, path: str, run: str, payload: list[str]) -> DataFrame:
+    """Append a run's scores to an archive with their day's hash; a day that is there with another hash is an error.
+
+    Days that are there already with the same hash are not written again. Returns the hashes of the run.
+    """
+    spark = scores.sparkSession
+    hashes = payload_hashes(scores, payload).withColumn("run", F.lit(run))
+    try:
+        known = spark.read.parquet(f"{path}/hashes").where(F.col("run") == run).select("day", F.col("sha256").alias("__h"))
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        known = spark.createDataFrame([], "day date, __h string")
+    marked = hashes.join(known, "day", "left").persist()
+    try:
+        if not marked.where("__h <> sha256").isEmpty():
+            raise ValueError(f"run {run} is archived with other scores")
+        new = marked.where("__h is null").drop("__h")
+        scores.join(new.select("day"), "day", "left_semi").withColumn("run", F.lit(run)).write.mode("append").parquet(f"{path}/scores")
+        new.write.mode("append").parquet(f"{path}/hashes")
+    finally:
+        marked.unpersist()
+    return hashes
+
+
+def market_block(daily: DataFrame, columns: list[str], n: int = 252, least: int | None = None) -> DataFrame:
+    """Market figures by day, each as it is and as its deviation from its last n days (population deviation)."""
+    w = Window.orderBy("day").rowsBetween(-(n - 1), 0)
+    k = n if least is None else least
+    z = lambda c: F.when((F.count(c).over(w) >= k) & (F.stddev_pop(c).over(w) > 1e-12), (F.col(c) - F.avg(c).over(w)) / F.stddev_pop(c).over(w))
+    return daily.select("day", *[F.col(c) for c in columns], *[z(c).alias(f"{c}_z{n}") for c in columns])
+
+
+def sample_names(names: DataFrame, k: int, seed: int) -> DataFrame:
+    """k of the names (a sampling operator): those with the smallest hashes of seed and name, so the draw does not depend on order."""
+    return names.select("name").distinct().orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("name")))).limit(k)

@@ -123,3 +123,38 @@ def to_wide(df: DataFrame, name: str, value: str, keys: list[str], names: list)
 
 def to_long(df: DataFrame, keys: list[str], columns: list[str], name: str = "name", value: str = "value") -> DataFrame:
     return df.unpivot(keys, columns, name, value)
+
+
+def on_sessions(df: DataFrame, days: DataFrame, day: str = "day") -> DataFrame:
+    """Rows of trading days only."""
+    return df.join(days.select(F.col("day").alias(day)).distinct(), day, "left_semi")
+
+
+def session_places(days: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(day, session) of the wanted days; days that are no session have none (NULL)."""
+    return wanted.select("day").distinct().join(calendar(days).select("day", "session"), "day", "left")
+
+
+def day_mask(days: DataFrame, wanted: DataFrame, out: str = "wanted") -> DataFrame:
+    """All sessions, and whether each is wanted."""
+    marked = wanted.select("day", F.lit(True).alias(out)).distinct()
+    return calendar(days).select("day", "session").join(marked, "day", "left").withColumn(out, F.coalesce(out, F.lit(False)))
+
+
+def code_index(entities: DataFrame) -> DataFrame:
+    """(code, place): columns of a matrix, from 0 in order of the code as text. Codes must be texts: numbers would lose leading zeros.
+
+    The numbering runs over distinct entities, of which there are some thousands.
+    """
+    if dict(entities.dtypes)["code"] != "string":
+        raise ValueError("codes must be texts")
+    return entities.select("code").distinct().withColumn("place", F.row_number().over(Window.orderBy("code")) - 1)
+
+
+def available_from(df: DataFrame, days: DataFrame, delay: int) -> DataFrame:
+    """Rows of a table that comes ``delay`` sessions late, moved to the session on which they are there."""
+    if not delay:
+        return df
+    numbered = calendar(days).select("day", "session")
+    later = numbered.select(F.col("day").alias("__to"), (F.col("session") - delay).alias("session"))
+    return df.join(numbered.join(later, "session").select("day", "__to"), "day").withColumn("day", F.col("__to")).drop("__to")

@@ -57,3 +57,8 @@ def mode(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     """Most frequent value; of equally frequent ones the smallest."""
     w = Window.partitionBy(*keys).orderBy(F.col("__n").desc(), x)
     return df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("__n")).withColumn("__k", F.row_number().over(w)).where("__k = 1").select(*keys, F.col(x).alias("mode"), F.col("__n").alias("n"))
+
+
+def fields(df: DataFrame, aggregates: dict[str, Column], day: str = "day") -> DataFrame:
+    """Many market figures of each day from one scan and one aggregate."""
+    return df.groupBy(day).agg(*[c.alias(name) for name, c in aggregates.items()])

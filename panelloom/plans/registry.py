@@ -195,3 +195,52 @@ def wide_snapshot(products: dict[str, DataFrame], least: int = 100, flip: set[st
 def feature_sets(coverage: DataFrame, least: float = 0.005) -> DataFrame:
     """Names whose coverage reaches ``least`` in every year there is."""
     return coverage.groupBy("name").agg(F.min("coverage").alias("lowest")).where(F.col("lowest") >= least)
+
+
+def execute(registry: Registry, names: list[str], grid: DataFrame, store: str, universe: DataFrame | None = None, least: int = 100, resume: bool = False) -> list[tuple[str, str, str]]:
+    """Compute and store the products of all metrics, parents first: (name, state, what) of each.
+
+    Each metric is written to ``store`` before its children are computed, and children read the parent's file,
+    so no plan is computed twice and a failure at run time is seen where it happens: it is ``failed``, its
+    children are ``blocked`` and the others go on. With ``resume``, metrics that stand in the store are
+    ``kept``: a product's file is there only when it was written whole.
+    """
+    spark = grid.sparkSession
+    raw: dict[str, DataFrame] = {}
+    state: dict[str, tuple[str, str]] = {}
+    for m in registry.order(names):
+        blocked = [p for p in m.parents if state[p][0] in ("failed", "blocked")]
+        if blocked:
+            state[m.name] = ("blocked", blocked[0])
+            continue
+        kept = stored(spark, store, m.name) if resume else None
+        if kept is not None:
+            raw[m.name], state[m.name] = kept.drop("rank"), ("kept", "")
+            continue
+        try:
+            done = product(m, m.compute(Context(registry, m, grid, raw)), universe, least)
+            done.write.mode("overwrite").option("compression", "zstd").parquet(f"{store}/{m.name}")
+            raw[m.name] = stored(spark, store, m.name).drop("rank")
+            state[m.name] = ("done", "")
+        except Exception as e:  # the reason is told; the other metrics go on
+            state[m.name] = ("failed", f"{type(e).__name__}: {str(e).splitlines()[0][:200] if str(e) else ''}")
+    return [(name, *what) for name, what in state.items()]
+
+
+def stored(spark, store: str, name: str) -> DataFrame | None:
+    """A metric's product in the store, or None."""
+    try:
+        return spark.read.parquet(f"{store}/{name}")
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def axes(products: dict[str, DataFrame]) -> DataFrame:
+    """(day, code) that any of the products has."""
+    parts = [df.select("day", "code") for df in products.values()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()

@@ -470,9 +470,9 @@ query("b17_hysteresis")(lambda spark, d: recursive.hysteresis(panel(spark, d).se
 
 # --- increments --------------------------------------------------------------------------------
 
-query("st10_tumbling", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")(lambda spark, d: table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "event_type", "n"))
-query("st11_sliding", "SELECT CAST(d AS DATE) AS start, count(*) AS n FROM events e JOIN (SELECT UNNEST(generate_series(DATE '2023-12-30', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) ON ts >= d AND ts < d + INTERVAL 3 DAY GROUP BY ALL")(lambda spark, d: table(spark, d, "events").groupBy(F.window("ts", "3 days", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("w.start").alias("start"), "n"))
-query("st12_sessions", "WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k")(lambda spark, d: table(spark, d, "events").groupBy("user_id", F.session_window("ts", "6 hours").alias("w")).agg(F.count(F.lit(1)).alias("n")).select("user_id", F.col("w.start").alias("start"), "n"))
+query("st10_tumbling", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")(lambda spark, d: increments.tumbling(table(spark, d, "events"), "ts", "1 hour", ["event_type"], [F.count(F.lit(1)).alias("n")], "1 day").select(F.col("window.start").alias("start"), "event_type", "n"))
+query("st11_sliding", "SELECT CAST(d AS DATE) AS start, count(*) AS n FROM events e JOIN (SELECT UNNEST(generate_series(DATE '2023-12-30', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) ON ts >= d AND ts < d + INTERVAL 3 DAY GROUP BY ALL")(lambda spark, d: increments.sliding(table(spark, d, "events"), "ts", "3 days", "1 day", [], [F.count(F.lit(1)).alias("n")], "1 day").select(F.to_date("window.start").alias("start"), "n"))
+query("st12_sessions", "WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k")(lambda spark, d: increments.in_sessions(table(spark, d, "events"), "ts", "6 hours", ["user_id"], [F.count(F.lit(1)).alias("n")], "1 day").select("user_id", F.col("session_window.start").alias("start"), "n"))
 query("st09_calendar_gaps", f"{GRID} SELECT g.code, g.day FROM grid g JOIN (SELECT code, min(day) AS a, max(day) AS b FROM facts GROUP BY code) s ON s.code = g.code AND g.day BETWEEN s.a AND s.b WHERE g.vol IS NULL")(lambda spark, d: (lambda f: increments.calendar_gaps(f, f.select("day").distinct(), ["code"]))(facts(spark, d)))
 query("st08_ledger_changes", "SELECT CAST(ts AS DATE) AS day, 'rewritten' AS change FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-09' GROUP BY 1")(lambda spark, d: (lambda e: sets.compare_fingerprints(sets.fingerprint(e, ["day"]), sets.fingerprint(e.withColumn("v", F.when(F.col("day") == F.lit("2024-01-09").cast("date"), -1).otherwise(F.col("v"))), ["day"]), ["day"]))(table(spark, d, "events").select(F.to_date("ts").alias("day"), "event_id", F.lit(1).alias("v"))))
 query("st02_usual_delay", "WITH a AS (SELECT event_type AS t, CAST(ts AS DATE) AS day, CAST(count(*) % 3 AS INTEGER) AS delay FROM events GROUP BY 1, 2), r AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY t ORDER BY day DESC) <= 10), c AS (SELECT t, delay, count(*) AS n FROM r GROUP BY 1, 2) SELECT t AS \"table\", least(delay, 2) AS delay FROM c QUALIFY row_number() OVER (PARTITION BY t ORDER BY n DESC, delay DESC) = 1")(lambda spark, d: increments.usual_delay(table(spark, d, "events").groupBy(F.col("event_type").alias("table"), F.to_date("ts").alias("day")).agg((F.count(F.lit(1)) % 3).cast("int").alias("delay")).withColumn("declared", F.lit(0))))
@@ -541,3 +541,6 @@ k AS (SELECT code, day, v, count(v) OVER (PARTITION BY day) AS c, rank() OVER (P
 SELECT code, day, round(v, 6) + 0.0 AS value, round(CASE WHEN c >= 5 AND v IS NOT NULL THEN (lo + c - hi + 1) / 2.0 / c END, 6) + 0.0 AS rank FROM k""")(
     lambda spark, d: panel(spark, d).select("code", "day", S.diff(F.col("x"), 5).alias("v")).select("code", "day", r6("v").alias("value"), r6(F.when(F.count("v").over(Window.partitionBy("day")) >= 5, cross.pct_rank(F.col("v")))).alias("rank"))
 )
+
+
+from . import queries_more  # noqa: E402, F401  (further queries join the same dictionaries)

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -28,6 +29,7 @@ class Dataset:
     delay: int = 0  # sessions by which the table comes late
     must_know: str | None = None  # rows without it are not visible at all
     adjusted: bool = False  # rewritten in hindsight, so not for metrics
+    code: str = "code"  # column of the entity
 
 
 class Catalog:
@@ -54,7 +56,7 @@ class Catalog:
         if days and d.day:
             df = df.where(F.col(d.day).between(*days))
         if codes is not None:
-            df = df.where(F.col("code").isin(codes))
+            df = df.where(F.col(d.code).isin(codes))
         if self.cutoff:
             df = as_of_cutoff(df, d, self.cutoff)
         return df.select(*columns) if columns else df
@@ -183,6 +185,52 @@ def replace_snapshot(df: DataFrame, path: str, floor: float = 0.9) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+class WriteBuffer:
+    """Collects frames for one table and writes them in few, large steps.
+
+    It flushes when the rows that wait are ``least`` or a ``share`` of the rows already written, whichever is
+    more: the steps grow with the table, so that its rows are rewritten a bounded number of times each.
+    """
+
+    def __init__(self, write: Callable[[DataFrame], None], least: int = 300_000, share: float = 0.25, written: int = 0):
+        self.write, self.least, self.share, self.written = write, least, share, written
+        self.waiting: list[DataFrame] = []
+        self.rows = self.flushes = 0
+
+    def add(self, df: DataFrame, rows: int | None = None) -> None:
+        self.waiting.append(df)
+        self.rows += df.count() if rows is None else rows
+        if self.rows >= max(self.least, self.share * self.written):
+            self.flush()
+
+    def flush(self) -> None:
+        if self.waiting:
+            self.write(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), self.waiting))
+            self.written, self.flushes = self.written + self.rows, self.flushes + 1
+            self.waiting, self.rows = [], 0
+
+
+def with_variant(df: DataFrame, **literals) -> DataFrame:
+    """``df`` with what the request said (market, frequency, kind) as literal columns."""
+    return df.withColumns({k: F.lit(v) for k, v in literals.items()})
+
+
+def latest_rows(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
+    """The n newest rows of each key, by ``order`` and then by content."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order], F.xxhash64(*df.columns))
+    return df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= n).drop("__n")
+
+
+def in_pool(df: DataFrame, pool: DataFrame, key: str) -> DataFrame:
+    """Rows whose entity is in the pool."""
+    return df.join(pool.select(key).distinct(), key, "left_semi")
+
+
+def without_suffixes(df: DataFrame, key: str, banned: DataFrame, suffix: str, length: int) -> DataFrame:
+    """Rows whose key does not end in one of the banned suffixes of ``length`` characters: an anti join on the suffix."""
+    return df.join(banned.select(F.col(suffix).alias("__s")).distinct(), F.right(F.col(key), F.lit(length)) == F.col("__s"), "left_anti")
+
+
 def cast_like(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of ``schema`` in its order, cast where they can be, NULL where absent; further columns follow."""
     known = {f.name for f in schema.fields}

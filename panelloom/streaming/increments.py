@@ -183,3 +183,19 @@ def calendar_gaps(rows: DataFrame, calendar: DataFrame, keys: list[str], day: st
 
 def checkpoint_path(root: str, name: str) -> str:
     return os.path.join(root, "checkpoints", name)
+
+
+class TokenBucket:
+    """Permission for requests: ``rate`` a second on the average and at most ``burst`` at once; the clock is a parameter."""
+
+    def __init__(self, rate: float, burst: int, now: Callable[[], float]):
+        self.rate, self.burst, self.now = rate, burst, now
+        self.tokens, self.at = float(burst), now()
+
+    def wait_for(self, n: int = 1) -> float:
+        """Seconds to wait before n requests; they count as made."""
+        t = self.now()
+        self.tokens, self.at = min(self.burst, self.tokens + (t - self.at) * self.rate), t
+        self.tokens -= n
+        return max(0.0, -self.tokens / self.rate)
+
