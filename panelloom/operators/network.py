@@ -1,8 +1,8 @@
 """Correlation graphs of entities, their neighbours and centralities.
 
 Pairs are of entities, not of rows: with C entities on T days the pair table has C * C / 2 groups, whose
-moments are summed in a map-side aggregate. ``blocks`` splits both sides by hash of the entity, so a
-day's rows meet in blocks * blocks tasks instead of one.
+moments are summed in a map-side aggregate. Both sides are split by hash of the entity, so a day's rows meet
+in blocks * blocks tasks instead of one.
 """
 
 from __future__ import annotations
@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from .sets import keep_last
 
 
-def pair_correlations(panel: DataFrame, x: str, least: int) -> DataFrame:
+def pair_correlations(panel: DataFrame, x: str, least: int, blocks: int = 8) -> DataFrame:
     """(i, j, corr, n) for i < j: Pearson over the days on which both have a value.
 
-    Each day's values become one sorted array, and the pairs of a day come out of it inside a row;
-    the sums are combined before the only shuffle, on (i, j).
+    A day's entities are dealt into ``blocks`` by hash, and each two blocks of a day meet in a task of their
+    own: an equi-join on (day, block, block). The sums are combined before the only other shuffle, on (i, j).
     """
-    rows = panel.where(F.col(x).isNotNull()).groupBy("day").agg(F.sort_array(F.collect_list(F.struct(F.col("code").alias("c"), F.col(x).cast("double").alias("x")))).alias("__all"))
-    left = rows.select("__all", F.posexplode("__all").alias("__p", "a"))
-    pairs = left.select(F.col("a.c").alias("i"), F.col("a.x").alias("x"), F.explode(F.slice("__all", F.col("__p") + 2, F.size("__all"))).alias("b")).select("i", F.col("b.c").alias("j"), "x", F.col("b.x").alias("y"))
+    rows = panel.where(F.col(x).isNotNull()).select("day", "code", F.col(x).cast("double").alias("x"), F.pmod(F.xxhash64("code"), F.lit(blocks)).alias("own"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    left = rows.select("day", F.col("code").alias("i"), "x", F.col("own").alias("bi"), every.alias("bj"))
+    right = rows.select("day", F.col("code").alias("j"), F.col("x").alias("y"), every.alias("bi"), F.col("own").alias("bj"))
+    pairs = left.join(right, ["day", "bi", "bj"]).where("i < j")
     cut = pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"), F.covar_pop("x", "y").alias("c"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"))
     return cut.where((F.col("n") >= least) & (F.col("sx") > 1e-12) & (F.col("sy") > 1e-12)).select("i", "j", (F.col("c") / (F.col("sx") * F.col("sy"))).alias("corr"), "n")
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from .functions import scalar
 from .operators import bars, bitemporal, evaluation, grid, market, network, recursive
-from .plans import registry
+from .plans import metrics, registry
 from .queries import BARS, EVAL, FACTS, GRID, ORDER, QUERIES, SQL, S, day_bars, facts, panel, query, r6, raw_bars, scored, table, w
 from .sources import tables
 from .sources.tables import Catalog, Dataset, scratch
@@ -215,8 +215,8 @@ query("b09_verified_labels", f"{EVAL} SELECT count(*) AS n_checked, count(*) FIL
     lambda spark, d: evaluation.verify_labels(scored(spark, d).withColumn("label", F.col("ret") + F.when(F.col("code") % 5 == 0, 0.01).otherwise(0.0)), "label", F.col("ret"))
 )
 _PCT = "(rank() OVER (PARTITION BY day, {c} IS NULL ORDER BY {c}) + (count(*) OVER (PARTITION BY day, {c}) - 1) / 2.0) / count({c}) OVER (PARTITION BY day)"
-query("b16_blended_ranks", f"{GRID}, p AS (SELECT code, day, CASE WHEN x IS NOT NULL THEN {_PCT.format(c='x')} END AS a, CASE WHEN y IS NOT NULL THEN {_PCT.format(c='y')} END AS b FROM grid) SELECT code, day, round((coalesce(0.7 * a, 0) + coalesce(0.3 * b, 0)) / nullif(CASE WHEN a IS NULL THEN 0 ELSE 0.7 END + CASE WHEN b IS NULL THEN 0 ELSE 0.3 END, 0), 6) + 0.0 AS score FROM p")(
-    lambda spark, d: evaluation.blend_ranks(panel(spark, d), {"x": 0.7, "y": 0.3}).select("code", "day", r6("score").alias("score"))
+query("b16_blended_ranks", f"{GRID}, p AS (SELECT code, day, CASE WHEN x IS NOT NULL THEN {_PCT.format(c='x')} END AS a, CASE WHEN y IS NOT NULL THEN {_PCT.format(c='y')} END AS b FROM grid) SELECT code, day, round((coalesce(0.7 * a, 0) + coalesce(0.3 * b, 0)) / nullif(CASE WHEN a IS NULL THEN 0 ELSE 0.7 END + CASE WHEN b IS NULL THEN 0 ELSE 0.3 END, 0), 9) + 0.0 AS score FROM p")(
+    lambda spark, d: evaluation.blend_ranks(panel(spark, d), {"x": 0.7, "y": 0.3}).select("code", "day", F.round("score", 9).alias("score"))
 )
 query("b16_ridge_blend", f"{EVAL}, k AS (SELECT regr_slope(ret, score) AS s, regr_intercept(ret, score) AS i FROM e) SELECT code, day, round(i + s * score, 6) + 0.0 AS blended FROM ev, k")(lambda spark, d: evaluation.blend_ridge(scored(spark, d), ["score"], "ret", 0.0, "blended").select("code", "day", r6("blended").alias("blended")))
 query("b17_market_risk", "SELECT c_custkey, round(1 / (1 + exp(-(0.5 + 0.001 * c_acctbal))), 6) + 0.0 AS risk FROM customer")(lambda spark, d: recursive.market_risk(table(spark, d, "customer"), {"c_acctbal": 0.001}, 0.5).select("c_custkey", r6("risk").alias("risk")))
@@ -330,6 +330,31 @@ query("u09_market_fields", f"WITH {FACTS} SELECT day, count(*) AS n, CAST(sum(ce
     lambda spark, d: market.fields(facts(spark, d), {"n": F.count(F.lit(1)), "cents": F.sum("cents"), "vol": F.sum("vol"), "mean_log": F.round(F.avg(F.log(F.col("cents") + 10.0)), 6), "spread": F.round(F.stddev_pop(F.log(F.col("cents") + 10.0)), 6), "n_errors": F.count_if(F.col("errors") > 0), "median_vol": F.round(F.percentile(F.col("vol").cast("double"), 0.5), 6)})
 )
 
+
+
+# --- registered metrics ------------------------------------------------------------------------
+
+_M = {
+    "reversal": "(x - lag(x, 5) OVER o)", "to_high": "CASE WHEN n >= 10 AND count(x) OVER w10 = 10 THEN x / max(x) OVER w10 - 1 END", "from_low": "CASE WHEN n >= 10 AND count(x) OVER w10 = 10 THEN x / min(x) OVER w10 - 1 END",
+    "vol_ratio": "CASE WHEN n >= 10 AND count(v) OVER w5 >= 2 AND count(v) OVER w10 >= 5 AND avg(v) OVER w10 > 0 THEN avg(v) OVER w5 / avg(v) OVER w10 END", "vol_stability": "CASE WHEN n >= 10 AND count(v) OVER w10 >= 5 THEN stddev_pop(v) OVER w10 END",
+    "acceleration": "(x - lag(x, 3) OVER o) - (x - lag(x, 8) OVER o)", "error_share": "CASE WHEN n >= 5 AND count(v) OVER w5 >= 3 AND sum(v) OVER w5 > 0 THEN sum(e) OVER w5 / sum(v) OVER w5 END",
+}
+_METRICS_SQL = f"""{GRID}, b AS (SELECT code, day, n, x, CAST(vol AS DOUBLE) AS v, CAST(errors AS DOUBLE) AS e FROM grid)
+SELECT code, day, {", ".join(f"round({sql}, 6) + 0.0 AS {name}" for name, sql in _M.items())} FROM b
+WINDOW o AS (PARTITION BY code ORDER BY day), w5 AS (PARTITION BY code ORDER BY day ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), w10 AS (PARTITION BY code ORDER BY day ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"""
+
+
+def _metrics(spark, d):
+    rows = panel(spark, d).select("code", "day", "x", F.col("vol").cast("double").alias("v"), F.col("errors").cast("double").alias("e"))
+    specs = [
+        ("reversal", "difference", {"x": "x", "n": 5}), ("to_high", "to_high", {"x": "x", "n": 10}), ("from_low", "from_low", {"x": "x", "n": 10}), ("vol_ratio", "mean_ratio", {"x": "v", "short": 5, "long": 10, "least": (2, 5)}),
+        ("vol_stability", "deviation", {"x": "v", "n": 10, "least": 5}), ("acceleration", "acceleration", {"x": "x", "short": 3, "long": 8}), ("error_share", "sum_ratio", {"x": "e", "y": "v", "n": 5, "least": 3}),
+    ]
+    return metrics.together(rows, specs).select("code", "day", *[r6(n).alias(n) for n, _, _ in specs])
+
+
+query("u09_metrics_together", _METRICS_SQL)(_metrics)
+
 #: Queries whose tables were cut; these run over whole ones in their place, with the SQL without the cut.
 NETWORK = [("code < 40 AND ", "")]
 SPANS = [("o_custkey % 100 AS code", "o_custkey AS code"), (" WHERE o_orderkey % 10 = 0", "")]

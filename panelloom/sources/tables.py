@@ -161,12 +161,16 @@ def check_contract(df: DataFrame, contract: StructType) -> DataFrame:
     return df
 
 
-def write_partitions(df: DataFrame, path: str, partition: str = "year", sort_by: list[str] = ()) -> None:
+def write_partitions(df: DataFrame, path: str, partition: str = "year", sort_by: list[str] = (), parts: int = 8) -> None:
     """Replace the partitions that ``df`` holds and leave the others; files are sorted inside.
 
-    The output committer moves whole partitions in when the job is done.
+    A partition value's rows are dealt to ``parts`` tasks, by ranges of the sort columns where there are any, so
+    a large year is not one task. The output committer moves whole partitions in when the job is done.
     """
-    dealt = df.repartition(partition) if not sort_by else df.repartition(partition).sortWithinPartitions(partition, *sort_by)
+    if sort_by:
+        dealt = df.repartitionByRange(parts * df.sparkSession.sparkContext.defaultParallelism, partition, *sort_by).sortWithinPartitions(partition, *sort_by)
+    else:
+        dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(parts))).repartition(partition, "__salt").drop("__salt")
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition).parquet(path)
 
 
