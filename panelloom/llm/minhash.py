@@ -267,21 +267,26 @@ def prefix_pairs(rows: DataFrame, own: DataFrame, labels: DataFrame, similarity:
     """
     part = similarity / (1 + similarity)  # of both sizes, what a similar pair shares
     reps = rows.select("rep", "size", "common", "label", "pivot", "pivot_id").distinct()
-    heads = reps.select("pivot_id").distinct().join(own.withColumnRenamed("id", "pivot_id"), "pivot_id").join(labels.select(F.col("id").alias("pivot_id"), F.col("label").alias("head_label")), "pivot_id")
-    met = reps.join(heads.select("pivot_id", "head_label", F.col("elements").alias("head")), "pivot_id").join(own.withColumnRenamed("id", "rep"), "rep")
-    alike = F.col("pivot") / (F.col("size") + F.size("head") - F.col("pivot"))
-    outside = F.col("label") != F.col("head_label")
-    differ = F.concat(F.array_except("elements", "head"), F.transform(F.array_except("head", "elements"), lambda e: F.bitwise_not(e)))
+    heads = reps.select(F.col("pivot_id").alias("id")).distinct().join(own, "id").join(labels, "id").select(F.col("id").alias("pivot_id"), F.size("elements").alias("n_head"), F.col("label").alias("head_label"))
+    alike = F.col("pivot") / (F.col("size") + F.col("n_head") - F.col("pivot"))
+    met = reps.join(heads, "pivot_id").withColumns({"alike": alike, "outside": F.col("label") != F.col("head_label")}).drop("head_label")
     # the least number of differences that a row shares with a similar row outside, or anywhere
-    with_outside = F.floor((1 - part) * F.size("head") - F.col("pivot") + part * F.col("size") - 1e-9) + 1
-    with_any = F.ceil(part * (F.col("size") + F.size("head")) - F.col("pivot") - 1e-9)
+    with_outside = F.floor((1 - part) * F.col("n_head") - F.col("pivot") + part * F.col("size") - 1e-9) + 1
+    with_any = F.when(F.col("outside"), F.ceil(part * (F.col("size") + F.col("n_head")) - F.col("pivot") - 1e-9)).otherwise(with_outside)
+    near = met.where("alike >= 0.5").withColumns({"by": F.lit(0), "far": F.lit(False), "n_set": F.col("size") + F.col("n_head") - 2 * F.col("pivot"), "need": F.greatest(with_outside, F.lit(1)), "any_need": F.greatest(with_any, F.lit(1))})
+    # what a row lacks of the pivot others may lack, too; of what it has besides, only what others have is shared
+    near = near.withColumn("sharable", F.col("n_head") - F.col("pivot") + F.greatest(F.col("common") - F.col("pivot"), F.lit(0))).where(F.least("need", "any_need") <= F.col("sharable"))
+    inner = near.where(~F.col("outside") & (F.col("need") <= F.col("sharable"))).select("pivot_id", F.lit(True).alias("inner")).distinct()
+    near = near.join(inner, "pivot_id", "left").where((F.col("need") <= F.col("sharable")) | F.col("outside") & F.col("inner")).drop("sharable", "inner")
     own_need = F.ceil(similarity * F.col("size") - 1e-9)
-    near = met.where(alike >= 0.5).select(*reps.columns, outside.alias("outside"), F.lit(False).alias("far"), F.lit(0).alias("by"), differ.alias("set"), with_outside.alias("need"), F.when(outside, with_any).otherwise(with_outside).alias("any_need"))
     # rows less alike only matter where some row is unlike
-    sizes = reps.join(heads.select("pivot_id", F.size("elements").alias("n_head")), "pivot_id")
-    unlike = sizes.where(F.col("pivot") < 0.5 * (F.col("size") + F.col("n_head") - F.col("pivot"))).select("pivot_id").distinct()
-    plain = met.join(unlike, "pivot_id", "left_semi").where(alike <= 0.5 + similarity / 4 + 1e-9).select(*reps.columns, F.lit(True).alias("outside"), (alike < 0.5).alias("far"), F.lit(1).alias("by"), F.col("elements").alias("set"), own_need.alias("need"), own_need.alias("any_need"))
-    sets = near.unionByName(plain).withColumns({"n_set": F.size("set"), "need": F.greatest("need", F.lit(1)), "any_need": F.greatest("any_need", F.lit(1))})
+    plain = met.where(F.col("alike") <= 0.5 + similarity / 4 + 1e-9).join(met.where("alike < 0.5").select("pivot_id").distinct(), "pivot_id", "left_semi")
+    plain = plain.withColumns({"by": F.lit(1), "far": F.col("alike") < 0.5, "outside": F.lit(True), "n_set": F.col("size"), "need": own_need, "any_need": own_need})
+    both = near.unionByName(plain)
+    mixed = both.groupBy("pivot_id", "by").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("pivot_id", "by")
+    both = both.join(mixed, ["pivot_id", "by"], "left_semi").join(own.select(F.col("id").alias("rep"), "elements"), "rep").join(own.select(F.col("id").alias("pivot_id"), F.col("elements").alias("head")), "pivot_id")
+    differ = F.concat(F.array_except("elements", "head"), F.transform(F.array_except("head", "elements"), lambda e: F.bitwise_not(e)))
+    sets = both.withColumn("set", F.when(F.col("by") == 0, differ).otherwise(F.col("elements"))).drop("elements", "head", "alike", "n_head")
     held = materialize(sets.where(F.least("need", "any_need") <= F.col("n_set")).withColumn("e", F.explode("set")).drop("set"), "minhash-held", files, ELEMENT_GROUP)
     group = ["pivot_id", "by"]
     # elements that the same rows have, those of a passage say, are as good as one: ``who`` tells by whom they are held
@@ -365,7 +370,7 @@ def classified(docs: DataFrame, id: str, text: str, similarity: float, lead_roun
             mixed = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
             rows = materialize(rows.drop("size", "common").join(mixed, "bucket", "left_semi"), "minhash-rest", files)
             open_ = rows.select(F.col("rep").alias("id")).unionByName(rows.select(F.col("pivot_id").alias("id"))).distinct()
-            stats = materialize(extents(own.join(open_, "id", "left_semi")).withColumnRenamed("id", "rep"), "minhash-extents", files)
+            stats = materialize(extents(own.join(open_, "id", "left_semi")).withColumnRenamed("id", "rep"), "minhash-extents", many)
             rows = rows.join(stats, "rep").where(F.col("common") >= similarity * F.col("size") - 1e-9)
     of_rep = copies.select("key", "first", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", "first", F.coalesce("label", "rep").alias("label"))
     if reused:
