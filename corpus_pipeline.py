@@ -2,6 +2,10 @@
 
 Each stage reads what the one before it kept, written as Parquet. All but the last return the columns of
 ``documents``; the last returns the ids of each text's pieces.
+
+Defined cases: an empty table passes every stage empty. Rows with a null or empty text fail the quality rules. Rows
+without an id are kept as rows of their own by the near-duplicate stage and go by their own text in the others. Of repeated rows one
+stays; of several texts under one id each is judged by itself. Other columns, of whatever name, are carried to the last stage.
 """
 
 from __future__ import annotations
