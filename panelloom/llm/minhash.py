@@ -26,6 +26,7 @@ end the job with Spark's cast error); columns of any name may stand beside; an e
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -43,6 +44,8 @@ _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np
 CACHE_WORDS = 200_000
 #: Row groups of the tables of elements: few long texts may hold most elements, and readers split at these.
 ELEMENT_GROUP = 4_000_000
+#: Steps of size for each factor 1/similarity in the bounds on partners.
+SIZE_STEPS = 2
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -252,6 +255,24 @@ def may_reach(similarity: float, one: str, two: str) -> Column:
     return most >= similarity * (at(one, "size") + at(two, "size") - most) - 1e-9
 
 
+def partners_by_size(met: DataFrame, similarity: float) -> DataFrame:
+    """``met`` with bounds over the rows of its pivot whose sizes allow similarity, those ``outside`` (out_) and the others (in_).
+
+    The bounds are the most that such a row has in common with any, shares with the pivot, has in common besides and has of the
+    pivot over its part of a similar pair (over), the highest likeness and the least size. They are NULL where there is no such
+    row. Sizes are told in ``SIZE_STEPS`` steps for each factor 1/similarity, so a row's partners are at most that many steps away.
+    """
+    part = similarity / (1 + similarity)
+    step = math.log(1 / similarity) / SIZE_STEPS + 1e-6  # a little wider, so that rounding puts no partner a step too far
+    met = met.withColumn("step", F.floor(F.log("size") / step))
+    best = {"common": F.max("common"), "pivot": F.max("pivot"), "beside": F.max("beside"), "alike": F.max("alike"), "over": F.max(F.col("pivot") - part * F.col("size")), "size": F.min("size")}
+    own = met.groupBy("pivot_id", "outside", "step").agg(*[how.alias(c) for c, how in best.items()])
+    around = own.withColumn("step", F.explode(F.sequence(F.col("step") - SIZE_STEPS, F.col("step") + SIZE_STEPS)))
+    sides = {"out": F.col("outside"), "in": ~F.col("outside")}
+    bounds = [(F.min if c == "size" else F.max)(F.when(of, F.col(c))).alias(f"{side}_{c}") for side, of in sides.items() for c in best]
+    return met.join(around.groupBy("pivot_id", "step").agg(*bounds), ["pivot_id", "step"]).drop("step")
+
+
 def prefix_pairs(rows: DataFrame, own: DataFrame, labels: DataFrame, similarity: float, files: int | None = None) -> DataFrame:
     """(a, b) of all rows with one pivot, but of different labels, that can be similar, met at rare elements. None is lost.
 
@@ -261,8 +282,9 @@ def prefix_pairs(rows: DataFrame, own: DataFrame, labels: DataFrame, similarity:
 
     Rows much like their pivot P are compared by what they differ in from it: what they lack of it and what
     they have besides. Two rows share |a in P| + |b in P| - |P| elements plus the differences they share, so
-    those that are similar must share many; and at most one of the two is similar to P itself, which says how
-    many at least. By the triangle inequality of Jaccard distances the partner of a row that is unlike P
+    those that are similar must share many; and at most one of the two is similar to P itself. The rows of a
+    like size (``partners_by_size``) say how many at least, and rows without a possible partner go before
+    their elements are told. By the triangle inequality of Jaccard distances the partner of a row that is unlike P
     (under 0.5) is not very similar to it either; such pairs are compared by their own elements.
     """
     part = similarity / (1 + similarity)  # of both sizes, what a similar pair shares
@@ -270,32 +292,43 @@ def prefix_pairs(rows: DataFrame, own: DataFrame, labels: DataFrame, similarity:
     heads = reps.select(F.col("pivot_id").alias("id")).distinct().join(own, "id").join(labels, "id").select(F.col("id").alias("pivot_id"), F.size("elements").alias("n_head"), F.col("label").alias("head_label"))
     alike = F.col("pivot") / (F.col("size") + F.col("n_head") - F.col("pivot"))
     met = reps.join(heads, "pivot_id").withColumns({"alike": alike, "outside": F.col("label") != F.col("head_label")}).drop("head_label")
-    # the least number of differences that a row shares with a similar row outside, or anywhere
-    with_outside = F.floor((1 - part) * F.col("n_head") - F.col("pivot") + part * F.col("size") - 1e-9) + 1
-    with_any = F.when(F.col("outside"), F.ceil(part * (F.col("size") + F.col("n_head")) - F.col("pivot") - 1e-9)).otherwise(with_outside)
-    near = met.where("alike >= 0.5").withColumns({"by": F.lit(0), "far": F.lit(False), "n_set": F.col("size") + F.col("n_head") - 2 * F.col("pivot"), "need": F.greatest(with_outside, F.lit(1)), "any_need": F.greatest(with_any, F.lit(1))})
-    # what a row lacks of the pivot others may lack, too; of what it has besides, only what others have is shared
-    near = near.withColumn("sharable", F.col("n_head") - F.col("pivot") + F.greatest(F.col("common") - F.col("pivot"), F.lit(0))).where(F.least("need", "any_need") <= F.col("sharable"))
-    inner = near.where(~F.col("outside") & (F.col("need") <= F.col("sharable"))).select("pivot_id", F.lit(True).alias("inner")).distinct()
-    near = near.join(inner, "pivot_id", "left").where((F.col("need") <= F.col("sharable")) | F.col("outside") & F.col("inner")).drop("sharable", "inner")
+    met = met.withColumn("beside", F.greatest(F.col("common") - F.col("pivot"), F.lit(0)))
+    sized = partners_by_size(met.where("alike >= 0.5"), similarity)
+    sharable = F.col("n_head") - F.col("pivot") + F.col("beside")  # what a row lacks of P others may lack, too
+    near = sized.withColumns({"by": F.lit(0), "far": F.lit(False), "n_set": F.col("size") + F.col("n_head") - 2 * F.col("pivot")})
+    # the least number of differences that a row shares with a similar row outside, or inside, if such a row may be
+    least = {}
+    for side in ("out", "in"):
+        most = F.least("common", f"{side}_common", F.least("pivot", f"{side}_pivot") + F.least("beside", f"{side}_beside"))
+        reaches = most >= part * (F.col("size") + F.greatest(F.col(f"{side}_size"), similarity * F.col("size"))) - 1e-9
+        shares = F.greatest(F.ceil(part * F.col("size") - F.col("pivot") + F.col("n_head") - F.col(f"{side}_over") - 1e-9), F.lit(1))
+        least[side] = F.when(F.col(f"{side}_size").isNotNull() & reaches & (shares <= sharable), shares).otherwise(F.col("n_set") + 1)
+    near = near.withColumns({"need": least["out"], "any_need": F.when(F.col("outside"), least["in"]).otherwise(least["out"])})
+    near = near.where(F.least("need", "any_need") <= F.col("n_set")).select(*met.columns, "by", "far", "n_set", "need", "any_need")
     own_need = F.ceil(similarity * F.col("size") - 1e-9)
-    # rows less alike only matter where some row is unlike
-    plain = met.where(F.col("alike") <= 0.5 + similarity / 4 + 1e-9).join(met.where("alike < 0.5").select("pivot_id").distinct(), "pivot_id", "left_semi")
+    # rows less alike only matter where some row of a like size is unlike
+    unlike = partners_by_size(met.where(F.col("alike") <= 1.5 - similarity + 1e-9).withColumn("outside", F.col("alike") < 0.5), similarity)
+    reaches = F.least("common", "out_common") >= part * (F.col("size") + F.greatest("out_size", similarity * F.col("size"))) - 1e-9
+    plain = unlike.where((F.col("alike") <= F.col("out_alike") + 1 - similarity + 1e-9) & reaches).select(*met.columns)
     plain = plain.withColumns({"by": F.lit(1), "far": F.col("alike") < 0.5, "outside": F.lit(True), "n_set": F.col("size"), "need": own_need, "any_need": own_need})
     both = near.unionByName(plain)
     mixed = both.groupBy("pivot_id", "by").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("pivot_id", "by")
     both = both.join(mixed, ["pivot_id", "by"], "left_semi").join(own.select(F.col("id").alias("rep"), "elements"), "rep").join(own.select(F.col("id").alias("pivot_id"), F.col("elements").alias("head")), "pivot_id")
     differ = F.concat(F.array_except("elements", "head"), F.transform(F.array_except("head", "elements"), lambda e: F.bitwise_not(e)))
-    sets = both.withColumn("set", F.when(F.col("by") == 0, differ).otherwise(F.col("elements"))).drop("elements", "head", "alike", "n_head")
+    sets = both.withColumn("set", F.when(F.col("by") == 0, differ).otherwise(F.col("elements"))).drop("elements", "head", "alike", "n_head", "beside")
     held = materialize(sets.where(F.least("need", "any_need") <= F.col("n_set")).withColumn("e", F.explode("set")).drop("set"), "minhash-held", files, ELEMENT_GROUP)
     group = ["pivot_id", "by"]
-    # elements that the same rows have, those of a passage say, are as good as one: ``who`` tells by whom they are held
-    rarity = held.groupBy(*group, "e").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("who")).where("n > 1")
+    # rows of one label are never compared, so an element that only such rows have (one row, say) meets nobody
+    holders = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("who"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("mark"), F.min("label").alias("low"), F.max("label").alias("high")]
+    mixed_elements = held.groupBy(*group, "e").agg(*holders).where("low < high")
+    # elements that the same rows have, those of a passage say, are as good as one: it is looked up for all ``m`` of them
+    alike_held = mixed_elements.groupBy(*group, "n", "who", "mark").agg(F.min("e").alias("e"), F.count(F.lit(1)).alias("m"))
     row = Window.partitionBy(*group, "rep")
-    # what no other row has comes first in each row's order, and meets nobody
-    ranked = held.join(rarity, [*group, "e"]).withColumn("place", F.col("n_set") - F.count(F.lit(1)).over(row) + F.row_number().over(row.orderBy("n", "e")))
+    up_to = F.sum("m").over(row.orderBy("n", "who", "mark").rowsBetween(Window.unboundedPreceding, 0))
+    # ``place`` is that of the first of the ``m``; elements that meet nobody come first in each row's order
+    ranked = held.join(alike_held, [*group, "e"]).withColumn("place", F.col("n_set") - F.sum("m").over(row) + up_to - F.col("m") + 1)
     first = ranked.where(F.col("place") <= F.col("n_set") - F.least("need", "any_need") + 1).withColumn("early", F.col("place") <= F.col("n_set") - F.col("need") + 1)
-    first = materialize(first.groupBy(*reps.columns, "by", "who").agg(F.any_value("outside").alias("outside"), F.any_value("far").alias("far"), F.bool_or("early").alias("early")), "minhash-prefixes", files)
+    first = materialize(first.select(*reps.columns, "by", "who", "outside", "far", "early"), "minhash-prefixes", files)
     one, two = first.alias("one"), first.alias("two")
     at = lambda c: (F.col(f"one.{c}"), F.col(f"two.{c}"))
     equal = (F.col("one.pivot_id") == F.col("two.pivot_id")) & (F.col("one.by") == F.col("two.by")) & (F.col("one.who") == F.col("two.who"))
