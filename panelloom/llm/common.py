@@ -88,7 +88,7 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def portions(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1_000_000, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes, and at most ``rows`` rows, in each piece."""
     for batch in batches:
         if not batch.num_rows:
