@@ -28,7 +28,8 @@ def test_hot_buckets_of_unlike_documents(docs_of):
     assert 5 < len(set(want.values())) < 90
 
 
-def test_prefix_pairs_hold_all_similar_pairs(spark):
+@pytest.mark.parametrize("similarity", [0.8, 0.6, 0.9])
+def test_prefix_pairs_hold_all_similar_pairs(spark, similarity):
     """Groups around pivots, of rows near and far: all similar pairs of different labels are among those met, and few others."""
     r = random.Random(3)
     sets, group, heads = [], [], []
@@ -45,7 +46,7 @@ def test_prefix_pairs_hold_all_similar_pairs(spark):
             sets.append(set(kept + more) or {g})
             group.append(heads[g])
     jaccard = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
-    label = [group[i] if jaccard(i, group[i]) >= 0.8 else i for i in range(len(sets))]
+    label = [group[i] if jaccard(i, group[i]) >= similarity else i for i in range(len(sets))]
     counts = {}
     for s in sets:
         for e in s:
@@ -54,10 +55,11 @@ def test_prefix_pairs_hold_all_similar_pairs(spark):
     labels = spark.createDataFrame(list(enumerate(label)), "id long, label long")
     rows = [(i, len(s), sum(counts[e] > 1 for e in s), label[i], len(s & sets[group[i]]), group[i]) for i, s in enumerate(sets) if i not in heads]
     rows = spark.createDataFrame(rows, "rep long, size long, common long, label long, pivot long, pivot_id long")
-    got = {(x.a, x.b) for x in minhash.prefix_pairs(rows, own, labels, 0.8).collect()}
+    got = {(x.a, x.b) for x in minhash.prefix_pairs(rows, own, labels, similarity).collect()}
     every = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if group[i] == group[j] and label[i] != label[j] and not {i, j} & set(heads)}
-    want = {(i, j) for i, j in every if jaccard(i, j) >= 0.8}
-    assert len(want) > 100 and want <= got <= every and len(got) < len(every) / 2
+    want = {(i, j) for i, j in every if jaccard(i, j) >= similarity}
+    assert len(want) > 50 and want <= got <= every
+    assert similarity < 0.8 or len(got) < len(every) / 2
 
 
 def test_clashing_columns(spark, docs_of):
