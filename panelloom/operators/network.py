@@ -1,31 +1,197 @@
 """Correlation graphs of entities, their neighbours and centralities.
 
-Pairs are of entities, not of rows: with C entities on T days the pair table has C * C / 2 groups, whose
-moments are summed in a map-side aggregate. Both sides are split by hash of the entity, so a day's rows meet
-in blocks * blocks tasks instead of one.
+Pairs are of entities, not of rows: with C entities on T days there are C * C / 2 pairs of T days each. The
+pairs' days do not leave the task that makes them: entities are packed into chunks, each two chunks meet in one task,
+and their moments are products of matrices.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sets import keep_last
 
+#: Of a chunk: entities, and values unless one entity has more. Rows of a tile and days that are dense at once; rows of a batch.
+CODES, VALUES, BAND, DAYS, BATCH = 2048, 1 << 18, 256, 512, 1 << 17
+
+
+def _pack(rows: DataFrame, blocks: int) -> DataFrame:
+    """Chunks of whole entities, sorted by code, in ``blocks`` partitions: (block, codes, runs, days, xs); ``xs`` without the entity's mean."""
+    code, day = (rows.schema[c].dataType.simpleString() for c in ("code", "day"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chunk(t: pa.Table) -> pa.RecordBatch:
+            codes, x = t["code"].combine_chunks(), t["x"].to_numpy()
+            starts = _starts(codes)
+            runs = np.diff(np.append(starts, len(x)))
+            x = x - np.repeat(np.add.reduceat(x, starts) / runs, runs)
+            columns = [codes.take(pa.array(starts)), pa.array(runs, pa.int32()), t["day"].combine_chunks(), pa.array(x)]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+            return pa.RecordBatch.from_arrays([t["block"].combine_chunks()[:1], *lists], ["block", "codes", "runs", "days", "xs"])
+
+        kept = None
+        for b in batches:
+            kept = pa.Table.from_batches([b]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([b])])
+            while len(kept):
+                starts = _starts(kept["code"].combine_chunks())  # the last entity may go on in the next batch
+                n = min(CODES, max(1, int(np.searchsorted(starts, VALUES, "right")) - 1))
+                if n >= len(starts):
+                    break
+                yield chunk(kept.slice(0, starts[n]))
+                kept = kept.slice(starts[n])
+        if kept is not None and len(kept):
+            yield chunk(kept)
+
+    dealt = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("code")
+    packed = dealt.mapInArrow(run, f"block int, codes array<{code}>, runs array<int>, days array<{day}>, xs array<double>")
+    return packed.repartitionById(blocks, F.col("block"))  # read by many tasks, packed once
+
+
+def _starts(codes: pa.Array) -> np.ndarray:
+    """Where a new code begins."""
+    new = pc.not_equal(codes[1:], codes[:-1]).to_numpy(zero_copy_only=False)
+    return np.append(0, np.flatnonzero(new) + 1)
+
+
+class _Side:
+    """One chunk of a tile; ``days`` numbers the days that both have, -1 for others."""
+
+    def __init__(self, runs: np.ndarray, days: np.ndarray, x: np.ndarray):
+        keep = days >= 0
+        self.size, self.rows, self.days, self.x = len(runs), np.repeat(np.arange(len(runs)), runs)[keep], days[keep], x[keep]
+
+    def dense(self, first: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each entity and day: how many values, their mean, and the sum of squares around it (0 unless a day has several)."""
+        at = (self.days >= first) & (self.days < first + width)
+        flat, x = self.rows[at] * width + self.days[at] - first, self.x[at]
+        count = np.bincount(flat, minlength=self.size * width).astype(float)
+        mean = np.bincount(flat, x, self.size * width) / np.maximum(count, 1)
+        around = np.bincount(flat, (x - mean[flat]) ** 2, self.size * width)
+        return tuple(a.reshape(self.size, width) for a in (count, mean, around))
+
+
+def _refined(a: _Side, b: _Side, total: int, p: np.ndarray, q: np.ndarray, n: np.ndarray, mx: np.ndarray, my: np.ndarray) -> tuple:
+    """Variances and covariances of single pairs around their own means; a constant has none at all."""
+    vx, vy, c = np.zeros(len(p)), np.zeros(len(p)), np.zeros(len(p))
+    lows, highs = np.full((2, len(p)), np.inf), np.full((2, len(p)), -np.inf)
+    within = np.zeros((2, len(p)))
+    for first in range(0, total, DAYS):
+        width = min(DAYS, total - first)
+        da, db = a.dense(first, width), b.dense(first, width)
+        for s in range(0, len(p), 1024):
+            k = slice(s, s + 1024)
+            (cx, x, wx), (cy, y, wy) = (m[p[k]] for m in da), (m[q[k]] for m in db)
+            both = (cx > 0) & (cy > 0)
+            u, v = x - mx[k, None], y - my[k, None]
+            vx[k] += (cy * (wx + cx * u * u)).sum(1)
+            vy[k] += (cx * (wy + cy * v * v)).sum(1)
+            c[k] += (cx * u * cy * v).sum(1)
+            within[0, k] += (cy * wx).sum(1)
+            within[1, k] += (cx * wy).sum(1)
+            for m, own in enumerate((x, y)):
+                lows[m, k] = np.minimum(lows[m, k], np.where(both, own, np.inf).min(1))
+                highs[m, k] = np.maximum(highs[m, k], np.where(both, own, -np.inf).max(1))
+    flat = (lows == highs) & (within == 0)
+    return np.where(flat[0], 0, vx / n), np.where(flat[1], 0, vy / n), c / n
+
+
+def _tile(left: tuple, right: tuple, same: bool, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(corr, n, ranks of the left codes, of the right codes); corr is NaN where there is no pair, or its other order is the one that counts."""
+    (lc, lr, ld, lx), (rc, rr, rd, rx) = left, right
+    ranks = np.empty(len(lc) + len(rc), np.int64)
+    ordered = pa.concat_arrays([lc, rc]).dictionary_encode()
+    by_value = np.empty(len(ordered.dictionary), np.int64)
+    by_value[pc.array_sort_indices(ordered.dictionary).to_numpy()] = np.arange(len(by_value))
+    ranks[:] = by_value[ordered.indices.to_numpy()]
+    ri, rj = ranks[: len(lc)], ranks[len(lc) :]
+    days = pa.concat_arrays([ld, rd]).dictionary_encode()
+    at = days.indices.to_numpy()
+    common = np.zeros((2, len(days.dictionary)), bool)
+    common[0, at[: len(ld)]] = common[1, at[len(ld) :]] = True
+    common = common.all(0)
+    total = int(common.sum())
+    number = np.where(common, np.cumsum(common) - 1, -1)[at]
+    a, b = _Side(lr, number[: len(ld)], lx), _Side(rr, number[len(ld) :], rx)
+    corr, n = np.full((a.size, b.size), np.nan), np.zeros((a.size, b.size), np.int32)
+    slices = [(first, min(DAYS, total - first)) for first in range(0, total, DAYS)]
+    held = [(a.dense(*s), b.dense(*s)) for s in slices] if len(slices) == 1 else None
+    for s in range(0, a.size, BAND):
+        band = slice(s, s + BAND)
+        size = len(ri[band])
+        cut = np.zeros((6, size, b.size))
+        for each in slices:
+            (cx, x, wx), (cy, y, wy) = held[0] if held else (a.dense(*each), b.dense(*each))
+            cx, x, wx = cx[band], x[band], wx[band]
+            sx, sy = cx * x, cy * y
+            for m, (u, v) in enumerate(((cx, cy), (sx, cy), (cx, sy), (wx + sx * x, cy), (cx, wy + sy * y), (sx, sy))):
+                cut[m] += u @ v.T
+        count, sx, sy, sxx, syy, sxy = cut
+        some = np.maximum(count, 1)
+        for m in (sx, sy, sxx, syy, sxy):
+            m /= some
+        vx, vy, c = sxx - sx * sx, syy - sy * sy, sxy - sx * sy
+        asked = count >= least
+        if same:
+            asked &= ri[band, None] < rj[None, :]
+        weak = asked & ((vx < 1e-3 * sxx) | (vy < 1e-3 * syy))  # digits were lost
+        if weak.any():
+            p, q = np.nonzero(weak)
+            vx[weak], vy[weak], c[weak] = _refined(a, b, total, p + s, q, count[weak], sx[weak], sy[weak])
+        dx, dy = np.sqrt(np.maximum(vx, 0)), np.sqrt(np.maximum(vy, 0))
+        asked &= (dx > 1e-12) & (dy > 1e-12)
+        np.divide(c, dx * dy, out=corr[band], where=asked)
+        n[band] = count
+    return corr, n, ri, rj
+
+
+def _tiles(panel: DataFrame, x: str, blocks: int, run, schema: str) -> DataFrame:
+    """``run`` (codes, codes, same block) over each two chunks, once for each two blocks.
+
+    All of the shuffle is the panel itself, twice: a Cartesian product reads the chunks of two partitions, it writes none.
+    """
+    value = F.col(x).cast("double")
+    fit = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")) & F.col("day").isNotNull() & F.col("code").isNotNull()
+    rows = panel.where(fit).select("day", "code", value.alias("x"), F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int").alias("block"))
+    packed = _pack(rows, blocks)
+    left, right = (packed.select(*[F.col(c).alias(f"{c}_{side}") for c in packed.columns]) for side in "lr")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sides = {}
+            for k in range(b.num_rows):
+                for side in "lr":
+                    codes, runs, days, xs = (b.column(f"{c}_{side}")[k].values for c in ("codes", "runs", "days", "xs"))
+                    sides[side] = codes, runs.to_numpy(), days, xs.to_numpy()
+                yield from run(sides["l"], sides["r"], b.column("block_l")[k].as_py() == b.column("block_r")[k].as_py())
+
+    return left.join(right.hint("shuffle_replicate_nl"), F.col("block_l") <= F.col("block_r")).mapInArrow(each, schema)
+
 
 def pair_correlations(panel: DataFrame, x: str, least: int, blocks: int = 8) -> DataFrame:
-    """(i, j, corr, n) for i < j: Pearson over the days on which both have a value.
+    """(i, j, corr, n) for i < j: Pearson over the days on which both have a value; NaN and infinities count as missing.
 
-    A day's entities are dealt into ``blocks`` by hash, and each two blocks of a day meet in a task of their
-    own: an equi-join on (day, block, block). The sums are combined before the only other shuffle, on (i, j).
+    Entities are dealt into ``blocks`` by hash, and each two blocks meet in a task of their own.
     """
-    rows = panel.where(F.col(x).isNotNull()).select("day", "code", F.col(x).cast("double").alias("x"), F.pmod(F.xxhash64("code"), F.lit(blocks)).alias("own"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    left = rows.select("day", F.col("code").alias("i"), "x", F.col("own").alias("bi"), every.alias("bj"))
-    right = rows.select("day", F.col("code").alias("j"), F.col("x").alias("y"), every.alias("bi"), F.col("own").alias("bj"))
-    pairs = left.join(right, ["day", "bi", "bj"]).where("i < j")
-    cut = pairs.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"), F.covar_pop("x", "y").alias("c"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"))
-    return cut.where((F.col("n") >= least) & (F.col("sx") > 1e-12) & (F.col("sy") > 1e-12)).select("i", "j", (F.col("c") / (F.col("sx") * F.col("sy"))).alias("corr"), "n")
+    code = panel.schema["code"].dataType.simpleString()
+
+    def run(left: tuple, right: tuple, same: bool) -> Iterator[pa.RecordBatch]:
+        corr, n, ri, rj = _tile(left, right, same, least)
+        step = max(1, BATCH // corr.shape[1])
+        for s in range(0, len(corr), step):
+            p, q = np.nonzero(~np.isnan(corr[s : s + step]))
+            p += s
+            if len(p):
+                first = pa.array(ri[p] < rj[q])
+                i, j = left[0].take(pa.array(p)), right[0].take(pa.array(q))
+                yield pa.RecordBatch.from_arrays([pc.if_else(first, i, j), pc.if_else(first, j, i), pa.array(corr[p, q]), pa.array(n[p, q], pa.int64())], ["i", "j", "corr", "n"])
+
+    return _tiles(panel, x, blocks, run, f"i {code}, j {code}, corr double, n long")
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
