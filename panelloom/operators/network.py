@@ -1,13 +1,14 @@
 """Correlation graphs of entities, their neighbours and centralities.
 
-Pairs are of entities, not of rows: with C entities on T days there are C * C / 2 pairs of T days each. The
-pairs' days do not leave the task that makes them: entities are packed into chunks, each two chunks meet in one task,
-and their moments are products of matrices.
+Pairs are of entities, not of rows: with C entities on T days there are C * C / 2 pairs of T days each. Neither the
+pairs' days nor, where only the strongest are asked for, the pairs leave the task that makes them: entities are packed
+into chunks, each two chunks meet in one task, and their moments are products of matrices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -200,8 +201,42 @@ def both_ways(pairs: DataFrame) -> DataFrame:
 
 def neighbours(pairs: DataFrame, k: int) -> DataFrame:
     """The k strongest by |corr| of each entity; ties go to the smaller code."""
+    return _places(both_ways(pairs), k)
+
+
+def _places(linked: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("i").orderBy(F.abs(F.round("corr", 9)).desc(), "j")
-    return both_ways(pairs).withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    return linked.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+
+def _nano(c: np.ndarray) -> np.ndarray:
+    """|c| in whole billionths, rounded as Spark's round(c, 9) does: half up in the shortest decimal form."""
+    scaled = np.abs(c) * 1e9
+    out = np.floor(scaled + 0.5).astype(np.int64)
+    for k in np.flatnonzero(np.abs(scaled - np.floor(scaled) - 0.5) < 1e-6):
+        out[k] = int(Decimal(repr(abs(float(c[k])))).scaleb(9).quantize(Decimal(1), ROUND_HALF_UP))
+    return out
+
+
+def nearest(panel: DataFrame, x: str, least: int, k: int, blocks: int = 8) -> DataFrame:
+    """``neighbours`` of ``pair_correlations``, of which a task gives on an entity's k strongest of each chunk only: no other is among its k of all."""
+    code = panel.schema["code"].dataType.simpleString()
+
+    def top(i: pa.Array, j: pa.Array, corr: np.ndarray, ranks: np.ndarray) -> pa.RecordBatch:
+        size = np.where(np.isnan(corr), -1.0, np.abs(corr))
+        bound = np.zeros(len(size)) if size.shape[1] <= k else np.partition(size, -k, axis=1)[:, -k]
+        p, q = np.nonzero((size >= 0) & (size >= bound[:, None] - 2e-9))  # with all that round to the same
+        by = np.lexsort((ranks[q], -_nano(corr[p, q]), p))
+        p, q = p[by], q[by]
+        p, q = (m[np.arange(len(p)) - np.searchsorted(p, p) < k] for m in (p, q))
+        return pa.RecordBatch.from_arrays([i.take(pa.array(p)), j.take(pa.array(q)), pa.array(corr[p, q])], ["i", "j", "corr"])
+
+    def run(left: tuple, right: tuple, same: bool) -> Iterator[pa.RecordBatch]:
+        corr, _, ri, rj = _tile(left, right, same, least)
+        yield top(left[0], right[0], corr, rj)
+        yield top(right[0], left[0], np.ascontiguousarray(corr.T), ri)
+
+    return _places(_tiles(panel, x, blocks, run, f"i {code}, j {code}, corr double"), k)
 
 
 def peer_stats(edges: DataFrame, panel: DataFrame, x: str, least: int = 1) -> DataFrame:

@@ -49,7 +49,7 @@ def events(tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", ["n01_pair_correlations"])
+@pytest.mark.parametrize("name", ["n01_pair_correlations", "n02_neighbours"])
 def test_no_shuffle_of_pairs(spark, large, events, name):
     got = []
     rows = shuffled(spark, lambda: got.extend(queries.queries_more.registered()[0][name](spark, events).collect()))
@@ -90,3 +90,28 @@ def test_pairs_of_odd_series(spark):
     assert ("early", "steps") not in want and ("early", "level") in want
     assert {p: n for p, (_, n) in got.items()} == {p: n for p, (_, n) in want.items()}
     assert all(got[p][0] == pytest.approx(want[p][0], abs=1e-10) for p in want)
+
+
+def test_pairs_of_long_series(spark):
+    """More days than are dense at once, in more chunks than blocks."""
+    panel = spark.range(450 * 600).selectExpr("id div 600 as code", "id % 600 as day", "pmod(xxhash64(id), 1000) / 100.0 as x")
+    want = np.corrcoef(np.array([r.x for r in panel.orderBy("code", "day").collect()], float).reshape(450, 600))
+    got = network.pair_correlations(panel, "x", 10, blocks=1).collect()
+    assert len(got) == 450 * 449 // 2 and {r.n for r in got} == {600}
+    assert max(abs(r.corr - want[r.i, r.j]) for r in got) < 1e-10
+
+
+def test_nearest_with_ties(spark):
+    """Copies tie at 1 within and between chunks: the smaller codes stay, as from the whole pair table."""
+    panel = spark.range(2300 * 12).selectExpr("id div 12 as code", "id % 12 as day", "pmod(xxhash64(id div 12 % 300, id % 12), 1000) / 10.0 as x")
+    got = sorted((r.i, r.j, r.place) for r in network.nearest(panel, "x", 10, 5, blocks=1).collect())
+    want = sorted((r.i, r.j, r.place) for r in network.neighbours(network.pair_correlations(panel, "x", 10, blocks=3), 5).collect())
+    assert got == want and len(got) == 2300 * 5
+    assert [j for i, j, _ in got if i == 2299] == [199, 499, 799, 1099, 1399]
+
+
+def test_rounding_of_ties(spark):
+    """Ties are told in the same digits as Spark's round() does."""
+    c = np.array([0.1234567885, 0.1234567895, -0.9999999995, 0.5000000005, 0.0000000005, 1.0000000000000002, 0.3])
+    want = [round(abs(r.c) * 1e9) for r in spark.createDataFrame([(k, float(v)) for k, v in enumerate(c)], "k int, c double").selectExpr("k", "round(c, 9) as c").orderBy("k").collect()]
+    assert network._nano(c).tolist() == want
