@@ -236,7 +236,7 @@ def nearest(panel: DataFrame, x: str, least: int, k: int, blocks: int = 8) -> Da
         yield top(left[0], right[0], corr, rj)
         yield top(right[0], left[0], np.ascontiguousarray(corr.T), ri)
 
-    return _places(_tiles(panel, x, blocks, run, f"i {code}, j {code}, corr double"), k)
+    return _places(_tiles(panel, x, blocks, run, f"i {code} not null, j {code} not null, corr double"), k)  # no filter of nulls tells uses of one result apart
 
 
 def peer_stats(edges: DataFrame, panel: DataFrame, x: str, least: int = 1) -> DataFrame:

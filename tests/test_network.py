@@ -49,13 +49,20 @@ def events(tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", ["n01_pair_correlations", "n02_neighbours", "n03_peer_stats"])
+@pytest.mark.parametrize("name", ["n01_pair_correlations", "n02_neighbours", "n03_peer_stats", "n04_tightness"])
 def test_no_shuffle_of_pairs(spark, large, events, name):
     got = []
     rows = shuffled(spark, lambda: got.extend(queries.queries_more.registered()[0][name](spark, events).collect()))
     assert got and rows < CODES * (CODES - 1) // 2
 
 
+def test_tiles_once(spark, large, events):
+    """A query that uses the neighbours three times works out the tiles once."""
+    df = queries.queries_more.registered()[0]["n04_tightness"](spark, events)
+    assert df.collect()
+    assert df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("CartesianProduct") == 1
+
+
 def brute(rows, least):
     """{(i, j): (corr, n)} by a loop over pairs."""
     by = {}
