@@ -49,7 +49,7 @@ def events(tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", ["n01_pair_correlations", "n02_neighbours", "n03_peer_stats", "n04_tightness", "n06_donor_beta", "n04_two_hop"])
+@pytest.mark.parametrize("name", ["n01_pair_correlations", "n02_neighbours", "n03_peer_stats", "n04_tightness", "n06_donor_beta", "n04_two_hop", "n05_eigen_centrality"])
 def test_no_shuffle_of_pairs(spark, large, events, name):
     got = []
     rows = shuffled(spark, lambda: got.extend(queries.queries_more.registered()[0][name](spark, events).collect()))
