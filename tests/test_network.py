@@ -64,7 +64,7 @@ def twice(events, tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", ["n03_peer_stats", "n06_donor_beta", "n04_two_hop"])
+@pytest.mark.parametrize("name", ["n03_peer_stats", "n06_donor_beta", "n04_two_hop", "n05_eigen_centrality"])
 def test_shuffle_grows_with_entities(spark, large, events, twice, name):
     """Twice the entities shuffle twice the rows, where pairs would be four times as many; the tiles are worked out once."""
     run = queries.queries_more.registered()[0][name]
