@@ -38,7 +38,7 @@ def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return in_few_files(pieces.encode(docs), docs)
+    return in_few_files(pieces.encode(docs, portion=1_000_000), docs)
 
 
 STAGES = [

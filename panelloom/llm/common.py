@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 _own: dict[str, str] = {}
 #: Longer words are not remembered between batches.
 LONG_WORD = 64
+#: What operators keep in a Python worker from task to task, by owner: that which drops it.
+_warm: dict[str, Callable[[], None]] = {}
 #: Rows of a batch for Python in jobs that write tables.
 BATCH_ROWS = 1_000
 
@@ -104,6 +107,37 @@ def portions(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1_000_
         yield batch.slice(begin)
 
 
+def keep_warm(owner: str, drop: Callable[[], None]) -> None:
+    """``owner`` keeps something in this worker until a task of another operator begins, which calls ``drop``."""
+    _warm[owner] = drop
+
+
+def drop_others(owner: str | None) -> None:
+    for name in [n for n in _warm if n != owner]:
+        _warm.pop(name)()
+
+
+def give_back() -> None:
+    """Free memory of this process goes back to the system; allocators would keep it while the worker is idle."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow in a worker that other operators use, too: it drops what they keep and leaves no free memory behind."""
+
+    def call(batches):
+        drop_others(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return call
+
+
 def ids_of_words(texts: list[list[str]], cache: dict[str, bytes], learn: Callable[[set[str]], None], limit: int) -> list[bytes]:
     """Each text's words replaced by what ``cache`` holds for them, joined; ``learn`` adds what it lacks.
 

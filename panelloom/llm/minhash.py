@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import files_for, materialize, portions, unused
+from .common import files_for, lean, materialize, portions, unused
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 5
 K = BANDS * ROWS
@@ -68,6 +68,11 @@ class _Words(dict):
 _words = _Words()
 
 
+def forget_words() -> None:
+    """For functions that go to workers by value: these would clear a copy of ``_words`` of their own."""
+    _words.clear()
+
+
 def elements(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Elements of all texts in a row, and how many each text has.
 
@@ -190,10 +195,10 @@ def bands_of(docs: DataFrame, id: str, text: str) -> DataFrame:
             lists = _lists(bands.ravel(), sizes)
             lists = pa.ListArray.from_buffers(lists.type, len(lists), [pa.array(has).buffers()[1], lists.buffers()[1]], children=[lists.values]) if not has.all() else lists
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "key", "bands"])
-        _words.clear()  # the worker may serve other operators next
+        forget_words()  # the worker may serve other operators next
 
     t = F.col(text).cast("string")
-    return docs.select(F.col(id).cast("long").alias("id"), F.md5(t).alias("key"), t.alias("text")).mapInArrow(run, "id long, key string, bands array<long>")
+    return docs.select(F.col(id).cast("long").alias("id"), F.md5(t).alias("key"), t.alias("text")).mapInArrow(lean(run), "id long, key string, bands array<long>")
 
 
 def elements_of(docs: DataFrame) -> DataFrame:
@@ -206,9 +211,9 @@ def elements_of(docs: DataFrame) -> DataFrame:
             signed = element.astype(np.int64)
             order = np.lexsort((signed, owner))
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(signed[order], count)], names=["id", "elements"])
-        _words.clear()
+        forget_words()
 
-    return docs.select("id", "text").mapInArrow(run, "id long, elements array<long>")
+    return docs.select("id", "text").mapInArrow(lean(run), "id long, elements array<long>")
 
 
 def components(labels: DataFrame, edges: DataFrame, name: str, files: int | None = None) -> DataFrame:

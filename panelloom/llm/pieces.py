@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ids_of_words, portions
+from .common import ids_of_words, keep_warm, lean, portions
 
 MARK = "▁"
 _BARE = "\ud800"  # no text holds a lone surrogate
@@ -197,19 +197,21 @@ _models: dict[str, PieceModel] = {}
 def model_of(path: str) -> PieceModel:
     if path not in _models:
         _models[path] = PieceModel(path)
+        keep_warm("pieces", _models.clear)
     return _models[path]
 
 
-def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", portion: int = 4_000_000) -> DataFrame:
     """One row per row of ``docs``: id, ids, n_tokens, and round_trip: whether the ids decode to the text.
 
-    ``path`` names a model file that each executor can read, as part of an installed package.
+    ``path`` names a model file that each executor can read, as part of an installed package. Texts of
+    ``portion`` bytes go through at once: with less the worker holds less.
     """
     path = path or default_model()
 
     def run(batches):
         model = model_of(path)
-        for batch in portions(batches, "text", 4_000_000):
+        for batch in portions(batches, "text", portion):
             texts = batch.column(1).to_pylist()
             found = model.encode(texts)
             same = [model.decode(ids) == (t or "").replace(MARK, " ") for ids, t in zip(found, texts, strict=True)]
@@ -219,7 +221,7 @@ def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: s
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(np.diff(offsets).astype(np.int64)), pa.array(same)], names=[id, "ids", "n_tokens", "round_trip"])
 
     narrow = docs.select(F.col(id), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"`{id}` {docs.schema[id].dataType.simpleString()}, ids array<int>, n_tokens long, round_trip boolean")
+    return narrow.mapInArrow(lean(run, "pieces"), f"`{id}` {docs.schema[id].dataType.simpleString()}, ids array<int>, n_tokens long, round_trip boolean")
 
 
 def decode(encoded: DataFrame, path: str | None = None, id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -232,4 +234,4 @@ def decode(encoded: DataFrame, path: str | None = None, id: str = "doc_id", ids:
             texts = [model.decode(np.array(x or [], np.int64)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id, "text"])
 
-    return encoded.select(id, ids).mapInArrow(run, f"`{id}` {encoded.schema[id].dataType.simpleString()}, text string")
+    return encoded.select(id, ids).mapInArrow(lean(run, "pieces"), f"`{id}` {encoded.schema[id].dataType.simpleString()}, text string")

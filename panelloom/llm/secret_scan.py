@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import portions
+from .common import lean, portions
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -204,7 +204,7 @@ def redact(docs: DataFrame, text: str = "text", reach: int = 300, min_entropy: f
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(kept, batch.schema.field(at).type))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def sha256_of(spans: str) -> str:

@@ -330,3 +330,29 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     text = model.decode(np.array(got[111].ids))
     assert "hunter2" not in text and "[SECRET]" in text
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "decontamination", "secret_scan", "sentencepiece"]
+
+
+def test_workers_keep_nothing_of_other_operators(spark, docs_of):
+    """Workers outlive their tasks: idle ones held the words of the signatures and the pieces' model with its caches."""
+    from panelloom.llm import pieces
+
+    def held(batches):
+        import os
+
+        import pyarrow as pa
+
+        from panelloom.llm import minhash, pieces
+
+        for _ in batches:
+            kept = sum(len(m.cache) for m in pieces._models.values())
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "words": [len(minhash._words)], "cached": [kept]})
+
+    look = lambda: spark.range(0, 64, 1, 16).mapInArrow(held, "pid long, words long, cached long").collect()
+    docs = docs_of([(k, prose(k, 60)) for k in range(64)]).repartition(16).localCheckpoint()
+    pieces.encode(docs).write.format("noop").mode("overwrite").save()
+    assert any(x.cached for x in look())  # the next task of the same operator finds them
+    minhash.bands_of(docs, "doc_id", "text").write.format("noop").mode("overwrite").save()
+    after = [(x.pid, x.words, x.cached) for x in look()]
+    assert not any(words for _, words, _ in after)
+    own = docs.mapInArrow(minhash.lean(held), "pid long, words long, cached long").collect()
+    assert not any(x.words or x.cached for x in own)
