@@ -78,6 +78,25 @@ def test_shuffle_grows_with_entities(spark, large, events, twice, name):
         assert df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("CartesianProduct") == 1
 
 
+def test_pairs_shuffle_the_panel_only(spark, large, events, twice):
+    """Twice the entities give four times the pairs, all of them, and shuffle twice the rows. Counts the stages that the query began, as older ones are dropped meanwhile."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    none = gateway.jvm.java.util.ArrayList()
+
+    def stages():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        found = store.stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in map(found.apply, range(found.size()))}
+
+    rows = []
+    for d, size in ((events, CODES), (twice, 2 * CODES)):
+        before = max(stages(), default=(-1, 0))
+        got = queries.queries_more.registered()[0]["n01_pair_correlations"](spark, d).select("i", "j").collect()
+        rows.append(sum(n for k, n in stages().items() if k > before))
+        assert len(got) == len(set(got)) == size * (size - 1) // 2
+    assert 0 < rows[1] < 2.5 * rows[0]
+
+
 def test_tiles_once(spark, large, events):
     """A query that uses the neighbours three times works out the tiles once."""
     df = queries.queries_more.registered()[0]["n04_tightness"](spark, events)
